@@ -1,0 +1,30 @@
+"""Queries over the text operators; ``__spark_entry__`` adds them."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from siftwork.llm import tables as tb
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.unify import unify_text
+
+    return unify_text(tb.questions_and_posts(spark, sf_dir)).where(F.size("kinds") > 0).select("field", "id").distinct()
+
+
+def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.unify import unify_text
+
+    return unify_text(tb.questions_and_posts(spark, sf_dir)).select("field", "id", "unified", F.array_join("kinds", ",").alias("kinds"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
