@@ -10,10 +10,38 @@ from pyspark.sql import functions as F
 from siftwork.llm import tables as tb
 
 
+def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm import splits
+
+    host, no = splits.thread_of(F.col("source_url"))
+    rows = tb.table(spark, sf_dir, "pipeline_output").select("record_id", host.alias("host"), no.alias("thread_no")).distinct()
+    known = rows.join(splits.sites(tb.table(spark, sf_dir, "forum_example_fixed")), "host", "left")
+    known = known.withColumn("thread", F.concat_ws("/", F.when(F.col("thread_no").isNotNull(), F.col("site")), "thread_no"))
+    known = known.withColumn("thread", F.when(F.col("site").isNotNull(), F.col("thread")))
+    return splits.related_splits(known, "record_id", ["thread"])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).where("site is not null and thread_no is not null").select("record_id", "site", "thread_no").distinct()
+
+
+def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).select("record_id", "split")
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.encode import encode_corpus
+
+    return encode_corpus(tb.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.unify import unify_text
 
-    return unify_text(tb.questions_and_posts(spark, sf_dir)).where(F.size("kinds") > 0).select("field", "id").distinct()
+    done = unify_text(tb.questions_and_posts(spark, sf_dir))
+    # a case is a text that its repair changes, or that has a mixed-script word no known word explains
+    changed = (F.col("unified") != F.col("text")) | F.array_contains("kinds", "mixed_script")
+    return done.where((F.size("kinds") > 0) & changed).select("field", "id").distinct()
 
 
 def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
