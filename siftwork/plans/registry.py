@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siftwork.plans import problem_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {"p6_found": problem_queries.p6_found, "p6_times": problem_queries.p6_times}
 
 
 def oracle_sql() -> dict[str, str]:
