@@ -35,6 +35,32 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(tb.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.site_lines import site_lines
+
+    return site_lines(tb.table(spark, sf_dir, "forum_example_fixed")).select("thread_id", "post_index", "line_no")
+
+
+def p4_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.site_lines import without_site_lines
+
+    return without_site_lines(tb.table(spark, sf_dir, "forum_example_fixed"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.defects import pair_defects
+
+    kept = tb.table(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
+    return pair_defects(kept).where(F.size("defects") > 0).select("record_id", F.element_at("defects", 1).alias("defect")).distinct()
+
+
+def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.defects import pair_defects
+
+    kept = tb.table(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
+    return pair_defects(kept).select("record_id", F.explode("defects").alias("defect")).distinct()
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.unify import unify_text
 
