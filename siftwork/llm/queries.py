@@ -10,6 +10,21 @@ from pyspark.sql import functions as F
 from siftwork.llm import tables as tb
 
 
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.leaks import leaked
+
+    return leaked(tb.table(spark, sf_dir, "pipeline_output"), "record_id", ["question", "solution"], tb.table(spark, sf_dir, "benchmark"), "task_id", ["task", "solution"])
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select(F.col("id").alias("record_id"), F.col("item").alias("task_id"))
+
+
+def p2_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(task_id, records) of every item that leaked."""
+    return _leaks(spark, sf_dir).groupBy(F.col("item").alias("task_id")).agg(F.count("*").alias("records"))
+
+
 def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm import splits
 
