@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from siftwork.llm import tables as tb
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.neardups import near_duplicate_pairs
+
+    return near_duplicate_pairs(tb.questions_and_posts(spark, sf_dir)).distinct()
+
+
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.neardups import near_duplicate_groups
+
+    return near_duplicate_groups(tb.questions_and_posts(spark, sf_dir))
+
+
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.leaks import leaked
 
