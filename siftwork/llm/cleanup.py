@@ -47,6 +47,8 @@ LETTERS = re.compile("[^\\W\\d_]+")
 _LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff]")
 _GREEK = re.compile(f"[{GREEK}]")
 _CYRILLIC = re.compile(f"[{CYRILLIC}]")
+#: Letters of two scripts side by side; without such a place no word mixes scripts.
+_SEAM = re.compile(f"{_LATIN.pattern}[{GREEK}{CYRILLIC}]|[{GREEK}{CYRILLIC}]{_LATIN.pattern}|[{GREEK}][{CYRILLIC}]|[{CYRILLIC}][{GREEK}]")
 WORD = re.compile("[^\\W_]+")
 
 KINDS = ("wide", "composable", "invisible", "blank", "mixed_script")
@@ -111,7 +113,7 @@ def fold(text: str) -> str:
     if not SUSPECT.search(text):
         return text
     text = simple_fold(text)
-    if _FOREIGN.search(text):
+    if _SEAM.search(text):
         text = LETTERS.sub(lambda m: (_FOREIGN.search(m[0]) and repaired(m[0])) or m[0], text)
     return text
 
@@ -137,7 +139,7 @@ def kinds_of(text: str) -> list[str]:
 
 def mixed_words(text: str) -> list[str]:
     """Words with letters of more than one script, among them Latin ones."""
-    return [w for w in LETTERS.findall(text) if _FOREIGN.search(w) and _LATIN.search(w)]
+    return [w for w in LETTERS.findall(text) if _FOREIGN.search(w) and _LATIN.search(w)] if _SEAM.search(text) else []
 
 
 def words(text: str) -> list[str]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,6 +66,8 @@ def is_empty(text: str | None) -> bool:
     """Null, blank, a placeholder or only a heading."""
     if text is None:
         return True
+    if len(text) > 400 and len(cleanup.WORD.findall(text)) > 12:
+        return False  # too many words for any of them
     bare = _MARKUP.sub(" ", cleanup.fold(text)).strip().lower()
     found = cleanup.WORD.findall(bare)
     if not found:
@@ -78,15 +81,21 @@ def is_empty(text: str | None) -> bool:
 
 
 def is_refusal(text: str | None) -> bool:
-    if not text:
+    """About all of the text is a refusal: it is short, and formulas are few."""
+    if not text or len(text) > 1200 or text.count("$") >= 6:
         return False
     bare = " ".join(cleanup.fold(text).replace("’", "'").split())
-    if m := REFUSALS.search(bare[:400]):
-        # a refusal is about all there is: it stands near the start, and no worked formulas follow it
-        return m.start() < 160 and len(bare) < 900 and bare.count("$") < 6
+    if len(bare) < 900 and (m := REFUSALS.search(bare[:400])):
+        return m.start() < 160
     return len(bare) < 260 and "$" not in bare and "\\" not in bare and not re.search(r"\d", bare) and len(bare.split()) > 3 and SHORT_REFUSALS.search(bare) is not None
 
 
+@lru_cache(maxsize=10_000)
+def is_refused(reason: str | None) -> bool:
+    """As is_refusal, for reasons, of which few differ."""
+    return is_refusal(reason)
+
+
 def is_copy(question: str | None, solution: str) -> bool:
     """Only the question again: a few words of dressing before it, nothing of substance behind it."""
     if not question:
@@ -94,6 +103,8 @@ def is_copy(question: str | None, solution: str) -> bool:
     if len(solution) > 5 * len(question) + 200 or 3 * len(solution) < len(question):
         return False
     q, s = cleanup.words(question), cleanup.words(solution)
+    if len(q) > 12 and len(set(q) & set(s)) * 2 < len(set(q)):
+        return False
     if len(q) < 3 or len(s) < 3:
         return q == s and bool(q)
     times = min(4, max(1, round(len(s) / len(q))))  # the question may stand there more than once
@@ -123,26 +134,23 @@ _BROKEN_DOTS = re.compile(r"(?:\.\.\.|…|\[\.{2,3}\]?|\[…\]?)$")
 
 def is_truncated(text: str) -> bool:
     """Stops in a word, formula, sentence or list."""
-    t = re.sub(r"\s*(?:-{3,}|\*{3,}|_{3,})\s*$", "", cleanup.fold(text)).rstrip()
+    t = cleanup.fold(text).rstrip()
+    t = t.rstrip(t[-1]).rstrip() if t.endswith(("---", "***", "___")) else t
     if not t:
         return False
-    if "\n" in t and _LIST_STUB.search(t):
+    end = t[-80:]  # the patterns of an end look no further back
+    if "\n" in t and _LIST_STUB.search(t[max(t.rfind("\n"), 0) :]):
         return True
-    if _BROKEN_DOTS.search(t):
+    if _BROKEN_DOTS.search(end):
         return True
     if t[-1] in ",;([{=+<>^_\\&|/-–—:":
         return len(t) > 1
     # unclosed formula, seen from the last line with a delimiter
     if _open_formula(t):
         return True
-    if _UNIT_END.search(t):
+    if _UNIT_END.search(end):
         return False
-    if len(t.split()) < 4:
-        return False
-    last = t[-1]
-    if last.isalpha():
-        return len(cleanup.WORD.findall(t)) > 4
-    return False
+    return t[-1].isalpha() and len(cleanup.WORD.findall(t)) > 4
 
 
 def _open_formula(t: str) -> bool:
@@ -157,23 +165,32 @@ def _open_formula(t: str) -> bool:
     return braces.count("{") > braces.count("}") and not re.search(r"[.!?]$", tail)
 
 
+def _marks(word: str) -> tuple[str, ...]:
+    if "\u0400" <= word[0] <= "\u04ff":
+        return ("cyrillic",)
+    if _PL.search(word):
+        return ("pl",)
+    if _DE.search(word):
+        return ("de",)
+    return tuple(k for k, stop in STOPWORDS.items() if word in stop)
+
+
+#: Marks of words met so far, for speed; started anew when full.
+_SEEN: dict[str, tuple[str, ...]] = {}
+
+
 def languages(text: str) -> Counter:
     """Evidence for each language: words that mark it."""
-    score: Counter = Counter()
-    bare = _FORMULA.sub(" ", cleanup.fold(text).lower())
-    for w in cleanup.LETTERS.findall(bare):
-        c = w[0]
-        if "Ѐ" <= c <= "ӿ":
-            score["cyrillic"] += 1
-        elif _PL.search(w):
-            score["pl"] += 1
-        elif _DE.search(w):
-            score["de"] += 1
-        else:
-            for k, stop in STOPWORDS.items():
-                if w in stop:
-                    score[k] += 1
-    return score
+    if len(_SEEN) > 200_000:
+        _SEEN.clear()
+    found = []
+    for w in cleanup.LETTERS.findall(_FORMULA.sub(" ", cleanup.fold(text).lower())):
+        marks = _SEEN.get(w)
+        if marks is None:
+            marks = _SEEN[w] = _marks(w)
+        if marks:
+            found += marks
+    return Counter(found)
 
 
 def language_of(score: Counter) -> str | None:
@@ -195,9 +212,9 @@ def is_other_language(question: str | None, solution: str) -> bool:
 def defects_of(question: str | None, solution: str | None, reason: str | None) -> list[str]:
     """Every defect whose rule fires, in the order of ORDER."""
     if is_empty(solution):
-        return ["empty", "refusal"] if is_refusal(reason) else ["empty"]
+        return ["empty", "refusal"] if is_refused(reason) else ["empty"]
     out = []
-    if is_refusal(solution) or is_refusal(reason):
+    if is_refusal(solution) or is_refused(reason):
         out.append("refusal")
     if is_copy(question, solution):
         out.append("copy")

@@ -8,10 +8,10 @@ node of at most ``limit`` sets is brute-forced; a larger one is split again, on
 sampled words, in a further round that moves only its members.  Nodes that are still too large
 after ``max_depth`` steps are compared whole, in blocks spread over the cluster, so no pair is
 lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``
-(more similar pairs meet far more surely).  Candidates are compared first by 64-bit sketches
-(32 two-bit min-hashes), then exactly, by their words.
+(more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
+(64 two-bit min-hashes), then exactly, by their words.
 
-What is shuffled: each distinct set once, 24 bytes a run and set, the candidates.  Bucket work
+What is shuffled: each distinct set once, 32 bytes a run and set, the candidates.  Bucket work
 streams over sorted rows; no task holds a whole node beyond ``limit`` rows.
 """
 
@@ -31,7 +31,8 @@ from siftwork.llm import cleanup
 from siftwork.operators.checkpoints import cut
 from siftwork.operators.components import connected_components
 
-SKETCH = 32
+#: Two-bit parts of a sketch, in two words.
+SKETCH = 64
 #: Rows a task gathers before it compares them.
 CHUNK = 120_000
 WORDS = 500_000
@@ -107,7 +108,7 @@ def _arrays(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy().view(np.uint32)[offsets[0] : offsets[-1]], (offsets[:-1] - offsets[0]).astype(np.int64)
 
 
-_ROWS = "key bigint, sig bigint, sketch bigint"
+_ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint"
 
 
 def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame:
@@ -117,22 +118,22 @@ def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame
             if not b.num_rows:
                 continue
             words, starts = _arrays(b, "words")
-            sketch = np.zeros(b.num_rows, np.uint64)
+            sketch = np.zeros((2, b.num_rows), np.uint64)
             for i in range(SKETCH):
-                sketch |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(3)) << np.uint64(2 * i)
-            sig = b.column("sig")
+                sketch[i // 32] |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(3)) << np.uint64(2 * (i % 32))
+            sig, s0, s1 = b.column("sig"), pa.array(sketch[0].view(np.int64)), pa.array(sketch[1].view(np.int64))
             for r in range(runs):
                 key = np.full(b.num_rows, r + 1, np.uint64)
                 for d in range(depth):
                     i = SKETCH + r * depth + d
                     key = _mix(key * np.uint64(31) + _sampled(words, starts, a[i], b_[i]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), sig, pa.array(sketch.view(np.int64))], names=["key", "sig", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), sig, s0, s1], names=["key", "sig", "s0", "s1"])
 
     return sets.mapInArrow(run, _ROWS)
 
 
 def _next_paths(heavy: DataFrame, level: int, branches: int, seed: int) -> DataFrame:
-    """Members of too large nodes (key, sig, sketch, words), one step further on each branch."""
+    """Members of too large nodes (key, sig, s0, s1, words), one step further on each branch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b_ = _orders(branches, seed + 1000 + level)
@@ -143,20 +144,20 @@ def _next_paths(heavy: DataFrame, level: int, branches: int, seed: int) -> DataF
             parent = b.column("key").to_numpy().view(np.uint64)
             for j in range(branches):
                 key = _mix(_mix(parent + np.uint64(j + 1)) * np.uint64(31) + _sampled(words, starts, a[j], b_[j]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("sig"), b.column("sketch")], names=["key", "sig", "sketch"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("sig"), b.column("s0"), b.column("s1")], names=["key", "sig", "s0", "s1"])
 
-    return heavy.select("key", "sig", "sketch", "words").mapInArrow(run, _ROWS)
+    return heavy.select("key", "sig", "s0", "s1", "words").mapInArrow(run, _ROWS)
 
 
-def _close(x: np.ndarray, y: np.ndarray, least: int) -> np.ndarray:
-    """Whether at least ``least`` of the two-bit sketch parts agree."""
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of a word's 32 two-bit parts agree."""
     d = x ^ y
-    d = (d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)
-    return np.bitwise_count(d) <= SKETCH - least
+    return 32 - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).astype(np.int16)
 
 
-def _pairs(key: np.ndarray, sig: np.ndarray, sketch: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """All close pairs of different sets within the nodes of sorted rows, by comparing each row with the d-th after it."""
+def _pairs(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
+    """All close pairs of different sets within the nodes of sorted rows (key, sig, s0, s1), by comparing each row with the d-th after it."""
+    key, sig, s0, s1 = rows[0], rows[1], rows[2].view(np.uint64), rows[3].view(np.uint64)
     left, right = [], []
     at, d = np.arange(len(key)), 1
     while True:
@@ -164,7 +165,9 @@ def _pairs(key: np.ndarray, sig: np.ndarray, sketch: np.ndarray, least: int) ->
         at = at[key[at] == key[at + d]]
         if not len(at):
             break
-        hit = at[_close(sketch[at], sketch[at + d], least)]
+        some = _agreeing(s0[at], s0[at + d])
+        hit = at[some >= least - 32]
+        hit = hit[_agreeing(s1[hit], s1[hit + d]) + some[some >= least - 32] >= least]
         hit = hit[sig[hit] != sig[hit + d]]
         left.append(np.minimum(sig[hit], sig[hit + d]))
         right.append(np.maximum(sig[hit], sig[hit + d]))
@@ -173,51 +176,55 @@ def _pairs(key: np.ndarray, sig: np.ndarray, sketch: np.ndarray, least: int) ->
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-_FOUND = "heavy boolean, a bigint, b bigint, sketch bigint"
+_FOUND = "heavy boolean, a bigint, b bigint, s0 bigint, s1 bigint"
+
+
+def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    return [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
 def _bucketed(rows: DataFrame, limit: int, least: int) -> DataFrame:
     """Sends nodes together; candidates (a, b) of the small ones, members (a = key, b = sig) of the heavy ones."""
 
-    def out(heavy: bool, a: np.ndarray, b: np.ndarray, sketch: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), heavy)), pa.array(a), pa.array(b), pa.array(sketch)], names=["heavy", "a", "b", "sketch"])
+    def out(heavy: bool, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), heavy)), *map(pa.array, columns)], names=["heavy", "a", "b", "s0", "s1"])
 
-    def handle(key: np.ndarray, sig: np.ndarray, sketch: np.ndarray, heavy_key: int | None) -> Iterator[pa.RecordBatch]:
+    def handle(part: list[np.ndarray], heavy_key: int | None) -> Iterator[pa.RecordBatch]:
+        key = part[0]
+        if not len(key):
+            return
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.concatenate([begins, [len(key)]]))
         big = size > limit
-        if heavy_key is not None and len(key) and key[0] == heavy_key:
+        if heavy_key is not None and key[0] == heavy_key:
             big[0] = True
         large = np.repeat(big, size)
         some = ~large & np.repeat(size > 1, size)
-        a, b = _pairs(key[some], sig[some], sketch[some].view(np.uint64), least)
+        a, b = _pairs([c[some] for c in part], least)
         if len(a):
-            yield out(False, a, b, np.zeros(len(a), np.int64))
+            yield out(False, a, b, np.zeros_like(a), np.zeros_like(a))
         if large.any():
-            yield out(True, key[large], sig[large], sketch[large])
+            yield out(True, *[c[large] for c in part])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         n, heavy_key = 0, None
         for b in batches:
-            held.append([b.column(i).to_numpy() for i in range(3)])
+            held.append([c.to_numpy() for c in b.columns])
             n += b.num_rows
             if n < CHUNK:
                 continue
-            key, sig, sketch = (np.concatenate(c) for c in zip(*held, strict=True))
-            last = int(np.searchsorted(key, key[-1])) if key[0] != key[-1] else 0
-            if n - last > limit:  # the open node is too large already: what is there goes on, the rest follows
-                open_key, last = int(key[-1]), n
-            else:
-                open_key = None
-            yield from handle(key[:last], sig[:last], sketch[:last], heavy_key)
-            # the open node may lie over several chunks
-            if open_key is not None and open_key != heavy_key:
-                heavy_key = open_key
-            held, n = [[key[last:], sig[last:], sketch[last:]]], n - last
+            part = _joined(held)
+            key = part[0]
+            last = int(np.searchsorted(key, key[-1]))
+            # an open node that is too large already goes on as it is, and its rest follows in later chunks
+            whole = n - last > limit
+            stop = n if whole else last
+            yield from handle([c[:stop] for c in part], heavy_key)
+            heavy_key = int(key[-1]) if whole or int(key[-1]) == heavy_key else None
+            held, n = [[c[stop:] for c in part]], n - stop
         if n:
-            key, sig, sketch = (np.concatenate(c) for c in zip(*held, strict=True))
-            yield from handle(key, sig, sketch, heavy_key)
+            yield from handle(_joined(held), heavy_key)
 
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, _FOUND)
 
@@ -229,29 +236,26 @@ def _whole(heavy: DataFrame, limit: int, least: int) -> DataFrame:
     cut_up = heavy.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
     cut_up = cut_up.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     cells = cut_up.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "sketch")
+    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "s0", "s1")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         n = 0
 
-        def done(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            key, sig, sketch = (np.concatenate(c) for c in zip(*parts, strict=True))
-            a, b = _pairs(key, sig, sketch.view(np.uint64), least)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def done(part: list[np.ndarray]) -> pa.RecordBatch:
+            a, b = _pairs(part, least)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for b in batches:
-            held.append([b.column(i).to_numpy() for i in range(3)])
+            held.append([c.to_numpy() for c in b.columns])
             n += b.num_rows
             if n >= CHUNK:
-                key = np.concatenate([h[0] for h in held])
-                last = int(np.searchsorted(key, key[-1]))
-                if last:
-                    parts = [np.concatenate(c) for c in zip(*held, strict=True)]
-                    yield from done([[p[:last] for p in parts]])
-                    held, n = [[p[last:] for p in parts]], n - last
+                part = _joined(held)
+                if last := int(np.searchsorted(part[0], part[0][-1])):
+                    yield done([c[:last] for c in part])
+                held, n = [[c[last:] for c in part]], n - last
         if n:
-            yield from done(held)
+            yield done(_joined(held))
 
     return cells.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
@@ -267,7 +271,7 @@ def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995,
     while True:
         found = cut(_bucketed(rows, limit, least))
         candidates.append(found.where("not heavy").select("a", "b"))
-        heavy = found.where("heavy").select(F.col("a").alias("key"), F.col("b").alias("sig"), "sketch")
+        heavy = found.where("heavy").select(F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1")
         if heavy.isEmpty():
             break
         if level >= max_depth:

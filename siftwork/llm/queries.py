@@ -103,6 +103,18 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_text(tb.questions_and_posts(spark, sf_dir)).select("field", "id", "unified", F.array_join("kinds", ",").alias("kinds"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.spam_pages import spam_pages
+
+    return spam_pages(tb.table(spark, sf_dir, "documents").select("doc_id", "text")).where("spam").select("doc_id").distinct()
+
+
+def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.spam_pages import spam_pages
+
+    return spam_pages(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
