@@ -103,6 +103,22 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify_text(tb.questions_and_posts(spark, sf_dir)).select("field", "id", "unified", F.array_join("kinds", ",").alias("kinds"))
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.mixing import mix
+
+    return mix(tb.table(spark, sf_dir, "documents").select("doc_id", "source", "text"), tb.table(spark, sf_dir, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _mix(spark, sf_dir)
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siftwork.llm.mixing import shares
+
+    return shares(_mix(spark, sf_dir), tb.table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.spam_pages import spam_pages
 
