@@ -11,7 +11,8 @@ lost to a cap.  Runs repeat until a pair at the threshold is met with probabilit
 (more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
 (64 two-bit min-hashes), then exactly, by their words.
 
-What is shuffled: each distinct set once, 32 bytes a run and set, the candidates.  Bucket work
+What is shuffled: each distinct set twice, 40 bytes a run and set, the candidates.  Rows carry a few
+sampled words, so the first splits of large nodes don't ask for the sets again.  Bucket work
 streams over sorted rows; no task holds a whole node beyond ``limit`` rows.
 """
 
@@ -33,6 +34,8 @@ from siftwork.operators.components import connected_components
 
 #: Two-bit parts of a sketch, in two words.
 SKETCH = 64
+#: Sampled words that rows carry for the steps after the first ones.
+CARRIED = 4
 #: Rows a task gathers before it compares them.
 CHUNK = 120_000
 WORDS = 500_000
@@ -108,12 +111,13 @@ def _arrays(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy().view(np.uint32)[offsets[0] : offsets[-1]], (offsets[:-1] - offsets[0]).astype(np.int64)
 
 
-_ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint"
+_ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint, ext bigint"
 
 
 def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b_ = _orders(SKETCH + runs * depth, seed)
+        n = SKETCH + runs * depth + CARRIED
+        a, b_ = _orders(n, seed)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -121,19 +125,37 @@ def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame
             sketch = np.zeros((2, b.num_rows), np.uint64)
             for i in range(SKETCH):
                 sketch[i // 32] |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(3)) << np.uint64(2 * (i % 32))
-            sig, s0, s1 = b.column("sig"), pa.array(sketch[0].view(np.int64)), pa.array(sketch[1].view(np.int64))
+            # for later steps: CARRIED sampled words of 12 bits; above them the set's size
+            ext = np.minimum(np.diff(np.append(starts, len(words))), 65535).astype(np.uint64) << np.uint64(48)
+            for i in range(CARRIED):
+                ext |= (_sampled(words, starts, a[n - i - 1], b_[n - i - 1]).astype(np.uint64) & np.uint64(4095)) << np.uint64(12 * i)
+            rest = [b.column("sig"), *[pa.array(c.view(np.int64)) for c in (sketch[0], sketch[1], ext)]]
             for r in range(runs):
                 key = np.full(b.num_rows, r + 1, np.uint64)
                 for d in range(depth):
                     i = SKETCH + r * depth + d
                     key = _mix(key * np.uint64(31) + _sampled(words, starts, a[i], b_[i]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), sig, s0, s1], names=["key", "sig", "s0", "s1"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *rest], names=["key", "sig", "s0", "s1", "ext"])
 
     return sets.mapInArrow(run, _ROWS)
 
 
+def _carried_paths(heavy: DataFrame, step: int, branches: int) -> DataFrame:
+    """Members of too large nodes, one step further on each branch, by the sampled words that the rows carry."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            parent, ext = (b.column(c).to_numpy().view(np.uint64) for c in ("key", "ext"))
+            for j in range(branches):
+                word = (ext >> np.uint64(12 * (step * branches + j))) & np.uint64(4095)
+                key = _mix(_mix(parent + np.uint64(j + 1)) * np.uint64(31) + word)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *b.columns[1:]], names=b.schema.names)
+
+    return heavy.select("key", "sig", "s0", "s1", "ext").mapInArrow(run, _ROWS)
+
+
 def _next_paths(heavy: DataFrame, level: int, branches: int, seed: int) -> DataFrame:
-    """Members of too large nodes (key, sig, s0, s1, words), one step further on each branch."""
+    """As _carried_paths, for rows that have their words: steps beyond the carried ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b_ = _orders(branches, seed + 1000 + level)
@@ -144,9 +166,9 @@ def _next_paths(heavy: DataFrame, level: int, branches: int, seed: int) -> DataF
             parent = b.column("key").to_numpy().view(np.uint64)
             for j in range(branches):
                 key = _mix(_mix(parent + np.uint64(j + 1)) * np.uint64(31) + _sampled(words, starts, a[j], b_[j]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("sig"), b.column("s0"), b.column("s1")], names=["key", "sig", "s0", "s1"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *b.columns[1:5]], names=["key", "sig", "s0", "s1", "ext"])
 
-    return heavy.select("key", "sig", "s0", "s1", "words").mapInArrow(run, _ROWS)
+    return heavy.select("key", "sig", "s0", "s1", "ext", "words").mapInArrow(run, _ROWS)
 
 
 def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -155,9 +177,11 @@ def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return 32 - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).astype(np.int16)
 
 
-def _pairs(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """All close pairs of different sets within the nodes of sorted rows (key, sig, s0, s1), by comparing each row with the d-th after it."""
+def _pairs(rows: list[np.ndarray], least: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """All close pairs of different sets within the nodes of sorted rows (key, sig, s0, s1, ext), by comparing each row with the d-th after it."""
     key, sig, s0, s1 = rows[0], rows[1], rows[2].view(np.uint64), rows[3].view(np.uint64)
+    size = (rows[4].view(np.uint64) >> np.uint64(48)).astype(np.int64)
+    size[size == 65535] = 0  # too large to tell
     left, right = [], []
     at, d = np.arange(len(key)), 1
     while True:
@@ -168,7 +192,8 @@ def _pairs(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
         some = _agreeing(s0[at], s0[at + d])
         hit = at[some >= least - 32]
         hit = hit[_agreeing(s1[hit], s1[hit + d]) + some[some >= least - 32] >= least]
-        hit = hit[sig[hit] != sig[hit + d]]
+        small, large = np.minimum(size[hit], size[hit + d]), np.maximum(size[hit], size[hit + d])
+        hit = hit[(sig[hit] != sig[hit + d]) & ((small == 0) | (small >= threshold * large - 1e-9))]
         left.append(np.minimum(sig[hit], sig[hit + d]))
         right.append(np.maximum(sig[hit], sig[hit + d]))
         d += 1
@@ -176,18 +201,18 @@ def _pairs(rows: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-_FOUND = "heavy boolean, a bigint, b bigint, s0 bigint, s1 bigint"
+_FOUND = "heavy boolean, a bigint, b bigint, s0 bigint, s1 bigint, ext bigint"
 
 
 def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
-def _bucketed(rows: DataFrame, limit: int, least: int) -> DataFrame:
+def _bucketed(rows: DataFrame, limit: int, least: int, threshold: float) -> DataFrame:
     """Sends nodes together; candidates (a, b) of the small ones, members (a = key, b = sig) of the heavy ones."""
 
     def out(heavy: bool, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), heavy)), *map(pa.array, columns)], names=["heavy", "a", "b", "s0", "s1"])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), heavy)), *map(pa.array, columns)], names=["heavy", "a", "b", "s0", "s1", "ext"])
 
     def handle(part: list[np.ndarray], heavy_key: int | None) -> Iterator[pa.RecordBatch]:
         key = part[0]
@@ -200,9 +225,9 @@ def _bucketed(rows: DataFrame, limit: int, least: int) -> DataFrame:
             big[0] = True
         large = np.repeat(big, size)
         some = ~large & np.repeat(size > 1, size)
-        a, b = _pairs([c[some] for c in part], least)
+        a, b = _pairs([c[some] for c in part], least, threshold)
         if len(a):
-            yield out(False, a, b, np.zeros_like(a), np.zeros_like(a))
+            yield out(False, a, b, *[np.zeros_like(a)] * 3)
         if large.any():
             yield out(True, *[c[large] for c in part])
 
@@ -229,21 +254,21 @@ def _bucketed(rows: DataFrame, limit: int, least: int) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, _FOUND)
 
 
-def _whole(heavy: DataFrame, limit: int, least: int) -> DataFrame:
+def _whole(heavy: DataFrame, limit: int, least: int, threshold: float) -> DataFrame:
     """Candidates of nodes that splitting can't reduce: each is cut into blocks, and each pair of blocks is one group."""
     sizes = heavy.groupBy("key").agg(F.count("*").alias("n"))
     half = limit // 2
     cut_up = heavy.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
     cut_up = cut_up.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     cells = cut_up.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "s0", "s1")
+    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "s0", "s1", "ext")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         n = 0
 
         def done(part: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _pairs(part, least)
+            a, b = _pairs(part, least, threshold)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for b in batches:
@@ -260,25 +285,26 @@ def _whole(heavy: DataFrame, limit: int, least: int) -> DataFrame:
     return cells.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
 
 
-def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, depth: int = 3, branches: int = 3, limit: int = 1000, max_depth: int = 12, seed: int = 7) -> DataFrame:
+def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, depth: int = 3, branches: int = 2, limit: int = 2000, max_depth: int = 12, seed: int = 7) -> DataFrame:
     """(a, b, similarity) of different sets, a < b by sig, of ``raw`` (columns sig, words, kept where it can be read twice)."""
     sets = raw.select("sig", "words").dropDuplicates(["sig"])
-    # a pair at the threshold agrees in this many sketch parts but for three standard deviations
+    # a pair at the threshold agrees in this many sketch parts but for 2.8 standard deviations
     agree = threshold + (1 - threshold) / 4
-    least = int(SKETCH * agree - 3.2 * math.sqrt(SKETCH * agree * (1 - agree)))
+    least = int(SKETCH * agree - 2.8 * math.sqrt(SKETCH * agree * (1 - agree)))
     rows = _first_paths(sets, runs_for(recall, threshold, depth), depth, seed)
     candidates, level = [], depth
     while True:
-        found = cut(_bucketed(rows, limit, least))
+        found = cut(_bucketed(rows, limit, least, threshold))
         candidates.append(found.where("not heavy").select("a", "b"))
-        heavy = found.where("heavy").select(F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1")
+        heavy = found.where("heavy").select(F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1", "ext")
         if heavy.isEmpty():
             break
         if level >= max_depth:
-            candidates.append(_whole(heavy, limit, least))
+            candidates.append(_whole(heavy, limit, least, threshold))
             break
+        step = level - depth
         level += 1
-        rows = _next_paths(heavy.join(sets, "sig"), level, branches, seed)
+        rows = _carried_paths(heavy, step, branches) if (step + 1) * branches <= CARRIED else _next_paths(heavy.join(sets, "sig"), level, branches, seed)
     pairs = candidates[0]
     for c in candidates[1:]:
         pairs = pairs.unionByName(c)
