@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftwork.plans import problem_queries
+from siftwork.plans import core_queries, problem_queries
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_found": problem_queries.p6_found, "p6_times": problem_queries.p6_times}
+    return core_queries.QUERIES | {"p6_found": problem_queries.p6_found, "p6_times": problem_queries.p6_times}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(core_queries.ORACLE)
