@@ -260,5 +260,6 @@ def sitemap_locations(xml: Column, part: str = "viewforum.php") -> Column:
 
 
 def latin2(content: Column) -> Column:
-    """Text of bytes in ISO-8859-2."""
-    return F.decode(content, "ISO-8859-2")
+    """Text of bytes in ISO-8859-2, which the engine can't decode by itself: as ISO-8859-1, then the upper half exchanged."""
+    upper = bytes(range(160, 256))
+    return F.translate(F.decode(content, "ISO-8859-1"), upper.decode("iso-8859-1"), upper.decode("iso-8859-2"))

@@ -136,7 +136,7 @@ def json_line(*columns: Column) -> Column:
 
 def split_solution(c: Column) -> tuple[Column, Column]:
     """(problem, solution): cut at the line that says solution, then at the answer mark, whose part goes to the solution."""
-    parts = F.split(c, r"(?im)^Rozwi[ąa]zanie\s*$", 2)
+    parts = F.split(c, r"(?imu)^Rozwi[ąa]zanie\s*$", 2)
     problem, solution = strip(F.element_at(parts, 1)), strip(F.coalesce(F.try_element_at(parts, F.lit(2)), F.lit("")))
     at = F.regexp_instr(problem, F.lit(r"(?U)\bOdp[p]?[.:]"))
     answer = F.when(at > 0, strip(F.substring(problem, at, F.length(problem))))

@@ -78,7 +78,8 @@ def read_arrow(spark: SparkSession, folder: str) -> DataFrame:
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines, of which one whose backslashes are no escapes is repaired; blank and hopeless lines are left out."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    asked = F.coalesce(F.from_json("value", schema), F.from_json(repair_json_escapes(F.col("value")), schema))
+    sound = F.try_parse_json("value").isNotNull()
+    asked = F.from_json(F.when(sound, F.col("value")).otherwise(repair_json_escapes(F.col("value"))), schema)
     return lines.select(asked.alias("row")).where(F.exists(F.array(*[F.col(f"row.`{f.name}`").isNotNull() for f in schema.fields]), lambda x: x)).select("row.*")
 
 
