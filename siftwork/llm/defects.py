@@ -214,9 +214,10 @@ def defects_of(question: str | None, solution: str | None, reason: str | None) -
     if is_empty(solution):
         return ["empty", "refusal"] if is_refused(reason) else ["empty"]
     out = []
-    if is_refusal(solution) or is_refused(reason):
+    copied = is_copy(question, solution)
+    if is_refused(reason) or (is_refusal(solution) and not copied):
         out.append("refusal")
-    if is_copy(question, solution):
+    if copied:
         out.append("copy")
     if is_truncated(solution):
         out.append("truncated")

@@ -110,6 +110,7 @@ ANSWER = "Suma cyfr jest parzysta, więc liczba jest parzysta. Stąd teza, co na
         (PL, "Treść: " + PL, "", "copy"),
         (PL, PL.lower() + " .?", "", "copy"),
         (PL, PL + "\n" + PL, "", "copy"),
+        ("Zadanie znalazłem w domu i nie wiem, jak ruszyć sumę.", "Zadanie znalazłem w domu i nie wiem, jak ruszyć sumę.", "", "copy"),
         (PL, "Mamy treść: " + PL + "\n" + ANSWER, "", None),
         (PL, ANSWER + " Zatem $f(", "", "truncated"),
         (PL, ANSWER + " Korzyst", "", "truncated"),
