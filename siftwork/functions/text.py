@@ -142,3 +142,12 @@ def split_solution(c: Column) -> tuple[Column, Column]:
     answer = F.when(at > 0, strip(F.substring(problem, at, F.length(problem))))
     before = F.when(at > 0, strip(F.substring(problem, F.lit(1), at - 1))).otherwise(problem)
     return before, F.when(answer.isNull(), solution).when(solution == "", answer).otherwise(F.concat(answer, F.lit("\n"), solution))
+
+
+def utc_stamp(t: Column | None = None) -> Column:
+    """An instant (now, unless one is given) as ``2020-01-31T08:05:09Z``."""
+    return F.date_format(F.to_utc_timestamp(t if t is not None else F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def first_word(c: Column, fallback: str = "unknown") -> Column:
+    return F.coalesce(F.nullif(F.try_element_at(F.split(strip(c), r"(?U)\s+"), F.lit(1)), F.lit("")), F.lit(fallback))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwork.functions.text import PRIME, gram_hash, ngrams, norm_tokens
+from siftwork.operators.checkpoints import cut
 from siftwork.operators.components import connected_components
 
 
@@ -76,7 +77,8 @@ def candidate_edges(signed: DataFrame, bands: int = 14, rows: int = 3) -> DataFr
 
 def clusters(docs: DataFrame, id_col: str, text: Column, bands: int = 14, rows: int = 3, n: int = 3, numbers: bool = True) -> DataFrame:
     """(id, component) of documents that have a near duplicate; the component is its least id."""
-    edges = candidate_edges(signatures(docs, id_col, text, bands, rows, n, numbers), bands, rows)
+    # the signatures are read twice for the stars, so they are kept in the shared folder
+    edges = candidate_edges(cut(signatures(docs, id_col, text, bands, rows, n, numbers)), bands, rows)
     return connected_components(edges).withColumnRenamed("node", "id")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from siftwork.operators.checkpoints import cut
+
 
 def assemble(posts: DataFrame, thread_cols: list[str], order_cols: list[str], post_cols: list[str]) -> DataFrame:
     """One row per thread with its posts in order, numbered from 0."""
@@ -69,3 +71,38 @@ def from_checkpoint(df: DataFrame, order_col: str, reached: str | None, values:
     if reached is None or reached not in values:
         return df
     return df.where(F.col(order_col).isin(values[values.index(reached) :]))
+
+
+def problem_thread(source: Column, url: Column, section: Column, title: Column, problem: Column, solution: Column, images: Column, scraped_at: Column) -> Column:
+    """A thread of two posts, problem and solution, under a title of section and name."""
+
+    def post(i: int, content: Column, image: Column) -> Column:
+        return F.struct(F.lit(i).alias("index"), source.alias("author"), F.lit(None).cast("string").alias("date"), content.alias("content"), image.alias("contains_images"))
+
+    return F.struct(source.alias("source"), url.alias("url"), F.concat_ws(" – ", section, title).alias("title"), scraped_at.alias("scraped_at"), F.array(post(0, problem, images), post(1, solution, F.lit(False))).alias("posts"))
+
+
+def batches(df: DataFrame, order_cols: list[str], size: int) -> DataFrame:
+    """The rows with ``batch``: runs of ``size`` rows in the given order, numbered by a sort and partition offsets, not by one window over all."""
+    ordered = df.orderBy(*order_cols)
+    spread = ordered.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id())
+    kept = cut(spread)
+    sizes = kept.groupBy("part").agg(F.count("*").alias("n"), F.min("at").alias("first")).orderBy("part").collect()  # a row a partition
+    before, offsets = 0, []
+    for r in sizes:
+        offsets.append((r["part"], r["first"], before))
+        before += r["n"]
+    table = df.sparkSession.createDataFrame(offsets, "part int, first bigint, before bigint")
+    return kept.join(table, "part").withColumn("batch", F.floor((F.col("at") - F.col("first") + F.col("before")) / size)).drop("part", "at", "first", "before")
+
+
+def metadata_keys(df: DataFrame, col: str) -> list[str]:
+    """All keys that the rows' maps have, sorted; the columns of a flat table."""
+    found = df.select(F.explode(F.map_keys(col)).alias("key")).distinct()
+    return sorted(r["key"] for r in found.collect())
+
+
+def flat_metadata(df: DataFrame, col: str, keys: list[str] | None = None) -> DataFrame:
+    """A column for each key, null where a row lacks it; marks of where a row came from are left out."""
+    keep = [k for k in (keys or metadata_keys(df, col)) if k not in ("_source_path", "_source_repo")]
+    return df.select(*[c for c in df.columns if c != col], *[F.try_element_at(F.col(col), F.lit(k)).alias(k) for k in keep])

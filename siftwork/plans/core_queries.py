@@ -296,6 +296,15 @@ def json_records(spark, d):
     return rows.select("task_id", text.json_line(F.col("task_id"), F.col("type")).alias("line"))
 
 
+def category_ids(spark, d):
+    """Every forum category with its label, its highest known id and how many threads' ids lie in its range."""
+    from siftwork.sources.dimensions import categories
+
+    ids = _t(spark, d, "forum_example_fixed").select("thread_id").distinct()
+    inside = ids.join(F.broadcast(categories(spark)), F.col("thread_id") <= F.col("max_id"))  # four rows
+    return inside.groupBy("category", "label", "max_id").agg(F.count("*").alias("threads"))
+
+
 # samples and unions -------------------------------------------------------
 
 
@@ -325,7 +334,7 @@ QUERIES = {
         decontam_clean_docs, decontam_report, decontam_task_counts, benchmark_index, decontam_training_rows, minhash_signature, lsh_candidate_edges, dedup_clusters, dedup_clean, dedup_removed,
         exact_dup_groups, jaccard_best_match, latex_normalize, build_texts, previews, navigation_lines, eval_prompts, answer_accuracy, parse_decision, parse_category, parse_post_index,
         thread_assembly, thread_prompts, relevant_posts, post_dates, post_images, url_canonical, id_range_missing, consecutive_misses, board_pages, curated_records, stage_stats,
-        clean_projection, json_records, train_val_split, sft_samples, source_union_counts, source_heads,
+        clean_projection, json_records, category_ids, train_val_split, sft_samples, source_union_counts, source_heads,
     )
 }
 
@@ -383,6 +392,7 @@ e as (select source, min(thread_id) as stop_id from r where run >= 5 group by so
 count(*) filter (where raw_answer is not null) as answered, count(*) filter (where solution is not null) as solved from (select distinct record_id, kept, category, raw_answer, solution from pipeline_output)""",
     "clean_projection": f"select distinct record_id, source_url, question, category, solution from pipeline_output where kept and category in {_EXACT}",
     "json_records": """select task_id, '{"task_id":' || task_id || ',"type":' || coalesce('"' || type || '"', 'null') || '}' as line from benchmark""",
+    "category_ids": "select category, label, max_id, count(*) as threads from (values ('sp', 'Primary school', 1046), ('liceum', 'Secondary school', 6437), ('studia', 'University', 6630), ('zadania', 'Miscellaneous problems', 346)) c(category, label, max_id) join (select distinct thread_id from forum_example_fixed) t on t.thread_id <= c.max_id group by category, label, max_id",
     "train_val_split": "select doc_id, case when row_number() over (order by md5('42:' || doc_id), doc_id) <= ceil(0.1 * (select count(*) from documents)) then 'validation' else 'train' end as split from documents",
     "sft_samples": """with r as (select distinct record_id, question, solution from pipeline_output where kept and question is not null and solution is not null)
 select record_id, case when row_number() over (order by md5('42:' || record_id), record_id) <= 1000 then 'validation' else 'train' end as split,

@@ -99,3 +99,19 @@ def test_streaming_goes_on_behind_the_last_batch(spark, tmp_path):
 
     assert put("1.json", "a", "b") == ["a", "b"]
     assert put("2.json", "b", "c") == ["a", "b", "c"]
+
+
+def test_command_line(spark, tmp_path):
+    from siftwork import cli
+
+    rows = [{"question": QUESTION, "raw_answer": "tak"}, {"question": QUESTION, "raw_answer": "tak", "x": 1}, {"question": "inne pytanie o coś zupełnie innego niż tamto i jeszcze dłuższe od niego", "raw_answer": None}]
+    (tmp_path / "in.jsonl").write_text("".join(json.dumps(r) + "\n" for r in rows))
+    (tmp_path / "b.jsonl").write_text(json.dumps({"task_id": 1, "task": rows[2]["question"], "solution": "s"}) + "\n")
+    cli.main(["dedup", str(tmp_path / "in.jsonl"), "--output", str(tmp_path / "d")], spark)
+    assert spark.read.parquet(str(tmp_path / "d" / "clean")).count() == 2
+    cli.main(["decontaminate", str(tmp_path / "in.jsonl"), "--benchmark", str(tmp_path / "b.jsonl"), "--output", str(tmp_path / "c")], spark)
+    assert spark.read.parquet(str(tmp_path / "c" / "clean")).count() == 2
+    assert spark.read.parquet(str(tmp_path / "c" / "removed")).first().contaminated_task == "benchmark_task1"
+    cli.main(["preview", str(tmp_path / "in.jsonl")], spark)
+    cli.main(["split", str(tmp_path / "in.jsonl"), "--key", "question", "--fraction", "0.5", "--output", str(tmp_path / "s")], spark)
+    assert spark.read.parquet(str(tmp_path / "s")).count() >= 3

@@ -118,3 +118,16 @@ def test_resume_and_ranges(spark):
     assert [r.cat for r in threads.from_checkpoint(df, "cat", "b", ["a", "b", "c"]).collect()] == ["b", "c"]
     assert threads.from_checkpoint(df, "cat", None, ["a", "b", "c"]).count() == 3
     assert [tuple(r) for r in threads.id_range(spark, 3, 4, "x/%d").collect()] == [(3, "x/3"), (4, "x/4")]
+
+
+def test_batches_and_metadata(spark):
+    df = spark.range(25).selectExpr("id as k", "map('a', string(id), if(id = 3, 'b', '_source_path'), 'x') as meta")
+    assert sorted((r.batch, r.k) for r in threads.batches(df.select("k").repartition(5), ["k"], 10).collect()) == [(i // 10, i) for i in range(25)]
+    flat = threads.flat_metadata(df, "meta")
+    assert flat.columns == ["k", "a", "b"] and [r.b for r in flat.where("b is not null").collect()] == ["x"]
+
+
+def test_problem_thread(spark):
+    c = threads.problem_thread(F.lit("s"), F.lit("u"), F.lit("zbiory"), F.lit("Zadanie 1"), F.lit("p"), F.lit("r"), F.lit(True), F.lit("z"))
+    t = spark.range(1).select(c.alias("t")).first().t
+    assert t.title == "zbiory – Zadanie 1" and [p.content for p in t.posts] == ["p", "r"] and t.posts[0].contains_images
