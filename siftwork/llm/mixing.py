@@ -101,6 +101,6 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, tokens, actual_share, documents, most_copies) of a mix, a row for each target."""
     got = mixed.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count_distinct("doc_id").alias("documents"), F.max("copy").alias("most_copies"))
-    all_ = got.agg(F.sum("tokens").alias("total"))
-    rows = targets.select("source", "target_share").join(got, "source", "left").crossJoin(F.broadcast(all_))  # one row
+    # as many rows as there are targets
+    rows = targets.select("source", "target_share").join(got, "source", "left").withColumn("total", F.sum("tokens").over(Window.partitionBy(F.lit(0))))
     return rows.select("source", "target_share", F.coalesce("tokens", F.lit(0)).alias("tokens"), F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)).alias("actual_share"), F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("most_copies", F.lit(0)).alias("most_copies"))

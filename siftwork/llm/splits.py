@@ -25,7 +25,7 @@ DEFAULT = {"train": 0.8, "validation": 0.1, "test": 0.1}
 #: The ways a thread's address is written, after the host.
 _ADDRESS = (
     r"^(?:https?://)?(?:(?:www|m)\.)*([a-z0-9.-]+?)(?::\d+)?/"
-    r"(?:temat/(\d+)|(?:[^?#]*-)?t(\d+)\.html|viewtopic\.php\?(?:[^#]*&)?t=(\d+)|forum\.php\?(?:[^#]*&)?id=(\d+))(?![\w-])"
+    r"(?:temat/(\d+)|(?:[^?#]*-)?t(\d+)\.html|viewtopic\.php\?(?:[^#]*&)?t=(\d+)|forum\.php\?(?:[^#]*&)?id=(\d+))(?!\w)"
 )
 _HOST = r"^(?:https?://)?(?:(?:www|m)\.)*([a-z0-9.-]+?)(?::\d+)?(?:[/?#]|$)"
 

@@ -15,6 +15,8 @@ from siftwork.llm import mixing, splits
         ("a.example/forum.php?id=77&utm_source=x9", "a.example", 77),
         ("https://a.example/t100-zadanie-t77.html?start=3", "a.example", 77),
         ("https://a.example/watek-t77.html", "a.example", 77),
+        ("https://a.example/temat/77-o-sumach", "a.example", 77),
+        ("https://a.example/temat/77x", None, None),
         ("https://a.example/viewtopic.php?start=7", None, None),
         ("about:blank", None, None),
         ("", None, None),
