@@ -298,11 +298,12 @@ def json_records(spark, d):
 
 def category_ids(spark, d):
     """Every forum category with its label, its highest known id and how many threads' ids lie in its range."""
-    from siftwork.sources.dimensions import categories
+    from siftwork.sources.dimensions import CATEGORIES as FORUM
 
+    known = F.array(*[F.struct(F.lit(c).alias("category"), F.lit(label).alias("label"), F.lit(top).cast("bigint").alias("max_id")) for c, label, top in FORUM])
     ids = _t(spark, d, "forum_example_fixed").select("thread_id").distinct()
-    inside = ids.join(F.broadcast(categories(spark)), F.col("thread_id") <= F.col("max_id"))  # four rows
-    return inside.groupBy("category", "label", "max_id").agg(F.count("*").alias("threads"))
+    inside = ids.select(F.explode(F.filter(known, lambda c: c["max_id"] >= F.col("thread_id"))).alias("c"))
+    return inside.groupBy("c.category", "c.label", "c.max_id").agg(F.count("*").alias("threads"))
 
 
 # samples and unions -------------------------------------------------------
