@@ -59,7 +59,7 @@ STOPWORDS = {
 }
 _PL = re.compile("[ąćęłńśźż]")
 _DE = re.compile("[äöüß]")
-_FORMULA = re.compile(r"\$[^$]*\$|\\\(.*?\\\)|\\\[.*?\\\]|\\[a-zA-Z]+", re.S)
+_FORMULA = re.compile(r"\$[^$]*\$|\\\(.{0,2000}?\\\)|\\\[.{0,2000}?\\\]|\\[a-zA-Z]+", re.S)
 
 
 def is_empty(text: str | None) -> bool:
@@ -156,13 +156,14 @@ def is_truncated(text: str) -> bool:
 def _open_formula(t: str) -> bool:
     """Whether the text ends inside a formula.  An odd number of dollar signs alone tells nothing of the end: what follows the last one must not read as closed prose."""
     tail = t[max(t.rfind("\n"), t.rfind(". "), t.rfind("! "), t.rfind("? "), -1) + 1 :]
-    plain = tail.replace("\\$", "")
-    if plain.count("$") % 2 and not re.search(r"[.!?]$", tail):
+    if tail[-1:] in ".!?":
+        return False
+    if tail.replace("\\$", "").count("$") % 2:
         return True
-    if re.search(r"\\\((?:(?!\\\)).)*$|\\\[(?:(?!\\\]).)*$", tail, re.S) and not re.search(r"[.!?]$", tail):
+    if any(tail.rfind(begin) > tail.rfind(end) for begin, end in (("\\(", "\\)"), ("\\[", "\\]"))):
         return True
     braces = re.sub(r"\\[{}]", "", tail)
-    return braces.count("{") > braces.count("}") and not re.search(r"[.!?]$", tail)
+    return braces.count("{") > braces.count("}")
 
 
 def _marks(word: str) -> tuple[str, ...]:

@@ -31,7 +31,10 @@ CACHE = 400_000
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 _PIECE = regex.compile(PATTERN)
-_BLANKS = regex.compile(r"\s* \s+")
+#: A space before another blank, and a run of blanks; looked for apart, so that long runs cost no more than their length.
+_AT_BLANKS = regex.compile(r" \s")
+_BLANK = regex.compile(r"\s")
+_BLANKS = regex.compile(r"\s+")
 
 
 def default_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -129,22 +132,26 @@ class Encoder:
 
     def encode_bytes(self, text: str) -> bytes:
         """ids as little-endian int32, one after another."""
-        if not _BLANKS.search(text):
+        if not _AT_BLANKS.search(text):
             return self._chunks(text)
         # a run of blanks with a space before its end hangs together, but for its last blank
-        out, begin = [], 0
-        for m in _BLANKS.finditer(text):
-            if m.start() > begin:
-                out.append(self._chunks(text[begin : m.start()]))
-            begin = m.end()
+        out, begin, at = [], 0, 0
+        while m := _AT_BLANKS.search(text, at):
+            first = m.start()
+            while first > begin and _BLANK.match(text, first - 1):
+                first -= 1
+            at = _BLANKS.match(text, m.start()).end()
+            if first > begin:
+                out.append(self._chunks(text[begin:first]))
+            begin = at
             if begin == len(text):
-                out.append(self._piece(m[0]))
-                continue
-            out.append(self._piece(m[0][:-1]))
-            if m[0][-1] == " ":
+                out.append(self._piece(text[first:at]))
+                break
+            out.append(self._piece(text[first : at - 1]))
+            if text[at - 1] == " ":
                 begin -= 1  # goes with what follows
             else:
-                out.append(self._piece(m[0][-1]))
+                out.append(self._piece(text[at - 1]))
         if begin < len(text):
             out.append(self._chunks(text[begin:]))
         return b"".join(out)

@@ -10,6 +10,7 @@ broadcast sets while their number is within BROADCAST_LINES, by a join on the so
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,14 +26,22 @@ from siftwork.llm import cleanup
 COUNTERS = 2_000
 #: Most confirmed lines that are broadcast.
 BROADCAST_LINES = 50_000
+#: Characters of a key that is kept whole.
+LONGEST_KEY = 160
 
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
 
 def line_key(line: str) -> str:
-    """Equal for lines that differ only in case, white space, characters the clean-up changes and the value of numbers; empty for blank lines."""
-    return _DIGITS.sub("0", _SPACE.sub("", cleanup.fold(line)).lower())
+    """Equal for lines that differ only in case, white space, characters the clean-up changes and the value of numbers; empty for blank lines.
+
+    Long keys are a digest behind their beginning, so that what is counted and broadcast has a bound.
+    """
+    key = _DIGITS.sub("0", _SPACE.sub("", cleanup.fold(line)).lower())
+    if len(key) <= LONGEST_KEY:
+        return key
+    return key[:LONGEST_KEY] + hashlib.blake2b(key.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 class Summary:
