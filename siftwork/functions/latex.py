@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftwork.functions.text import strip
+
 MARKER = "\\(\\displaystyle{"
 
 
@@ -75,8 +77,8 @@ def normalize_latex_each(texts: Column) -> Column:
 def strip_fences(c: Column, language: str = "json") -> Column:
     """Without a code fence around it."""
     for pattern in (rf"^```{language}", r"^```", r"```$"):
-        c = F.regexp_replace(F.regexp_replace(c, r"(?U)^\s+|\s+$", ""), pattern, "")
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+        c = F.regexp_replace(strip(c), pattern, "")
+    return strip(c)
 
 
 def repair_json_escapes(c: Column) -> Column:

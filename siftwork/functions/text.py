@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 #: Prime of the min-hash family and of the portable gram hash's range.
 PRIME = 2147483647
-_UNICODE_SPACE = r"(?U)^\s+|\s+$"
+#: White space of any kind, as the regular expression (?U)\s has it.
+_UNICODE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, _UNICODE_SPACE, "")
+    return F.btrim(c, F.lit(_UNICODE_SPACE))
 
 
 def build_text(*keys: Column) -> Column:

@@ -59,6 +59,8 @@ _FORMATS = re.compile(
     )$""",
     re.X | re.I,
 )
+#: No format is longer.
+LONGEST = 80
 _DONE = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ")
 _MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
@@ -141,7 +143,8 @@ def offset_at(instant: int, zone: str | None) -> int | None:
 
 def instant_of(value: str | None, zone: str | None, order: str | None = "dmy", crawled: int | None = None, calendar: str | None = None) -> int | None:
     """Seconds since 1970 UTC, or None where the value names no instant."""
-    if value is None or not (m := _FORMATS.match(" ".join(value.split()))):
+    tidy = " ".join(value.split()) if value is not None else ""
+    if not tidy or len(tidy) > LONGEST or not (m := _FORMATS.match(tidy)):
         return None
     if m["count"]:
         n = int(m["count"])

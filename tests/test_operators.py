@@ -73,6 +73,11 @@ def test_split_is_exact_and_independent_of_partitions(spark):
     two = {r.k for r in sampling.exact_split(df.repartition(7), "k", fraction=0.1).where("split='validation'").collect()}
     assert one == two and len(one) == 11
     assert sampling.exact_split(df, "k", size=500).where("split='train'").count() == 0
+    assert sampling.exact_split(df, "k", size=0).where("split='validation'").count() == 0
+    many = spark.range(20_000).withColumnRenamed("id", "k")
+    for size in (1, 777, 19_999):
+        assert sampling.exact_split(many, "k", size=size).where("split='validation'").count() == size
+    assert sampling.exact_split(many.where("k < 0"), "k", fraction=0.1).count() == 0
 
 
 def test_heads_and_chat(spark):

@@ -187,3 +187,10 @@ def test_links_sitemap_encoding(spark):
     assert value(spark, html.sitemap_locations(F.col("a")), a=xml) == ["https://x.example/viewforum.php?f=1"]
     assert spark.createDataFrame([(bytearray("ąść".encode("iso-8859-2")),)], "a binary").select(html.latin2(F.col("a"))).first()[0] == "ąść"
     assert value(spark, html.html_text(F.col("a")), a="<p>a<style>b</style></p><p>c</p>") == "a\nc"
+
+
+def test_stamps(spark):
+    t = F.to_timestamp(F.lit("2020-01-31T08:05:09+01:00"))
+    assert value(spark, text.utc_stamp(t)) == "2020-01-31T07:05:09Z"
+    assert len(value(spark, text.utc_stamp())) == 20
+    assert value(spark, text.first_word(F.col("a")), a=" ala ma ") == "ala" and value(spark, text.first_word(F.col("a")), a=" ") == "unknown"
