@@ -1,11 +1,13 @@
 """Problem 4: lines that a site puts into its documents.
 
-Pass 1 keeps, in each task and for each source, a Misra-Gries summary of the lines (one count a
-post); the summaries merge by adding.  A summary's counters grow with the lines a post has, so
-that what a line can lose in all summaries together stays below half of the share looked for:
-every line at or above the share is a candidate.  Pass 2 counts the candidates exactly.  Confirmed
-lines (per source at most the mean lines of a post over the share) are removed with
-broadcast sets while their number is within BROADCAST_LINES, by a join on the source beyond.
+The texts are read once: every line becomes a 64-bit hash of its normal form, kept with where it
+stands in the shared folder; all that follows reads these narrow rows.  Pass 1 keeps, in each task
+and for each source, a Misra-Gries summary of the lines (one count a post); the summaries merge by
+adding.  A summary's counters grow with the lines a post has, so that what a line can lose in all
+summaries together stays below half of the share looked for: every line at or above the share
+is a candidate.  Pass 2 counts the candidates exactly.  Confirmed lines (per source at most the
+mean lines of a post over the share) are removed with broadcast sets while their number is within
+BROADCAST_LINES, by a join on the source beyond.
 """
 
 from __future__ import annotations
@@ -21,27 +23,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftwork.llm import cleanup
+from siftwork.operators.checkpoints import cut
 
 #: Least counters of a summary.
 COUNTERS = 2_000
 #: Most confirmed lines that are broadcast.
 BROADCAST_LINES = 50_000
-#: Characters of a key that is kept whole.
-LONGEST_KEY = 160
+#: Lines a task remembers the keys of; when full, it starts anew.
+SEEN_LINES = 100_000
 
 _DIGITS = re.compile(r"\d+")
-_SPACE = re.compile(r"\s+")
 
 
-def line_key(line: str) -> str:
-    """Equal for lines that differ only in case, white space, characters the clean-up changes and the value of numbers; empty for blank lines.
+def line_form(line: str) -> str:
+    """Equal for lines that differ only in case, white space, characters the clean-up changes and the value of numbers; empty for blank lines."""
+    return _DIGITS.sub("0", "".join(cleanup.fold(line).lower().split()))
 
-    Long keys are a digest behind their beginning, so that what is counted and broadcast has a bound.
-    """
-    key = _DIGITS.sub("0", _SPACE.sub("", cleanup.fold(line)).lower())
-    if len(key) <= LONGEST_KEY:
+
+def line_key(line: str) -> int | None:
+    """64-bit hash of a line's form; None for blank lines."""
+    form = line_form(line)
+    return int.from_bytes(hashlib.blake2b(form.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True) if form else None
+
+
+class Keys(dict):
+    """line_key with a memory."""
+
+    def __missing__(self, line: str) -> int | None:
+        key = line_key(line)
+        if len(line) <= 200:
+            if len(self) >= SEEN_LINES:
+                self.clear()
+            self[line] = key
         return key
-    return key[:LONGEST_KEY] + hashlib.blake2b(key.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
 class Summary:
@@ -50,7 +64,7 @@ class Summary:
     def __init__(self, share: float):
         self.share, self.counts, self.lost, self.lines, self.posts = share, {}, 0, 0, 0
 
-    def add(self, keys: set[str]) -> None:
+    def add(self, keys: set[int]) -> None:
         self.posts += 1
         self.lines += len(keys)
         for k in keys:
@@ -76,59 +90,66 @@ def _unique(posts: list[dict]) -> dict[int, str | None]:
     return out
 
 
-def summaries(threads: DataFrame, share: float) -> DataFrame:
-    """(source, key, n, lost, posts): the tasks' summaries; a row without key has a task's lost counts and posts."""
-    schema = "source string, key string, n bigint, lost bigint, posts bigint"
+def _lines(threads: DataFrame) -> DataFrame:
+    """(source, thread_id, post_index, line_no, key) of every line that isn't blank, and a row with line_no 0 for each post; a post's rows follow each other."""
+    schema = T.StructType([threads.schema["source"], threads.schema["thread_id"], T.StructField("post_index", T.IntegerType()), T.StructField("line_no", T.IntegerType()), T.StructField("key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, Summary] = defaultdict(lambda: Summary(share))
+        known = Keys()
         for b in batches:
-            for source, posts in zip(b.column("source").to_pylist(), b.column("posts").to_pylist(), strict=True):
-                for content in _unique(posts).values():
-                    seen[source].add({k for line in (content or "").split("\n") if (k := line_key(line))})
-        for source, s in seen.items():
-            # a task whose part of the source is small can still tell only frequent lines apart from the rest by count
-            keys = list(s.counts)
-            n = len(keys)
-            columns = [[source] * (n + 1), [*keys, None], [*s.counts.values(), 0], [0] * n + [s.lost], [0] * n + [s.posts]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["source", "key", "n", "lost", "posts"])
+            at, index, no, keys = [], [], [], []
+            for i, posts in enumerate(b.column("posts").to_pylist()):
+                for k, content in _unique(posts).items():
+                    found = [(n, key) for n, line in enumerate(content.split("\n"), 1) if (key := known[line]) is not None] if content else []
+                    found.append((0, None))
+                    at += [i] * len(found)
+                    index += [k] * len(found)
+                    no += [n for n, _ in found]
+                    keys += [key for _, key in found]
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("source").take(rows), b.column("thread_id").take(rows), pa.array(index, pa.int32()), pa.array(no, pa.int32()), pa.array(keys, pa.int64())], names=["source", "thread_id", "post_index", "line_no", "key"])
 
     return threads.mapInArrow(run, schema)
 
 
-def _lines(threads: DataFrame) -> DataFrame:
-    """(source, thread_id, post_index, line_no, key) of every line that isn't blank."""
-    schema = T.StructType([threads.schema["source"], threads.schema["thread_id"], T.StructField("post_index", T.IntegerType()), T.StructField("line_no", T.IntegerType()), T.StructField("key", T.StringType())])
+def summaries(lines: DataFrame, share: float) -> DataFrame:
+    """(source, key, n, lost, posts): the tasks' summaries; a row without key has a task's lost counts and posts."""
+    schema = "source string, key bigint, n bigint, lost bigint, posts bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, Summary] = defaultdict(lambda: Summary(share))
+        post: set[int] = set()
         for b in batches:
-            at, index, no, keys = [], [], [], []
-            for i, posts in enumerate(b.column("posts").to_pylist()):
-                for k, content in _unique(posts).items():
-                    for n, line in enumerate((content or "").split("\n"), 1):
-                        if key := line_key(line):
-                            at.append(i)
-                            index.append(k)
-                            no.append(n)
-                            keys.append(key)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("source").take(rows), b.column("thread_id").take(rows), pa.array(index, pa.int32()), pa.array(no, pa.int32()), pa.array(keys, pa.string())], names=["source", "thread_id", "post_index", "line_no", "key"])
+            for source, no, key in zip(*[b.column(c).to_pylist() for c in ("source", "line_no", "key")], strict=True):
+                if no:
+                    post.add(key)
+                else:  # the post's last row
+                    seen[source].add(post)
+                    post = set()
+        for source, s in seen.items():
+            keys = list(s.counts)
+            n = len(keys)
+            columns = [[source] * (n + 1), [*keys, None], [*s.counts.values(), 0], [0] * n + [s.lost], [0] * n + [s.posts]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["source", "key", "n", "lost", "posts"])
 
-    return threads.mapInArrow(run, schema)
+    return lines.select("source", "line_no", "key").mapInArrow(run, schema)
 
 
-def confirmed_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
-    """(source, key, n): lines in at least ``least`` posts and ``share`` of the source's posts, with their number of posts."""
-    threads = _posts(forum)
-    merged = summaries(threads, share)
+def _confirmed(lines: DataFrame, share: float, least: int) -> DataFrame:
+    merged = summaries(lines, share)
     totals = merged.where(F.col("key").isNull()).groupBy("source").agg(F.sum("lost").alias("lost"), F.sum("posts").alias("posts"))
     totals = totals.withColumn("need", F.greatest(F.lit(float(least)), F.col("posts") * F.lit(share)))
     summed = merged.where(F.col("key").isNotNull()).groupBy("source", "key").agg(F.sum("n").alias("upto"))
     candidates = summed.join(totals, "source").where(F.col("upto") + F.col("lost") >= F.col("need")).select("source", "key", "need")
-    found = _lines(threads).join(candidates, ["source", "key"]).select("source", "key", "need", "thread_id", "post_index").distinct()
+    found = lines.where("line_no > 0").join(candidates, ["source", "key"]).select("source", "key", "need", "thread_id", "post_index").distinct()
     return found.groupBy("source", "key", "need").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("need") - 1e-9).select("source", "key", "n")
 
 
+def confirmed_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
+    """(source, key, n): lines in at least ``least`` posts and ``share`` of the source's posts, with their number of posts."""
+    return _confirmed(cut(_lines(_posts(forum))), share, least)
+
+
 def site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
     """(source, thread_id, post_index, line_no, key) of every line found in a post.
 
@@ -136,7 +157,9 @@ def site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFra
     null or empty content count as posts without lines; rows without source or thread_id are left
     out; an empty table gives no rows.  Other columns of the table don't matter.
     """
-    return _lines(_posts(forum)).join(confirmed_lines(forum, share, least).select("source", "key"), ["source", "key"]).select("source", "thread_id", "post_index", "line_no", "key")
+    lines = cut(_lines(_posts(forum)))
+    found = _confirmed(lines, share, least).select("source", "key")
+    return lines.where("line_no > 0").join(found, ["source", "key"]).select("source", "thread_id", "post_index", "line_no", "key")
 
 
 def without_site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
@@ -146,24 +169,25 @@ def without_site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) ->
     schema = T.StructType([threads.schema["thread_id"], T.StructField("post_index", T.IntegerType()), T.StructField("content", T.StringType()), T.StructField("n_removed", T.IntegerType())])
     head = found.limit(BROADCAST_LINES + 1).collect()
     small = len(head) <= BROADCAST_LINES
-    sets: dict[str, set[str]] = defaultdict(set)
+    sets: dict[str, set[int]] = defaultdict(set)
     if small:
         for r in head:
             sets[r["source"]].add(r["key"])
         shared = threads.sparkSession.sparkContext.broadcast(dict(sets))
-        given = threads.withColumn("keys", F.lit(None).cast("array<string>"))
+        given = threads.withColumn("keys", F.lit(None).cast("array<bigint>"))
     else:
         shared = None
         given = threads.join(found.groupBy("source").agg(F.collect_set("key").alias("keys")), "source", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Keys()
         for b in batches:
             ids, index, out, removed = [], [], [], []
             for source, thread, posts, keys in zip(*[b.column(c).to_pylist() for c in ("source", "thread_id", "posts", "keys")], strict=True):
                 drop = shared.value.get(source, set()) if shared else set(keys or ())
                 for k, content in _unique(posts).items():
                     lines = content.split("\n") if content is not None else []
-                    kept = [line for line in lines if not drop or line_key(line) not in drop or not line.strip()]
+                    kept = [line for line in lines if not drop or known[line] not in drop]
                     ids.append(thread)
                     index.append(k)
                     out.append(None if content is None else "\n".join(kept))
