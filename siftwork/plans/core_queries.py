@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions import html, latex, protocol, text
 from siftwork.operators import dedup, metrics, ngrams, sampling, similarity, threads
+from siftwork.operators.layout import spread
 from siftwork.plans import curation
 from siftwork.schema import CATEGORIES
 from siftwork.sources.readers import union_sources
@@ -16,6 +17,10 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _docs(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return spread(_t(spark, d, "documents").select(*columns))
+
+
 # SQL pieces ---------------------------------------------------------------
 
 _SPACE = r"[\t-\r \x{85}\p{Z}]"
@@ -53,7 +58,7 @@ hits as (select doc_id, arg_min(task_name, pos) as contaminated_task, arg_min(g.
 
 
 def _contamination(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return ngrams.decontaminate(_t(spark, d, "documents").select("doc_id", "n_chars", "text"), ngrams.build_index(_t(spark, d, "benchmark")), "doc_id", F.col("text"))
+    return ngrams.decontaminate(_docs(spark, d, "doc_id", "n_chars", "text"), ngrams.build_index(_t(spark, d, "benchmark")), "doc_id", F.col("text"))
 
 
 def decontam_clean_docs(spark, d):
@@ -85,7 +90,7 @@ _BANDS, _ROWS, _N = 14, 3, 3
 
 
 def _signed(spark, d):
-    return dedup.signatures(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
+    return dedup.signatures(_docs(spark, d, "doc_id", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
 
 
 def minhash_signature(spark, d):
@@ -97,11 +102,11 @@ def lsh_candidate_edges(spark, d):
 
 
 def dedup_clusters(spark, d):
-    return dedup.clusters(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
+    return dedup.clusters(_docs(spark, d, "doc_id", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
 
 
 def _deduped(spark, d):
-    return dedup.deduplicate(_t(spark, d, "documents").select("doc_id", "n_chars", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
+    return dedup.deduplicate(_docs(spark, d, "doc_id", "n_chars", "text"), "doc_id", F.col("text"), _BANDS, _ROWS, _N)
 
 
 def dedup_clean(spark, d):
@@ -118,7 +123,7 @@ def exact_dup_groups(spark, d):
 
 def jaccard_best_match(spark, d):
     """Queries are the documents whose id 50 divides, against all others."""
-    docs = _t(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    docs = _docs(spark, d, "doc_id", "text").where("text is not null")
     found = similarity.best_matches(docs.where("doc_id % 50 = 0"), docs.where("doc_id % 50 <> 0"), "doc_id", F.col("text"))
     return found.select("id", "best_id", F.round("score", 6).alias("score"))
 
