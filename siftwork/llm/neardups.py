@@ -5,9 +5,9 @@ chosen paths: at each step a shared random order of all words samples one of its
 least), and sets that sampled the same words so far share a node; two sets of similarity s
 stay together at a step with probability s.  The first ``depth`` steps are taken at once.  A
 node of at most ``limit`` sets is brute-forced; a larger one is split again, on ``branches``
-sampled words, in a further round that moves only its members.  Nodes that are still too large
-after ``max_depth`` steps are compared whole, in blocks spread over the cluster, so no pair is
-lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``
+sampled words, in a further round that moves only its members.  Large nodes whose members are
+mostly alike, which no split makes smaller, and those still too large after ``max_depth`` steps are
+compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``
 (more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
 (64 two-bit min-hashes), then exactly, by their words.
 
@@ -201,39 +201,53 @@ def _pairs(rows: list[np.ndarray], least: int, threshold: float) -> tuple[np.nda
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-_FOUND = "heavy boolean, a bigint, b bigint, s0 bigint, s1 bigint, ext bigint"
+_FOUND = "kind int, a bigint, b bigint, s0 bigint, s1 bigint, ext bigint"
+PAIR, SPLIT, WHOLE = 0, 1, 2
+#: Mean similarity of a node's members from which a split makes more rows than it saves comparisons: branches times its square nears 1.
+ALIKE = 0.6
 
 
 def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*held, strict=True)]
 
 
+def _likeness(s0: np.ndarray) -> float:
+    """Mean similarity of a node's members, by as many pairs as it has rows."""
+    agree = _agreeing(s0, np.roll(s0, len(s0) // 2)).mean() / 32
+    return (agree - 0.25) / 0.75
+
+
 def _bucketed(rows: DataFrame, limit: int, least: int, threshold: float) -> DataFrame:
-    """Sends nodes together; candidates (a, b) of the small ones, members (a = key, b = sig) of the heavy ones."""
+    """Sends nodes together; candidates (a, b) of the small ones, members (a = key, b = sig) of the large ones, to split or to compare whole."""
 
-    def out(heavy: bool, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), heavy)), *map(pa.array, columns)], names=["heavy", "a", "b", "s0", "s1", "ext"])
+    def out(kind: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *map(pa.array, columns)], names=["kind", "a", "b", "s0", "s1", "ext"])
 
-    def handle(part: list[np.ndarray], heavy_key: int | None) -> Iterator[pa.RecordBatch]:
+    def handle(part: list[np.ndarray], open_key: int | None, open_kind: int) -> tuple[list[pa.RecordBatch], int]:
+        """Batches to send, and the kind of the last node."""
         key = part[0]
         if not len(key):
-            return
+            return [], open_kind
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         size = np.diff(np.concatenate([begins, [len(key)]]))
-        big = size > limit
-        if heavy_key is not None and key[0] == heavy_key:
-            big[0] = True
-        large = np.repeat(big, size)
-        some = ~large & np.repeat(size > 1, size)
+        kinds = np.zeros(len(size), np.int32)
+        for i in np.flatnonzero(size > limit):
+            kinds[i] = WHOLE if _likeness(part[2][begins[i] : begins[i] + size[i]].view(np.uint64)) >= ALIKE else SPLIT
+        if open_key is not None and key[0] == open_key:
+            kinds[0] = open_kind  # the node began in an earlier chunk
+        kind = np.repeat(kinds, size)
+        some = (kind == PAIR) & np.repeat(size > 1, size)
+        sent = []
         a, b = _pairs([c[some] for c in part], least, threshold)
         if len(a):
-            yield out(False, a, b, *[np.zeros_like(a)] * 3)
-        if large.any():
-            yield out(True, *[c[large] for c in part])
+            sent.append(out(np.zeros_like(a), a, b, *[np.zeros_like(a)] * 3))
+        if (kind != PAIR).any():
+            sent.append(out(kind[kind != PAIR], *[c[kind != PAIR] for c in part]))
+        return sent, int(kinds[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
-        n, heavy_key = 0, None
+        n, open_key, open_kind = 0, None, PAIR
         for b in batches:
             held.append([c.to_numpy() for c in b.columns])
             n += b.num_rows
@@ -242,14 +256,15 @@ def _bucketed(rows: DataFrame, limit: int, least: int, threshold: float) -> Data
             part = _joined(held)
             key = part[0]
             last = int(np.searchsorted(key, key[-1]))
-            # an open node that is too large already goes on as it is, and its rest follows in later chunks
-            whole = n - last > limit
+            # an open node that is large already goes on as it is, and its rest follows in later chunks
+            whole = n - last > limit or int(key[-1]) == open_key
             stop = n if whole else last
-            yield from handle([c[:stop] for c in part], heavy_key)
-            heavy_key = int(key[-1]) if whole or int(key[-1]) == heavy_key else None
+            sent, kind = handle([c[:stop] for c in part], open_key, open_kind)
+            yield from sent
+            open_key, open_kind = (int(key[-1]), kind) if whole else (None, PAIR)
             held, n = [[c[stop:] for c in part]], n - stop
         if n:
-            yield from handle(_joined(held), heavy_key)
+            yield from handle(_joined(held), open_key, open_kind)[0]
 
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, _FOUND)
 
@@ -295,10 +310,14 @@ def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995,
     candidates, level = [], depth
     while True:
         found = cut(_bucketed(rows, limit, least, threshold))
-        candidates.append(found.where("not heavy").select("a", "b"))
-        heavy = found.where("heavy").select(F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1", "ext")
-        if heavy.isEmpty():
+        candidates.append(found.where(F.col("kind") == PAIR).select("a", "b"))
+        kinds = {r["kind"] for r in found.select("kind").distinct().collect()}
+        members = found.select("kind", F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1", "ext")
+        if WHOLE in kinds:
+            candidates.append(_whole(members.where(F.col("kind") == WHOLE).drop("kind"), limit, least, threshold))
+        if SPLIT not in kinds:
             break
+        heavy = members.where(F.col("kind") == SPLIT).drop("kind")
         if level >= max_depth:
             candidates.append(_whole(heavy, limit, least, threshold))
             break

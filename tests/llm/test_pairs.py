@@ -56,6 +56,23 @@ def test_splitting_large_nodes_keeps_the_recall(spark):
     assert got <= want and len(got) >= 0.9 * len(want)
 
 
+def test_a_large_group_of_like_texts_is_compared_whole(spark):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
+        rows.append(("post", i, " ".join(words), ""))
+    rows += [("post", 1000 + i, " ".join(f"y{rng.randrange(3000)}" for _ in range(60)), "") for i in range(150)]
+    found = nd._bucketed(nd._first_paths(nd.word_sets(spark.createDataFrame(rows, SCHEMA), 30).select("sig", "words"), 3, 1, 7), 40, 40, 0.7)
+    kinds = {r.kind: r["count"] for r in found.groupBy("kind").count().collect()}
+    assert kinds.get(nd.WHOLE, 0) > 100 and kinds.get(nd.SPLIT, 0) == 0
+    got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), recall=0.9999, limit=40).collect()}
+    assert got == brute(rows) and len(got) > 10_000
+
+
 def test_copies_pair_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(40))
     df = spark.createDataFrame([("post", i, text, "") for i in range(5)], SCHEMA)
