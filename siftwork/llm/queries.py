@@ -135,5 +135,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit()}
 
 
+_ADDRESS = r"'^(?:https?://)?(?:(?:www|m)\.)*([a-z0-9.-]+?)(?::\d+)?/(?:temat/(\d+)|(?:[^?#]*-)?t(\d+)\.html|viewtopic\.php\?(?:[^#]*&)?t=(\d+)|forum\.php\?(?:[^#]*&)?id=(\d+))(?:\W|$)'"
+_TIDY = "replace(lower(trim(regexp_replace({}, '\\s+', ' ', 'g'))), '&amp;', '&')"
+
+
+def _class(ranges: str) -> str:
+    """A character class for SQL, by code points."""
+    return "[" + "".join(c if c == "-" else f"\\x{{{ord(c):x}}}" for c in ranges) + "]"
+
+
+def _p3_sql() -> str:
+    host = r"regexp_extract({}, '^(?:https?://)?(?:(?:www|m)\.)*([a-z0-9.-]+?)(?::\d+)?(?:[/?#]|$)', 1)".format(_TIDY.format("url"))
+    number = "try_cast(coalesce(" + ", ".join(f"nullif(regexp_extract(u, {_ADDRESS}, {i}), '')" for i in (2, 3, 4, 5)) + ") as bigint)"
+    return f"""with s as (select host, arg_max(source, (n, source)) as site from (select {host} as host, source, count(*) as n from forum_example_fixed where url is not null and source is not null group by 1, 2) where host <> '' group by host),
+r as (select distinct record_id, {_TIDY.format("source_url")} as u from pipeline_output where source_url is not null),
+t as (select record_id, regexp_extract(u, {_ADDRESS}, 1) as host, {number} as thread_no from r)
+select distinct t.record_id, s.site, t.thread_no from t join s on s.host = t.host where t.thread_no is not null"""
+
+
+def _p7_sql() -> str:
+    """Only the cases; the repair by vocabulary has no short SQL."""
+    from siftwork.llm import cleanup as c
+
+    foreign, latin = c.GREEK + c.CYRILLIC, c._LATIN.pattern[1:-1]
+    bare = f"regexp_replace(t, '{_class(c.INVISIBLE)}', '', 'g')"
+    seam = "|".join(f"{_class(x)}{_class(y)}" for x, y in ((latin, foreign), (foreign, latin)))
+    return f"""with x as (select 'question' as field, record_id as id, question as t from pipeline_output union all select 'post', thread_id * 1000 + p.index, p.content from (select thread_id, unnest(posts) as p from forum_example_fixed)),
+y as (select field, id, t, {bare} as b from x where t is not null)
+select distinct field, id from y where regexp_matches(t, '{_class(c.WIDE + c.LIGATURES)}|{_class(c.ODD_BLANKS)}|{_class(c.INVISIBLE)}') or length(nfc_normalize(b)) < length(b) or regexp_matches(nfc_normalize(b), '{seam}')"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p3_found": _p3_sql(), "p7_found": _p7_sql()}

@@ -1,5 +1,6 @@
 from pathlib import Path
 
+import duckdb
 import pytest
 
 from siftwork.llm import queries
@@ -19,3 +20,14 @@ def test_query(spark, name):
         assert set(df.columns) == COLUMNS[name]
     rows = [str(r) for r in df.collect()]
     assert rows and (name == "p9_mix" or len(rows) == len(set(rows)) or not name.endswith("_found"))
+
+
+@pytest.mark.skipif(not DATA.exists(), reason="no test tables")
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_gives_the_rows_of_its_sql(spark, name):
+    con = duckdb.connect()
+    for p in DATA.iterdir():
+        con.execute(f"create view {p.stem} as select * from '{p}'")
+    want = con.sql(queries.oracle_sql()[name])
+    got = queries.queries()[name](spark, str(DATA)).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
