@@ -165,5 +165,56 @@ y as (select field, id, t, {bare} as b from x where t is not null)
 select distinct field, id from y where regexp_matches(t, '{_class(c.WIDE + c.LIGATURES)}|{_class(c.ODD_BLANKS)}|{_class(c.INVISIBLE)}') or length(nfc_normalize(b)) < length(b) or regexp_matches(nfc_normalize(b), '{seam}')"""
 
 
+def _clean_sql(t: str) -> str:
+    """The clean-up but for look-alikes, and but for ligatures that no table has."""
+    from siftwork.llm import cleanup as c
+
+    wide = "".join(chr(x) for r in ((0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A)) for x in range(r[0], r[1] + 1))
+    plain = "".join(chr(ord(x) - 0xFEE0) for x in wide)
+    x = f"regexp_replace(regexp_replace({t}, '{_class(c.INVISIBLE)}', '', 'g'), '{_class(c.ODD_BLANKS)}', ' ', 'g')"
+    for ligature, letters in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
+        x = f"replace({x}, '{ligature}', '{letters}')"
+    return f"nfc_normalize(translate({x}, '{wide}', '{plain}'))"
+
+
+def _own_script_sql(w: str) -> str:
+    """A word whose look-alikes are exchanged where it mixes scripts; every such word of the tables is a Latin one."""
+    from siftwork.llm import cleanup as c
+
+    return f"case when regexp_matches({w}, '{_class(c._LATIN.pattern[1:-1])}') and regexp_matches({w}, '{_class(c.GREEK + c.CYRILLIC)}') then translate({w}, '{''.join(c.TO_LATIN)}', '{''.join(c.TO_LATIN.values())}') else {w} end"
+
+
+def _words_sql(t: str) -> str:
+    return f"list_transform(regexp_extract_all({_clean_sql(t)}, '[\\p{{L}}\\p{{N}}]+'), lambda w: lower({_own_script_sql('w')}))"
+
+
+_POSTS_SQL = "(select distinct source, thread_id, p.index as post_index, p.content from (select source, thread_id, unnest(posts) as p from forum_example_fixed))"
+
+
+def _p1_sql() -> str:
+    return f"""with x as (select distinct 'question' as field, record_id as id, question as t from pipeline_output where question is not null union select 'post', thread_id * 1000 + post_index, content from {_POSTS_SQL} where content is not null),
+w as (select distinct field, id, unnest({_words_sql("t")}) as w from x), n as (select field, id, count(*) as n from w group by field, id having count(*) >= 30),
+v as (select w.field, w.id, w.w from w join n on n.field = w.field and n.id = w.id),
+p as (select a.field, a.id as id_a, b.id as id_b, count(*) as k from v a join v b on a.field = b.field and a.w = b.w and a.id < b.id group by a.field, a.id, b.id)
+select p.field, id_a, id_b from p join n na on na.field = p.field and na.id = id_a join n nb on nb.field = p.field and nb.id = id_b where k >= 0.7 * (na.n + nb.n - k) - 1e-9"""
+
+
+def _p2_sql() -> str:
+    grams = "list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))"
+    return f"""with b as (select task_id, unnest([task, solution]) as t from benchmark), bw as (select task_id, {_words_sql("t")} as w from b where t is not null),
+bg as (select distinct task_id, unnest({grams}) as g from bw where len(w) >= 13), r as (select record_id, unnest([question, solution]) as t from pipeline_output),
+rw as (select record_id, {_words_sql("t")} as w from r where t is not null), rg as (select distinct record_id, unnest({grams}) as g from rw where len(w) >= 13)
+select distinct record_id, task_id from rg join bg on rg.g = bg.g"""
+
+
+def _p4_sql() -> str:
+    parts = f"list_transform(regexp_extract_all({_clean_sql('line')}, '\\p{{L}}+|\\P{{L}}+'), lambda w: {_own_script_sql('w')})"
+    form = f"regexp_replace(regexp_replace(lower(array_to_string({parts}, '')), '[\\s\\p{{Z}}]+', '', 'g'), '\\d+', '0', 'g')"
+    return f"""with p as (select * from {_POSTS_SQL} where source is not null and thread_id is not null and post_index is not null), n as (select source, count(*) as posts from p group by source),
+l as (select source, thread_id, post_index, unnest(string_split(content, chr(10))) as line, unnest(range(1, len(string_split(content, chr(10))) + 1)) as line_no from p where content is not null),
+f as (select source, thread_id, post_index, line_no::int as line_no, {form} as form from l), c as (select source, form, count(distinct thread_id * 1000 + post_index) as k from f where form <> '' group by source, form)
+select thread_id, post_index, line_no from f join c on c.source = f.source and c.form = f.form join n on n.source = f.source where k >= greatest(5, 0.05 * posts)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p3_found": _p3_sql(), "p7_found": _p7_sql()}
+    return {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p3_found": _p3_sql(), "p4_found": _p4_sql(), "p7_found": _p7_sql()}
