@@ -25,7 +25,7 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.leaks import leaked
 
-    return leaked(tb.table(spark, sf_dir, "pipeline_output"), "record_id", ["question", "solution"], tb.table(spark, sf_dir, "benchmark"), "task_id", ["task", "solution"])
+    return leaked(tb.texts(spark, sf_dir, "pipeline_output"), "record_id", ["question", "solution"], tb.table(spark, sf_dir, "benchmark"), "task_id", ["task", "solution"])
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.encode import encode_corpus
 
-    return encode_corpus(tb.table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
+    return encode_corpus(tb.texts(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,14 +77,14 @@ def p4_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.defects import pair_defects
 
-    kept = tb.table(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
+    kept = tb.texts(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
     return pair_defects(kept).where(F.size("defects") > 0).select("record_id", F.element_at("defects", 1).alias("defect")).distinct()
 
 
 def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.defects import pair_defects
 
-    kept = tb.table(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
+    kept = tb.texts(spark, sf_dir, "pipeline_output").where("kept").select("record_id", "question", "solution", "filter_reason")
     return pair_defects(kept).select("record_id", F.explode("defects").alias("defect")).distinct()
 
 
@@ -106,7 +106,7 @@ def p7_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.mixing import mix
 
-    return mix(tb.table(spark, sf_dir, "documents").select("doc_id", "source", "text"), tb.table(spark, sf_dir, "mix_targets"))
+    return mix(tb.texts(spark, sf_dir, "documents").select("doc_id", "source", "text"), tb.table(spark, sf_dir, "mix_targets"))
 
 
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,13 +122,13 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.spam_pages import spam_pages
 
-    return spam_pages(tb.table(spark, sf_dir, "documents").select("doc_id", "text")).where("spam").select("doc_id").distinct()
+    return spam_pages(tb.texts(spark, sf_dir, "documents").select("doc_id", "text")).where("spam").select("doc_id").distinct()
 
 
 def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.spam_pages import spam_pages
 
-    return spam_pages(tb.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spam_pages(tb.texts(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

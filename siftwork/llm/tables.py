@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwork.operators.layout import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy for each row: one in fewer pieces than there are cores is dealt out over them."""
+    return spread(table(spark, sf_dir, name))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per post and delivery: source, thread_id, scraped_at, post_index, id (the post's key), author, date, content."""
     return (
