@@ -5,9 +5,10 @@ chosen paths: at each step a shared random order of all words samples one of its
 least), and sets that sampled the same words so far share a node; two sets of similarity s
 stay together at a step with probability s.  The first ``depth`` steps are taken at once.  A
 node of at most ``limit`` sets is brute-forced; a larger one is split again, on ``branches``
-sampled words, in a further round that moves only its members.  Large nodes whose members are
+sampled words, in a further round that moves only its members.  These words are each run's own, so runs
+stay independent.  Large nodes whose members are
 mostly alike, which no split makes smaller, and those still too large after ``max_depth`` steps are
-compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``
+compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``, all splits counted
 (more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
 (64 two-bit min-hashes), then exactly, by their words.
 
@@ -34,7 +35,7 @@ from siftwork.operators.components import connected_components
 
 #: Two-bit parts of a sketch, in two words.
 SKETCH = 64
-#: Sampled words that rows carry for the steps after the first ones.
+#: Sampled words that the rows of each run carry for the steps after the first ones.
 CARRIED = 4
 #: Rows a task gathers before it compares them.
 CHUNK = 120_000
@@ -57,8 +58,8 @@ def _orders(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
-def _sampled(words: np.ndarray, starts: np.ndarray, a: np.uint32, b: np.uint32) -> np.ndarray:
-    """The word of each set that comes first in an order, as its place in it."""
+def _sampled(words: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The word of each set that comes first in an order (one for all, or one for each word), as its place in it."""
     with np.errstate(over="ignore"):
         x = words * a + b
         x ^= x >> np.uint32(15)
@@ -67,8 +68,20 @@ def _sampled(words: np.ndarray, starts: np.ndarray, a: np.uint32, b: np.uint32)
     return np.minimum.reduceat(x, starts)
 
 
-def runs_for(recall: float, threshold: float, depth: int) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth)))
+def runs_for(recall: float, threshold: float, depth: int, splits: int = 0, branches: int = 2) -> int:
+    """Runs after which a pair at the threshold has met with probability ``recall``, if its nodes are split ``splits`` times in each."""
+    carried, kept = min(splits, CARRIED // branches), 1.0
+    for _ in range(splits - carried):  # by words of the node's own: one branch must keep the pair
+        kept = 1 - (1 - threshold * kept) ** branches
+    nodes = {1: 1.0}  # how many nodes hold the pair after the carried words, which all nodes of a run share, and how probably
+    for _ in range(carried):
+        then: dict[int, float] = {}
+        for n, p in nodes.items():
+            for k in range(branches + 1):
+                then[n * k] = then.get(n * k, 0.0) + p * math.comb(branches, k) * threshold**k * (1 - threshold) ** (branches - k)
+        nodes = then
+    met = threshold**depth * sum(p * (1 - (1 - kept) ** n) for n, p in nodes.items())
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
 def word_sets(df: DataFrame, min_words: int) -> DataFrame:
@@ -116,8 +129,8 @@ _ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint, ext bigint"
 
 def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = SKETCH + runs * depth + CARRIED
-        a, b_ = _orders(n, seed)
+        n = SKETCH + runs * depth
+        a, b_ = _orders(n + runs * CARRIED, seed)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -125,17 +138,19 @@ def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame
             sketch = np.zeros((2, b.num_rows), np.uint64)
             for i in range(SKETCH):
                 sketch[i // 32] |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(3)) << np.uint64(2 * (i % 32))
-            # for later steps: CARRIED sampled words of 12 bits; above them the set's size
-            ext = np.minimum(np.diff(np.append(starts, len(words))), 65535).astype(np.uint64) << np.uint64(48)
-            for i in range(CARRIED):
-                ext |= (_sampled(words, starts, a[n - i - 1], b_[n - i - 1]).astype(np.uint64) & np.uint64(4095)) << np.uint64(12 * i)
-            rest = [b.column("sig"), *[pa.array(c.view(np.int64)) for c in (sketch[0], sketch[1], ext)]]
+            size = np.minimum(np.diff(np.append(starts, len(words))), 65535).astype(np.uint64) << np.uint64(48)
+            rest = [b.column("sig"), *[pa.array(c.view(np.int64)) for c in sketch]]
             for r in range(runs):
+                # for later steps: CARRIED sampled words of 12 bits, the run's own; above them the set's size
+                ext = size.copy()
+                for c in range(CARRIED):
+                    i = n + r * CARRIED + c
+                    ext |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(4095)) << np.uint64(12 * c)
                 key = np.full(b.num_rows, r + 1, np.uint64)
                 for d in range(depth):
                     i = SKETCH + r * depth + d
                     key = _mix(key * np.uint64(31) + _sampled(words, starts, a[i], b_[i]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *rest], names=["key", "sig", "s0", "s1", "ext"])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *rest, pa.array(ext.view(np.int64))], names=["key", "sig", "s0", "s1", "ext"])
 
     return sets.mapInArrow(run, _ROWS)
 
@@ -154,18 +169,21 @@ def _carried_paths(heavy: DataFrame, step: int, branches: int) -> DataFrame:
     return heavy.select("key", "sig", "s0", "s1", "ext").mapInArrow(run, _ROWS)
 
 
-def _next_paths(heavy: DataFrame, level: int, branches: int, seed: int) -> DataFrame:
-    """As _carried_paths, for rows that have their words: steps beyond the carried ones."""
+def _next_paths(heavy: DataFrame, branches: int) -> DataFrame:
+    """As _carried_paths, for rows that have their words: steps beyond the carried ones, by orders drawn from node and branch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b_ = _orders(branches, seed + 1000 + level)
         for b in batches:
             if not b.num_rows:
                 continue
             words, starts = _arrays(b, "words")
+            lengths = np.diff(np.append(starts, len(words)))
             parent = b.column("key").to_numpy().view(np.uint64)
             for j in range(branches):
-                key = _mix(_mix(parent + np.uint64(j + 1)) * np.uint64(31) + _sampled(words, starts, a[j], b_[j]).astype(np.uint64))
+                node = _mix(parent + np.uint64(j + 1))
+                drawn = _mix(node ^ _M2)
+                first = _sampled(words, starts, np.repeat(drawn.astype(np.uint32) | np.uint32(1), lengths), np.repeat((drawn >> np.uint64(32)).astype(np.uint32), lengths))
+                key = _mix(node * np.uint64(31) + first.astype(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *b.columns[1:5]], names=["key", "sig", "s0", "s1", "ext"])
 
     return heavy.select("key", "sig", "s0", "s1", "ext", "words").mapInArrow(run, _ROWS)
@@ -306,7 +324,7 @@ def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995,
     # a pair at the threshold agrees in this many sketch parts but for 2.8 standard deviations
     agree = threshold + (1 - threshold) / 4
     least = int(SKETCH * agree - 2.8 * math.sqrt(SKETCH * agree * (1 - agree)))
-    rows = _first_paths(sets, runs_for(recall, threshold, depth), depth, seed)
+    rows = _first_paths(sets, runs_for(recall, threshold, depth, max(0, max_depth - depth), branches), depth, seed)
     candidates, level = [], depth
     while True:
         found = cut(_bucketed(rows, limit, least, threshold))
@@ -323,7 +341,7 @@ def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995,
             break
         step = level - depth
         level += 1
-        rows = _carried_paths(heavy, step, branches) if (step + 1) * branches <= CARRIED else _next_paths(heavy.join(sets, "sig"), level, branches, seed)
+        rows = _carried_paths(heavy, step, branches) if (step + 1) * branches <= CARRIED else _next_paths(heavy.join(sets, "sig"), branches)
     pairs = candidates[0]
     for c in candidates[1:]:
         pairs = pairs.unionByName(c)

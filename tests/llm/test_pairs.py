@@ -56,6 +56,24 @@ def test_splitting_large_nodes_keeps_the_recall(spark):
     assert got <= want and len(got) >= 0.9 * len(want)
 
 
+def test_runs_stay_independent_in_a_hot_group_that_is_split(spark):
+    rng = random.Random(4)
+    common, rows = [f"c{i}" for i in range(40)], []
+    for k in range(300):  # pairs at 50 / 70 in a group whose members are otherwise 40 / 80 alike
+        own = [f"o{k}n{i}" for i in range(10)]
+        rows += [("post", 2 * k + e, " ".join(rng.sample(common + own + [f"d{k}e{e}n{i}" for i in range(10)], 60)), "") for e in (0, 1)]
+    want = brute(rows)
+    assert want == {("post", 2 * k, 2 * k + 1) for k in range(300)}
+    got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), limit=20).collect()}
+    # at 0.995 a pair and 300 pairs, five lost ones are beyond chance
+    assert got <= want and len(got) >= len(want) - 5
+
+
+def test_runs_count_the_splits():
+    assert nd.runs_for(0.995, 0.7, 3) == 13
+    assert nd.runs_for(0.995, 0.7, 3, splits=9) == 17
+
+
 def test_a_large_group_of_like_texts_is_compared_whole(spark):
     rng = random.Random(8)
     base = [f"w{i}" for i in range(60)]
