@@ -8,7 +8,7 @@ node of at most ``limit`` sets is brute-forced; a larger one is split again, on
 sampled words, in a further round that moves only its members.  These words are each run's own, so runs
 stay independent.  Large nodes whose members are
 mostly alike, which no split makes smaller, and those still too large after ``max_depth`` steps are
-compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``, all splits counted
+compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``, all splits and the sketch counted
 (more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
 (64 two-bit min-hashes), then exactly, by their words.
 
@@ -68,6 +68,14 @@ def _sampled(words: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray
     return np.minimum.reduceat(x, starts)
 
 
+def sketch_bound(recall: float, threshold: float) -> tuple[int, float]:
+    """Parts of a sketch that a candidate must agree in, and the share of pairs at the threshold that this loses, at most half of what ``recall`` allows."""
+    agree, least, lost = threshold + (1 - threshold) / 4, 0, 0.0
+    while (p := math.comb(SKETCH, least) * agree**least * (1 - agree) ** (SKETCH - least)) + lost <= (1 - recall) / 2:
+        least, lost = least + 1, lost + p
+    return least, lost
+
+
 def runs_for(recall: float, threshold: float, depth: int, splits: int = 0, branches: int = 2) -> int:
     """Runs after which a pair at the threshold has met with probability ``recall``, if its nodes are split ``splits`` times in each."""
     carried, kept = min(splits, CARRIED // branches), 1.0
@@ -321,10 +329,9 @@ def _whole(heavy: DataFrame, limit: int, least: int, threshold: float) -> DataFr
 def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, depth: int = 3, branches: int = 2, limit: int = 2000, max_depth: int = 12, seed: int = 7) -> DataFrame:
     """(a, b, similarity) of different sets, a < b by sig, of ``raw`` (columns sig, words, kept where it can be read twice)."""
     sets = raw.select("sig", "words").dropDuplicates(["sig"])
-    # a pair at the threshold agrees in this many sketch parts but for 2.8 standard deviations
-    agree = threshold + (1 - threshold) / 4
-    least = int(SKETCH * agree - 2.8 * math.sqrt(SKETCH * agree * (1 - agree)))
-    rows = _first_paths(sets, runs_for(recall, threshold, depth, max(0, max_depth - depth), branches), depth, seed)
+    least, lost = sketch_bound(recall, threshold)
+    runs = runs_for(recall / (1 - lost), threshold, depth, max(0, max_depth - depth), branches)
+    rows = _first_paths(sets, runs, depth, seed)
     candidates, level = [], depth
     while True:
         found = cut(_bucketed(rows, limit, least, threshold))

@@ -74,6 +74,19 @@ def test_runs_count_the_splits():
     assert nd.runs_for(0.995, 0.7, 3, splits=9) == 17
 
 
+def test_the_sketch_is_counted_in_the_recall(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(2000):  # pairs of similarity 42 / 60
+        both = [f"b{k}n{i}" for i in range(42)]
+        rows += [("post", 2 * k + e, " ".join(rng.sample(both + [f"d{k}e{e}n{i}" for i in range(9)], 51)), "") for e in (0, 1)]
+    got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), recall=0.9999).collect()}
+    assert got <= {("post", 2 * k, 2 * k + 1) for k in range(2000)} and len(got) >= 1999
+    for recall in (0.9, 0.995, 0.9999):
+        least, lost = nd.sketch_bound(recall, 0.7)
+        assert lost <= (1 - recall) / 2 and 30 < least <= 45
+
+
 def test_a_large_group_of_like_texts_is_compared_whole(spark):
     rng = random.Random(8)
     base = [f"w{i}" for i in range(60)]
