@@ -17,7 +17,7 @@ def gram_counts(docs: DataFrame, id_col: str, text: Column, n: int = 3) -> DataF
 
 
 def best_matches(queries: DataFrame, kept: DataFrame, id_col: str, text: Column, n: int = 3) -> DataFrame:
-    """(id, best_id, score) of each query: the kept document of greatest multiset Jaccard, the least id among equals; null and 0 where no gram is shared.
+    """(id, best_id, score) of each query: the kept document of greatest multiset Jaccard but for the query's own id, the least id among equals; null and 0 where no gram is shared.
 
     The queries are the small side, stated by the caller; all kept documents are compared by the
     grams that they share with one.  The union of a pair follows from its parts' sizes, so only
@@ -26,7 +26,7 @@ def best_matches(queries: DataFrame, kept: DataFrame, id_col: str, text: Column,
     q, k = gram_counts(queries, id_col, text, n), gram_counts(kept, id_col, text, n)
     size_q = q.groupBy("id").agg(F.sum("n").alias("total")).select(F.col("id"), "total")
     size_k = k.groupBy("id").agg(F.sum("n").alias("total_k")).select(F.col("id").alias("kid"), "total_k")
-    shared = q.join(k.select(F.col("id").alias("kid"), "gram", F.col("n").alias("m")), "gram")
+    shared = q.join(k.select(F.col("id").alias("kid"), "gram", F.col("n").alias("m")), "gram").where("id <> kid")
     both = shared.groupBy("id", "kid").agg(F.sum(F.least("n", "m")).alias("both"))
     scored = both.join(size_q, "id").join(size_k, "kid").withColumn("score", F.col("both") / (F.col("total") + F.col("total_k") - F.col("both")))
     best = scored.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "kid"))).where("rank = 1")
