@@ -254,11 +254,11 @@ def url_canonical(spark, d):
 
 
 def id_range_missing(spark, d):
-    """Ids that the last of the sources, by name, has not given a thread for."""
-    forum = _t(spark, d, "forum_example_fixed").select("source", "thread_id")
-    last, source = forum.agg(F.max("thread_id"), F.max("source")).first()
-    have = forum.where(F.col("source") == F.lit(source)).select(F.col("thread_id").alias("id"))
-    return threads.not_done(threads.id_range(spark, 1, last or 0, "https://pages.example/temat,%d"), have, "id")
+    """Per source: the ids up to the last thread of all sources that the source has not given a thread for."""
+    have = _t(spark, d, "forum_example_fixed").where("source is not null").select("source", F.col("thread_id").alias("id")).distinct()
+    last = have.agg(F.max("id")).first()[0]
+    grid = have.select("source").distinct().crossJoin(threads.id_range(spark, 1, last or 0, "https://pages.example/temat,%d"))
+    return grid.join(have, ["source", "id"], "left_anti").select("source", "id", "url")
 
 
 def consecutive_misses(spark, d):
