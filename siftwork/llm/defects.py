@@ -153,11 +153,39 @@ def is_truncated(text: str) -> bool:
     return t[-1].isalpha() and len(cleanup.WORD.findall(t)) > 4
 
 
+_DISPLAY = re.compile(r"\\\\|\\\$|(\$\$?)|\\([\[\]])|\\(begin|end)\s*\{([^{}]*)\}|(\n)")
+
+
+def _open_display(t: str) -> bool:
+    """Whether a $$, \\[ or \\begin of any line is still open at the end."""
+    if "$$" not in t and "\\[" not in t and "\\begin" not in t:
+        return False
+    inline = dollars = bracket = False
+    environments: list[str] = []
+    for m in _DISPLAY.finditer(t):
+        sign, square, kind, name, line = m.groups()
+        if sign == "$$" and not inline:
+            dollars = not dollars
+        elif sign == "$" and not dollars:
+            inline = not inline
+        elif square:
+            bracket = square == "["
+        elif kind == "begin":
+            environments.append(name)
+        elif kind == "end" and name in environments:
+            del environments[len(environments) - 1 - environments[::-1].index(name) :]
+        elif line:
+            inline = False  # a single dollar holds for its line
+    return dollars or bracket or bool(environments)
+
+
 def _open_formula(t: str) -> bool:
-    """Whether the text ends inside a formula.  An odd number of dollar signs alone tells nothing of the end: what follows the last one must not read as closed prose."""
+    """Whether the text ends inside a formula; displays and environments may have begun on any line, the rest is seen from the last sentence.  An odd number of dollar signs alone tells nothing of the end: what follows the last one must not read as closed prose."""
     tail = t[max(t.rfind("\n"), t.rfind(". "), t.rfind("! "), t.rfind("? "), -1) + 1 :]
     if tail[-1:] in ".!?":
         return False
+    if _open_display(t):
+        return True
     if tail.replace("\\$", "").count("$") % 2:
         return True
     if any(tail.rfind(begin) > tail.rfind(end) for begin, end in (("\\(", "\\)"), ("\\[", "\\]"))):

@@ -180,3 +180,12 @@ def test_decoding_is_that_of_plain_viterbi():
         return max(best)[1]
 
     assert [list(x) for x in spam_pages.decode(model, pages)] == [plain(p) for p in pages]
+
+
+def test_a_display_left_open_on_an_earlier_line_is_truncated():
+    from siftwork.llm.defects import is_truncated
+
+    for begin in ("\\[", "$$", "\\begin{cases}", "Niech $a$ oraz\n$$"):
+        assert is_truncated(f"Zatem mamy\n{begin}\nx = 5"), begin
+    for whole in ("\\[\nx = 5\n\\]", "$$\nx = 5\n$$", "\\begin{cases}\nx = 5 \\\\[2pt]\ny = 3\n\\end{cases}", "Cena 5$ oraz\n$a$$b$ = 5"):
+        assert not is_truncated(f"Zatem mamy\n{whole}"), whole
