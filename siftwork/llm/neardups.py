@@ -1,20 +1,25 @@
 """Problem 1: near-duplicate records with small edits, by a chosen-path set-similarity join.
 
-A record is the set of its words.  Equal sets are one class from the start.  A class follows
-chosen paths: at each step a shared random order of all words samples one of its words (the
-least), and sets that sampled the same words so far share a node; two sets of similarity s
-stay together at a step with probability s.  The first ``depth`` steps are taken at once.  A
-node of at most ``limit`` sets is brute-forced; a larger one is split again, on ``branches``
-sampled words, in a further round that moves only its members.  These words are each run's own, so runs
-stay independent.  Large nodes whose members are
-mostly alike, which no split makes smaller, and those still too large after ``max_depth`` steps are
-compared whole, in blocks spread over the cluster, so no pair is lost to a cap.  Runs repeat until a pair at the threshold is met with probability ``recall``, all splits and the sketch counted
-(more similar pairs meet far more surely).  Candidates are compared first by 128-bit sketches
-(64 two-bit min-hashes), then exactly, by their words.
-
-What is shuffled: each distinct set twice, 40 bytes a run and set, the candidates.  Rows carry a few
-sampled words, so the first splits of large nodes don't ask for the sets again.  Bucket work
-streams over sorted rows; no task holds a whole node beyond ``limit`` rows.
+A record is the set of its words.  Equal sets are one class from the start.  A run starts with all
+sets in one node and splits recursively on sampled shared words: a node draws random orders of
+all words, each set goes to the child named by its first word in an order, and two sets of similarity s
+share a child of one order with probability s.  The root draws one order, every other node one or more, 1 / threshold on
+average, so a pair at the threshold stays in one child on average (its chance to be still together
+after k levels falls like 1 / k, not exponentially).  A node of at most ``limit`` sets (twice as many on each further level) is brute-forced.  Nodes draw
+their orders independently of each other and of other runs, and runs repeat until a pair at the
+threshold has met with probability ``recall``, counted for the deepest level any node came to and with what the sketch loses.
+
+A node whose members are alike all over, by a sum over all of them, is not made smaller by splits: it is compared whole,
+in pairs of blocks spread over the cluster, and so is what ``max_depth`` levels could not split.  No pair is lost to a cap.
+
+Hot nodes never meet in one task.  Before anything is shuffled, each level's nodes are counted (partial counts are combined in the map); those with more than a
+CELLS-th of the level's rows, at most CELLS of them, are known to all tasks, which take their members on to the next
+level where they stand.  What is shuffled to a node, once a run, has below a CELLS-th of the rows.  Nodes between
+``limit`` and that are split by another shuffle of their members alone.
+
+Candidates pass two sketches that travel with the rows: a 128-bit odd sketch, whose differing bits are a
+lower bound of the differing words, so it loses nothing, and 64 two-bit min-hashes, for long texts.  Then
+they are compared exactly, by their words.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +38,22 @@ from siftwork.llm import cleanup
 from siftwork.operators.checkpoints import cut
 from siftwork.operators.components import connected_components
 
-#: Two-bit parts of a sketch, in two words.
+#: Two-bit parts of the min-hash sketch, in two words.
 SKETCH = 64
-#: Sampled words that the rows of each run carry for the steps after the first ones.
-CARRIED = 4
+#: Nodes of a level that all tasks know, at most: 8 bytes each are broadcast.
+CELLS = 16_384
 #: Rows a task gathers before it compares them.
 CHUNK = 120_000
+#: Rows of a block of a node that is compared whole.
+BLOCK = 16_384
+#: Words whose hashes a task remembers; when full, it starts anew.
 WORDS = 500_000
+#: A node is compared whole where its members' mean similarity is above this share of the threshold.
+ALIKE = 0.9
+#: Min-hashes by which the mean similarity is summed.
+TOLD = 16
+
+_TOLD_BITS = np.arange(0, 2 * TOLD, 2, dtype=np.uint64)
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
@@ -51,13 +65,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(33))
 
 
-@lru_cache(maxsize=8)
-def _orders(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """n random orders of the 32-bit word hashes: odd factors and offsets."""
-    rng = np.random.default_rng(seed)
-    return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
-
-
 def _sampled(words: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The word of each set that comes first in an order (one for all, or one for each word), as its place in it."""
     with np.errstate(over="ignore"):
@@ -76,20 +83,24 @@ def sketch_bound(recall: float, threshold: float) -> tuple[int, float]:
     return least, lost
 
 
-def runs_for(recall: float, threshold: float, depth: int, splits: int = 0, branches: int = 2) -> int:
-    """Runs after which a pair at the threshold has met with probability ``recall``, if its nodes are split ``splits`` times in each."""
-    carried, kept = min(splits, CARRIED // branches), 1.0
-    for _ in range(splits - carried):  # by words of the node's own: one branch must keep the pair
-        kept = 1 - (1 - threshold * kept) ** branches
-    nodes = {1: 1.0}  # how many nodes hold the pair after the carried words, which all nodes of a run share, and how probably
-    for _ in range(carried):
-        then: dict[int, float] = {}
-        for n, p in nodes.items():
-            for k in range(branches + 1):
-                then[n * k] = then.get(n * k, 0.0) + p * math.comb(branches, k) * threshold**k * (1 - threshold) ** (branches - k)
-        nodes = then
-    met = threshold**depth * sum(p * (1 - (1 - kept) ** n) for n, p in nodes.items())
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met)))
+def met(threshold: float, depth: int) -> float:
+    """Chance that one run brings a pair at the threshold into one node of level ``depth``."""
+    few, more = int(1 / threshold), 1 / threshold - int(1 / threshold)
+    kept = 1.0
+    for _ in range(depth - 1):
+        apart = 1 - threshold * kept
+        kept = 1 - ((1 - more) * apart**few + more * apart ** (few + 1))
+    return threshold * kept
+
+
+def runs_for(recall: float, threshold: float, depth: int) -> int:
+    """Runs after which a pair at the threshold has met with probability ``recall``, if no node lies deeper than ``depth``."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - met(threshold, depth))))
+
+
+def limit_at(limit: int, level: int) -> int:
+    """Sets of a node of a level that is brute-forced: twice as many a level, as each level asks for more runs of all; 16 times at most."""
+    return limit << min(level - 1, 4)
 
 
 def word_sets(df: DataFrame, min_words: int) -> DataFrame:
@@ -132,13 +143,21 @@ def _arrays(b: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     return col.values.to_numpy().view(np.uint32)[offsets[0] : offsets[-1]], (offsets[:-1] - offsets[0]).astype(np.int64)
 
 
-_ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint, ext bigint"
+def _odd(words: np.ndarray, starts: np.ndarray, wide: int) -> list[np.ndarray]:
+    """Odd sketches of ``wide`` words: each bit is the parity of the set's words that hash to it."""
+    with np.errstate(over="ignore"):
+        h = words * np.uint32(0x9E3779B1)
+        h ^= h >> np.uint32(16)
+    bit, at = np.uint64(1) << (h & np.uint32(63)).astype(np.uint64), (h >> np.uint32(6)) % np.uint32(wide)
+    return [np.bitwise_xor.reduceat(np.where(at == k, bit, np.uint64(0)), starts) for k in range(wide)]
+
 
+def with_sketches(sets: DataFrame, seed: int) -> DataFrame:
+    """(sig, words, s0, s1, o0, o1, size): the sets with their min-hash sketch, odd sketch and size."""
 
-def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = SKETCH + runs * depth
-        a, b_ = _orders(n + runs * CARRIED, seed)
+        rng = np.random.default_rng(seed)
+        a, b_ = rng.integers(0, 1 << 31, SKETCH, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, SKETCH, dtype=np.uint32)
         for b in batches:
             if not b.num_rows:
                 continue
@@ -146,39 +165,83 @@ def _first_paths(sets: DataFrame, runs: int, depth: int, seed: int) -> DataFrame
             sketch = np.zeros((2, b.num_rows), np.uint64)
             for i in range(SKETCH):
                 sketch[i // 32] |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(3)) << np.uint64(2 * (i % 32))
-            size = np.minimum(np.diff(np.append(starts, len(words))), 65535).astype(np.uint64) << np.uint64(48)
-            rest = [b.column("sig"), *[pa.array(c.view(np.int64)) for c in sketch]]
-            for r in range(runs):
-                # for later steps: CARRIED sampled words of 12 bits, the run's own; above them the set's size
-                ext = size.copy()
-                for c in range(CARRIED):
-                    i = n + r * CARRIED + c
-                    ext |= (_sampled(words, starts, a[i], b_[i]).astype(np.uint64) & np.uint64(4095)) << np.uint64(12 * c)
-                key = np.full(b.num_rows, r + 1, np.uint64)
-                for d in range(depth):
-                    i = SKETCH + r * depth + d
-                    key = _mix(key * np.uint64(31) + _sampled(words, starts, a[i], b_[i]).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *rest, pa.array(ext.view(np.int64))], names=["key", "sig", "s0", "s1", "ext"])
-
-    return sets.mapInArrow(run, _ROWS)
-
-
-def _carried_paths(heavy: DataFrame, step: int, branches: int) -> DataFrame:
-    """Members of too large nodes, one step further on each branch, by the sampled words that the rows carry."""
+            size = np.diff(np.append(starts, len(words))).astype(np.int32)
+            columns = [pa.array(c.view(np.int64)) for c in (*sketch, *_odd(words, starts, 2))]
+            yield pa.RecordBatch.from_arrays([b.column("sig"), b.column("words"), *columns, pa.array(size)], names=["sig", "words", "s0", "s1", "o0", "o1", "size"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parent, ext = (b.column(c).to_numpy().view(np.uint64) for c in ("key", "ext"))
-            for j in range(branches):
-                word = (ext >> np.uint64(12 * (step * branches + j))) & np.uint64(4095)
-                key = _mix(_mix(parent + np.uint64(j + 1)) * np.uint64(31) + word)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *b.columns[1:]], names=b.schema.names)
+    return sets.select("sig", "words").mapInArrow(run, "sig bigint, words array<int>, s0 bigint, s1 bigint, o0 bigint, o1 bigint, size int")
+
+
+def _in(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are among sorted ones."""
+    if not len(known):
+        return np.zeros(len(keys), bool)
+    at = np.searchsorted(known, keys)
+    at[at == len(known)] = 0
+    return known[at] == keys
 
-    return heavy.select("key", "sig", "s0", "s1", "ext").mapInArrow(run, _ROWS)
 
+def _root(run: int, seed: int) -> np.uint64:
+    return _mix(np.array([(seed << 32) + run + 1], np.uint64))[0]
 
-def _next_paths(heavy: DataFrame, branches: int) -> DataFrame:
-    """As _carried_paths, for rows that have their words: steps beyond the carried ones, by orders drawn from node and branch."""
+
+def _branches(keys: np.ndarray, threshold: float) -> np.ndarray:
+    """How many orders each node draws: 1 / threshold on average."""
+    few = int(1 / threshold)
+    coin = (_mix(keys ^ _M1) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return few + (coin < 1 / threshold - few).astype(np.int64)
+
+
+def _children(keys: np.ndarray, words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, j: int) -> np.ndarray:
+    """The child on branch j for each set in its node; words of the sets follow each other."""
+    with np.errstate(over="ignore"):
+        node = _mix(keys + np.uint64(j + 1))
+        drawn = _mix(node ^ _M2)
+        first = _sampled(words, starts, np.repeat(drawn.astype(np.uint32) | np.uint32(1), lengths), np.repeat((drawn >> np.uint64(32)).astype(np.uint32), lengths))
+        return _mix(node * np.uint64(31) + first.astype(np.uint64))
+
+
+@dataclass
+class Tree:
+    """What all tasks know of some runs: the hot nodes of each level, which are split where they stand, and those to compare whole."""
+
+    runs: range
+    threshold: float
+    seed: int
+    hot: list[np.ndarray] = field(default_factory=list)
+    whole: list[np.ndarray] = field(default_factory=list)
+
+    def descend(self, words: np.ndarray, starts: np.ndarray, lengths: np.ndarray, run: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(level, rows, nodes, hot): where the sets of a batch stand in a run, level by level, and which of these nodes are split further."""
+        rows, level = np.arange(len(starts)), 1
+        keys = np.full(len(starts), _root(run, self.seed), np.uint64)
+        with np.errstate(over="ignore"):
+            node = _mix(keys[:1] + np.uint64(1))
+            drawn = _mix(node ^ _M2)[0]
+            first = _sampled(words, starts, np.uint32(drawn & np.uint64(0xFFFFFFFF)) | np.uint32(1), np.uint32(drawn >> np.uint64(32)))
+            keys = _mix(node * np.uint64(31) + first.astype(np.uint64))
+        while True:
+            hot = _in(keys, self.hot[level - 1]) if level <= len(self.hot) else np.zeros(len(keys), bool)
+            yield level, rows, keys, hot
+            rows, keys = rows[hot], keys[hot]
+            if not len(rows):
+                return
+            several = _branches(keys, self.threshold)
+            next_rows, next_keys = [], []
+            for j in range(int(several.max())):
+                some = several > j
+                r, k = rows[some], keys[some]
+                n = lengths[r]
+                begins = np.cumsum(n) - n
+                own = words[np.repeat(starts[r] - begins, n) + np.arange(n.sum())]
+                next_rows.append(r)
+                next_keys.append(_children(k, own, begins, n, j))
+            rows, keys = np.concatenate(next_rows), np.concatenate(next_keys)
+            level += 1
+
+
+def _tallied(sets: DataFrame, tree: Tree, level: int) -> DataFrame:
+    """(kind, key, n): sets in each node of a level (kind -1), and for the nodes above it, their number (kind TOLD) and how many have a one in each of TOLD min-hash bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -186,169 +249,324 @@ def _next_paths(heavy: DataFrame, branches: int) -> DataFrame:
                 continue
             words, starts = _arrays(b, "words")
             lengths = np.diff(np.append(starts, len(words)))
-            parent = b.column("key").to_numpy().view(np.uint64)
-            for j in range(branches):
-                node = _mix(parent + np.uint64(j + 1))
-                drawn = _mix(node ^ _M2)
-                first = _sampled(words, starts, np.repeat(drawn.astype(np.uint32) | np.uint32(1), lengths), np.repeat((drawn >> np.uint64(32)).astype(np.uint32), lengths))
-                key = _mix(node * np.uint64(31) + first.astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *b.columns[1:5]], names=["key", "sig", "s0", "s1", "ext"])
+            s0 = b.column("s0").to_numpy().view(np.uint64)
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            for r in tree.runs:
+                for at, rows, keys, hot in tree.descend(words, starts, lengths, r):
+                    if at == level:
+                        key, n = np.unique(keys, return_counts=True)
+                        out.append((np.full(len(key), -1), key, n))
+                    elif at == level - 1 and hot.any():
+                        order = np.argsort(keys[hot])
+                        own = keys[hot][order]
+                        begins = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                        bits = (s0[rows[hot][order], None] >> _TOLD_BITS & np.uint64(1)).astype(np.int64)
+                        sums = np.column_stack([np.add.reduceat(bits, begins, axis=0), np.diff(np.append(begins, len(own)))])
+                        out.append((np.tile(np.arange(TOLD + 1), len(begins)), np.repeat(own[begins], TOLD + 1), sums.ravel()))
+            if out:
+                kind, key, n = (np.concatenate(c) for c in zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["kind", "key", "n"])
+
+    counted = sets.select("words", "s0").mapInArrow(run, "kind int, key bigint, n bigint")
+    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+
+def _likeness(n, ones: list):
+    """Mean similarity of a node's members over all pairs, from how many have a one in each min-hash bit (columns)."""
+    agree = sum((one * one + (n - one) * (n - one)) / (n * n) for one in ones) / len(ones)
+    return 2 * agree - 1
+
+
+def grown(sets: DataFrame, tree: Tree, limit: int, cells: int, max_depth: int) -> Tree:
+    """The tree down to the level where no node is hot; at most ``cells`` nodes a level come to the driver."""
+    while True:
+        level = len(tree.hot) + 1
+        counted = cut(_tallied(sets, tree, level))
+        total = counted.where("kind = -1").agg(F.sum("n")).first()[0] or 0
+        bound = max(limit_at(limit, level), total // cells)
+        nodes = sorted(r["key"] & ((1 << 64) - 1) for r in counted.where((F.col("kind") == -1) & (F.col("n") > bound)).select("key").collect())
+        if level > 1:
+            told = counted.where("kind >= 0").groupBy("key").pivot("kind", list(range(TOLD + 1))).agg(F.first("n")).na.fill(0)
+            alike = told.where(_likeness(F.col(str(TOLD)).cast("double"), [F.col(str(i)).cast("double") for i in range(TOLD)]) >= ALIKE * tree.threshold)
+            whole = np.array(sorted(r["key"] & ((1 << 64) - 1) for r in alike.select("key").collect()), np.uint64)
+            tree.whole[-1], tree.hot[-1] = whole, tree.hot[-1][~_in(tree.hot[-1], whole)]
+            if not len(tree.hot[-1]):
+                tree.hot.pop()
+                return tree
+        if not nodes:
+            return tree
+        if level >= max_depth:
+            tree.whole.append(np.array(nodes, np.uint64))
+            return tree
+        tree.hot.append(np.array(nodes, np.uint64))
+        tree.whole.append(np.zeros(0, np.uint64))
 
-    return heavy.select("key", "sig", "s0", "s1", "ext", "words").mapInArrow(run, _ROWS)
 
+_ROWS = "key bigint, sig bigint, s0 bigint, s1 bigint, o0 bigint, o1 bigint, size int"
+_CARRIED = ("sig", "s0", "s1", "o0", "o1", "size")
 
-def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """How many of a word's 32 two-bit parts agree."""
-    d = x ^ y
-    return 32 - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).astype(np.int16)
 
+def _leaves(sets: DataFrame, tree: Tree, whole: bool) -> DataFrame:
+    """The sets in each node where their descent ends: those to shuffle, or those to compare whole."""
 
-def _pairs(rows: list[np.ndarray], least: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """All close pairs of different sets within the nodes of sorted rows (key, sig, s0, s1, ext), by comparing each row with the d-th after it."""
-    key, sig, s0, s1 = rows[0], rows[1], rows[2].view(np.uint64), rows[3].view(np.uint64)
-    size = (rows[4].view(np.uint64) >> np.uint64(48)).astype(np.int64)
-    size[size == 65535] = 0  # too large to tell
-    left, right = [], []
-    at, d = np.arange(len(key)), 1
-    while True:
-        at = at[at + d < len(key)]
-        at = at[key[at] == key[at + d]]
-        if not len(at):
-            break
-        some = _agreeing(s0[at], s0[at + d])
-        hit = at[some >= least - 32]
-        hit = hit[_agreeing(s1[hit], s1[hit + d]) + some[some >= least - 32] >= least]
-        small, large = np.minimum(size[hit], size[hit + d]), np.maximum(size[hit], size[hit + d])
-        hit = hit[(sig[hit] != sig[hit + d]) & ((small == 0) | (small >= threshold * large - 1e-9))]
-        left.append(np.minimum(sig[hit], sig[hit + d]))
-        right.append(np.maximum(sig[hit], sig[hit + d]))
-        d += 1
-    none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            words, starts = _arrays(b, "words")
+            lengths = np.diff(np.append(starts, len(words)))
+            for r in tree.runs:
+                for level, rows, keys, hot in tree.descend(words, starts, lengths, r):
+                    entire = _in(keys, tree.whole[level - 1]) if level <= len(tree.whole) else np.zeros(len(keys), bool)
+                    some = entire if whole else ~hot & ~entire
+                    if some.any():
+                        take = pa.array(rows[some])
+                        yield pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), *[b.column(c).take(take) for c in _CARRIED]], names=["key", *_CARRIED])
 
-_FOUND = "kind int, a bigint, b bigint, s0 bigint, s1 bigint, ext bigint"
-PAIR, SPLIT, WHOLE = 0, 1, 2
-#: Mean similarity of a node's members from which a split makes more rows than it saves comparisons: branches times its square nears 1.
-ALIKE = 0.6
+    return sets.select("words", *_CARRIED).mapInArrow(run, _ROWS)
 
 
-def _joined(held: list[list[np.ndarray]]) -> list[np.ndarray]:
-    return [np.concatenate(c) for c in zip(*held, strict=True)]
+def _next(heavy: DataFrame, threshold: float) -> DataFrame:
+    """Members of nodes to split, with their words, one level further."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = b.column("key").to_numpy().view(np.uint64)
+            several = _branches(keys, threshold)
+            for j in range(int(several.max())):
+                some = b.filter(pa.array(several > j))
+                words, starts = _arrays(some, "words")
+                child = _children(keys[several > j], words, starts, np.diff(np.append(starts, len(words))), j)
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *[some.column(c) for c in _CARRIED]], names=["key", *_CARRIED])
 
-def _likeness(s0: np.ndarray) -> float:
-    """Mean similarity of a node's members, by as many pairs as it has rows."""
-    agree = _agreeing(s0, np.roll(s0, len(s0) // 2)).mean() / 32
-    return (agree - 0.25) / 0.75
+    return heavy.select("key", *_CARRIED, "words").mapInArrow(run, _ROWS)
 
 
-def _bucketed(rows: DataFrame, limit: int, least: int, threshold: float) -> DataFrame:
-    """Sends nodes together; candidates (a, b) of the small ones, members (a = key, b = sig) of the large ones, to split or to compare whole."""
+def _agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of a word's 32 two-bit parts agree."""
+    d = x ^ y
+    return 32 - np.bitwise_count((d | (d >> np.uint64(1))) & np.uint64(0x5555555555555555)).astype(np.int16)
 
-    def out(kind: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *map(pa.array, columns)], names=["kind", "a", "b", "s0", "s1", "ext"])
 
-    def handle(part: list[np.ndarray], open_key: int | None, open_kind: int) -> tuple[list[pa.RecordBatch], int]:
-        """Batches to send, and the kind of the last node."""
-        key = part[0]
+@dataclass
+class Filter:
+    """Which pairs of rows can be close: by sizes, by odd sketches (without loss), by ``least`` agreeing min-hash parts."""
+
+    threshold: float
+    least: int
+
+    def differing(self, sizes):
+        """How many words of two sets may differ, given the sum of their sizes."""
+        return sizes * ((1 - self.threshold) / (1 + self.threshold)) + 1e-6
+
+    def passing(self, rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = rows["sig"][i] != rows["sig"][j]
+        i, j = i[ok], j[ok]
+        size = rows["size"]
+        small, large = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+        apart = sum(np.bitwise_count(rows[o][i] ^ rows[o][j]).astype(np.int16) for o in rows if o[0] == "o")
+        ok = (small >= self.threshold * large - 1e-9) & (apart <= self.differing(small + large))
+        i, j = i[ok], j[ok]
+        ok = _agreeing(rows["s0"][i], rows["s0"][j]) + _agreeing(rows["s1"][i], rows["s1"][j]) >= self.least
+        return i[ok], j[ok]
+
+    def pairs(self, rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(a, b), a < b, of all close pairs within the nodes of rows sorted by key and size."""
+        key, size, sig = rows["key"], rows["size"].astype(np.int64), rows["sig"]
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        ends = np.append(begins[1:], len(key))
+        left, right = [], []
+
+        def keep(i: np.ndarray, j: np.ndarray) -> None:
+            i, j = self.passing(rows, i, j)
+            left.append(np.minimum(sig[i], sig[j]))
+            right.append(np.maximum(sig[i], sig[j]))
+
+        # small nodes: each row with the d-th after it, all nodes at once
+        small = np.repeat(ends - begins <= 64, ends - begins)
+        at, d, odd = np.flatnonzero(small), 1, (rows["o0"], rows["o1"])
+        while True:
+            at = at[at + d < len(key)]
+            at = at[key[at] == key[at + d]]
+            if not len(at):
+                break
+            hit = at[sum(np.bitwise_count(o[at] ^ o[at + d]) for o in odd) <= self.differing(size[at] + size[at + d])]
+            keep(hit, hit + d)
+            d += 1
+        # large ones: each row with all after it that aren't too large for it
+        for begin, end in zip(begins[ends - begins > 64].tolist(), ends[ends - begins > 64].tolist(), strict=True):
+            own = size[begin:end]
+            stops = begin + np.searchsorted(own, own / self.threshold + 1e-9, side="right")
+            most = np.minimum(self.differing(own + own / self.threshold), 255).astype(np.uint8)
+            buffer, count, more = np.empty(end - begin, np.uint64), np.empty(end - begin, np.uint8), np.empty(end - begin, np.uint8)
+            i, j, held = [], [], 0
+            for k, (stop, bound) in enumerate(zip(stops.tolist(), most.tolist(), strict=True), begin):
+                n = stop - k - 1
+                np.bitwise_xor(odd[0][k + 1 : stop], odd[0][k], out=buffer[:n])
+                np.bitwise_count(buffer[:n], out=count[:n])
+                np.bitwise_xor(odd[1][k + 1 : stop], odd[1][k], out=buffer[:n])
+                count[:n] += np.bitwise_count(buffer[:n], out=more[:n])
+                hit = np.flatnonzero(count[:n] <= bound)
+                if len(hit):
+                    i.append(np.full(len(hit), k))
+                    j.append(hit + k + 1)
+                    held += len(hit)
+                    if held > 1_000_000:
+                        keep(np.concatenate(i), np.concatenate(j))
+                        i, j, held = [], [], 0
+            if held:
+                keep(np.concatenate(i), np.concatenate(j))
+        none = np.zeros(0, np.int64)
+        return np.concatenate(left or [none]), np.concatenate(right or [none])
+
+
+def _rows(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+    return {n: c.to_numpy().view(np.uint64) if n[0] in "so" and n not in ("sig", "size") else c.to_numpy() for n, c in zip(b.schema.names, b.columns, strict=True)}
+
+
+def _joined(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {n: np.concatenate([h[n] for h in held]) for n in held[0]}
+
+
+def _part(rows: dict[str, np.ndarray], which) -> dict[str, np.ndarray]:
+    return {n: c[which] for n, c in rows.items()}
+
+
+def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), *[none] * 4, pa.nulls(len(a), pa.int32())], names=["key", "sig", "b", "s0", "s1", "o0", "o1", "size"])
+
+
+def _bucketed(rows: DataFrame, limit: int, check: Filter) -> DataFrame:
+    """Sends nodes together; candidates (sig, b; no key) of those within ``limit``, the members of larger ones as they are."""
+
+    def handle(part: dict[str, np.ndarray], open_key: int | None) -> Iterator[pa.RecordBatch]:
+        key = part["key"]
         if not len(key):
-            return [], open_kind
+            return
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        size = np.diff(np.concatenate([begins, [len(key)]]))
-        kinds = np.zeros(len(size), np.int32)
-        for i in np.flatnonzero(size > limit):
-            kinds[i] = WHOLE if _likeness(part[2][begins[i] : begins[i] + size[i]].view(np.uint64)) >= ALIKE else SPLIT
-        if open_key is not None and key[0] == open_key:
-            kinds[0] = open_kind  # the node began in an earlier chunk
-        kind = np.repeat(kinds, size)
-        some = (kind == PAIR) & np.repeat(size > 1, size)
-        sent = []
-        a, b = _pairs([c[some] for c in part], least, threshold)
+        size = np.diff(np.append(begins, len(key)))
+        large = size > limit
+        large[0] |= open_key is not None and int(key[0]) == open_key  # the node began in an earlier chunk
+        split = np.repeat(large, size)
+        a, b = check.pairs(_part(part, ~split))
         if len(a):
-            sent.append(out(np.zeros_like(a), a, b, *[np.zeros_like(a)] * 3))
-        if (kind != PAIR).any():
-            sent.append(out(kind[kind != PAIR], *[c[kind != PAIR] for c in part]))
-        return sent, int(kinds[-1])
+            yield _pair_batch(a, b)
+        if split.any():
+            some = _part(part, split)
+            n = len(some["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(some["key"]), pa.array(some["sig"]), pa.nulls(n, pa.int64()), *[pa.array(some[c].view(np.int64)) for c in ("s0", "s1", "o0", "o1")], pa.array(some["size"])], names=["key", "sig", "b", "s0", "s1", "o0", "o1", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        n, open_key, open_kind = 0, None, PAIR
+        held: list[dict[str, np.ndarray]] = []
+        n, open_key = 0, None
         for b in batches:
-            held.append([c.to_numpy() for c in b.columns])
+            held.append(_rows(b))
             n += b.num_rows
             if n < CHUNK:
                 continue
             part = _joined(held)
-            key = part[0]
+            key = part["key"]
             last = int(np.searchsorted(key, key[-1]))
             # an open node that is large already goes on as it is, and its rest follows in later chunks
             whole = n - last > limit or int(key[-1]) == open_key
             stop = n if whole else last
-            sent, kind = handle([c[:stop] for c in part], open_key, open_kind)
-            yield from sent
-            open_key, open_kind = (int(key[-1]), kind) if whole else (None, PAIR)
-            held, n = [[c[stop:] for c in part]], n - stop
+            yield from handle(_part(part, slice(stop)), open_key)
+            open_key = int(key[-1]) if whole else None
+            held, n = [_part(part, slice(stop, None))], n - stop
         if n:
-            yield from handle(_joined(held), open_key, open_kind)[0]
+            yield from handle(_joined(held), open_key)
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, _FOUND)
+    schema = "key bigint, sig bigint, b bigint, s0 bigint, s1 bigint, o0 bigint, o1 bigint, size int"
+    return rows.repartition("key").sortWithinPartitions("key", "size").mapInArrow(run, schema)
 
 
-def _whole(heavy: DataFrame, limit: int, least: int, threshold: float) -> DataFrame:
-    """Candidates of nodes that splitting can't reduce: each is cut into blocks, and each pair of blocks is one group."""
-    sizes = heavy.groupBy("key").agg(F.count("*").alias("n"))
-    half = limit // 2
-    cut_up = heavy.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / half).cast("int"))
-    cut_up = cut_up.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    cells = cut_up.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    cells = cells.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "s0", "s1", "ext")
+#: Words of the odd sketch by which nodes are compared whole.
+WIDE = 8
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        n = 0
 
-        def done(part: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _pairs(part, least, threshold)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def _whole(members: DataFrame, sets: DataFrame, block: int, check: Filter) -> DataFrame:
+    """Candidates of whole nodes (key, sig): each is cut into blocks, and each pair of blocks is one group.  Odd sketches of 512 bits let hardly any other than the true pairs through."""
 
+    def widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            held.append([c.to_numpy() for c in b.columns])
+            if b.num_rows:
+                wide = np.stack(_odd(*_arrays(b, "words"), WIDE), axis=1).tobytes()
+                offsets = pa.py_buffer(np.arange(0, (b.num_rows + 1) * WIDE * 8, WIDE * 8, dtype=np.int32).tobytes())
+                odd = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, offsets, pa.py_buffer(wide)])
+                yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("key", "sig", "s0", "s1", "size")], odd], names=["key", "sig", "s0", "s1", "size", "odd"])
+
+    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    with_words = members.select("key", "sig").join(sets.select("sig", "s0", "s1", "size", "words"), "sig")
+    wide = with_words.mapInArrow(widened, "key bigint, sig bigint, s0 bigint, s1 bigint, size int, odd binary").join(sizes, "key")
+    placed = wide.withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cells = placed.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("key"), "sig", "s0", "s1", "size", "odd")
+
+    def rows_of(b: pa.RecordBatch) -> dict[str, np.ndarray]:
+        out = _rows(b.drop_columns(["odd"]))
+        col = b.column("odd")
+        offsets = np.frombuffer(col.buffers()[1], np.int32)[col.offset : col.offset + len(col) + 1]
+        odd = np.frombuffer(col.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].copy().view(np.uint64).reshape(-1, WIDE)
+        return out | {f"o{k}": np.ascontiguousarray(odd[:, k]) for k in range(WIDE)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        n = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append(rows_of(b))
             n += b.num_rows
             if n >= CHUNK:
                 part = _joined(held)
-                if last := int(np.searchsorted(part[0], part[0][-1])):
-                    yield done([c[:last] for c in part])
-                held, n = [[c[last:] for c in part]], n - last
+                if last := int(np.searchsorted(part["key"], part["key"][-1])):
+                    yield _two(*check.pairs(_part(part, slice(last))))
+                held, n = [_part(part, slice(last, None))], n - last
         if n:
-            yield done(_joined(held))
+            yield _two(*check.pairs(_joined(held)))
+
+    return cells.repartition("key").sortWithinPartitions("key", "size").mapInArrow(run, "a bigint, b bigint")
+
 
-    return cells.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+def _two(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, depth: int = 3, branches: int = 2, limit: int = 2000, max_depth: int = 12, seed: int = 7) -> DataFrame:
+def _met_in(sets: DataFrame, runs: range, check: Filter, limit: int, cells: int, block: int, max_depth: int, seed: int) -> tuple[list[DataFrame], int]:
+    """Candidates (a, b) of some runs, and the deepest level of their nodes."""
+    tree = grown(sets, Tree(runs, check.threshold, seed), limit, cells, max_depth)
+    depth = len(tree.hot) + 1
+    out = [_whole(_leaves(sets, tree, whole=True), sets, block, check)] if any(map(len, tree.whole)) else []
+    rows = _leaves(sets, tree, whole=False)
+    while True:
+        found = cut(_bucketed(rows, limit_at(limit, depth), check))
+        out.append(found.where("key is null").select(F.col("sig").alias("a"), "b"))
+        heavy = found.where("key is not null")
+        if heavy.isEmpty():
+            return out, depth
+        ones = [F.sum(F.shiftrightunsigned("s0", 2 * i).bitwiseAND(F.lit(1))).cast("double") for i in range(TOLD)]
+        entire = heavy.groupBy("key").agg(_likeness(F.count("*").cast("double"), ones).alias("alike")).where((F.col("alike") >= ALIKE * check.threshold) | F.lit(depth >= max_depth)).select("key")
+        entire = cut(entire)
+        if not entire.isEmpty():
+            out.append(_whole(heavy.join(entire, "key", "left_semi"), sets, block, check))
+        if depth >= max_depth:
+            return out, depth
+        rows = _next(heavy.join(entire, "key", "left_anti").join(sets.select("sig", "words"), "sig"), check.threshold)
+        depth += 1
+
+
+def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, limit: int = 1000, max_depth: int = 30, seed: int = 7, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """(a, b, similarity) of different sets, a < b by sig, of ``raw`` (columns sig, words, kept where it can be read twice)."""
-    sets = raw.select("sig", "words").dropDuplicates(["sig"])
+    sets = cut(with_sketches(raw.select("sig", "words").dropDuplicates(["sig"]), seed))
     least, lost = sketch_bound(recall, threshold)
-    runs = runs_for(recall / (1 - lost), threshold, depth, max(0, max_depth - depth), branches)
-    rows = _first_paths(sets, runs, depth, seed)
-    candidates, level = [], depth
-    while True:
-        found = cut(_bucketed(rows, limit, least, threshold))
-        candidates.append(found.where(F.col("kind") == PAIR).select("a", "b"))
-        kinds = {r["kind"] for r in found.select("kind").distinct().collect()}
-        members = found.select("kind", F.col("a").alias("key"), F.col("b").alias("sig"), "s0", "s1", "ext")
-        if WHOLE in kinds:
-            candidates.append(_whole(members.where(F.col("kind") == WHOLE).drop("kind"), limit, least, threshold))
-        if SPLIT not in kinds:
-            break
-        heavy = members.where(F.col("kind") == SPLIT).drop("kind")
-        if level >= max_depth:
-            candidates.append(_whole(heavy, limit, least, threshold))
-            break
-        step = level - depth
-        level += 1
-        rows = _carried_paths(heavy, step, branches) if (step + 1) * branches <= CARRIED else _next_paths(heavy.join(sets, "sig"), branches)
+    check = Filter(threshold, least)
+    done, depth, candidates = 0, 2, []
+    while done < (need := runs_for(recall / (1 - lost), threshold, depth)):
+        found, deepest = _met_in(sets, range(done, need), check, limit, cells, block, max_depth, seed)
+        candidates += found
+        done, depth = need, max(depth, deepest)
     pairs = candidates[0]
     for c in candidates[1:]:
         pairs = pairs.unionByName(c)
@@ -356,8 +574,8 @@ def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995,
     one = sets.select(F.col("sig").alias("a"), F.col("words").alias("wa"))
     two = sets.select(F.col("sig").alias("b"), F.col("words").alias("wb"))
     both = F.size(F.array_intersect("wa", "wb"))
-    done = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("wa") + F.size("wb") - both).alias("either"))
-    return done.where(F.col("both") >= F.col("either") * F.lit(threshold) - 1e-9).select("a", "b", (F.col("both") / F.col("either")).alias("similarity"))
+    done_ = pairs.join(one, "a").join(two, "b").select("a", "b", both.alias("both"), (F.size("wa") + F.size("wb") - both).alias("either"))
+    return done_.where(F.col("both") >= F.col("either") * F.lit(threshold) - 1e-9).select("a", "b", (F.col("both") / F.col("either")).alias("similarity"))
 
 
 def near_duplicate_pairs(df: DataFrame, threshold: float = 0.7, min_words: int = 30, **how) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from siftwork.llm import cleanup, leaks
@@ -43,7 +44,7 @@ def test_whole_comparison_in_blocks_loses_nothing(spark):
     rows = corpus(groups=6)
     df = spark.createDataFrame(rows, SCHEMA)
     # every node is too large at once, so all are compared in blocks
-    got = [tuple(r) for r in nd.near_duplicate_pairs(df, recall=0.99999, depth=1, limit=2, max_depth=1).collect()]
+    got = [tuple(r) for r in nd.near_duplicate_pairs(df, recall=0.99999, limit=1, max_depth=1, block=3).collect()]
     assert set(got) == brute(rows) and len(got) == len(set(got))
 
 
@@ -51,30 +52,50 @@ def test_splitting_large_nodes_keeps_the_recall(spark):
     rows = corpus(groups=30)
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
-    # every node is split, first by the carried words, then by the sets'
-    got = {tuple(r) for r in nd.near_duplicate_pairs(df, recall=0.9999, depth=1, limit=3, max_depth=6).collect()}
-    assert got <= want and len(got) >= 0.9 * len(want)
+    # every node is split, where its rows stand or, with one cell, in shuffles of its own
+    for cells in (nd.CELLS, 1):
+        got = {tuple(r) for r in nd.near_duplicate_pairs(df, recall=0.9999, limit=1, cells=cells).collect()}
+        assert got == want
 
 
-def test_runs_stay_independent_in_a_hot_group_that_is_split(spark):
-    rng = random.Random(4)
-    common, rows = [f"c{i}" for i in range(40)], []
-    for k in range(300):  # pairs at 50 / 70 in a group whose members are otherwise 40 / 80 alike
-        own = [f"o{k}n{i}" for i in range(10)]
-        rows += [("post", 2 * k + e, " ".join(rng.sample(common + own + [f"d{k}e{e}n{i}" for i in range(10)], 60)), "") for e in (0, 1)]
-    want = brute(rows)
-    assert want == {("post", 2 * k, 2 * k + 1) for k in range(300)}
-    got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), limit=20).collect()}
-    # at 0.995 a pair and 300 pairs, five lost ones are beyond chance
-    assert got <= want and len(got) >= len(want) - 5
+def templated(groups, shared, own, single, seed=4):
+    """Pairs (2 k, 2 k + 1) of one template of ``shared`` words, which all texts have."""
+    rng = random.Random(seed)
+    common, rows = [f"c{i}" for i in range(shared)], []
+    for k in range(groups):
+        words = common + [f"o{k}n{i}" for i in range(own)]
+        rows += [("post", 2 * k + e, " ".join(rng.sample(words + [f"d{k}e{e}n{i}" for i in range(single)], len(words) + single)), "") for e in (0, 1)]
+    return rows, {("post", 2 * k, 2 * k + 1) for k in range(groups)}
+
+
+def test_a_hot_template_reaches_the_asked_recall(spark):
+    # pairs at 50 / 70 in a group whose members are otherwise 40 / 80 alike
+    for groups, cells in ((2000, nd.CELLS), (300, 1)):
+        rows, want = templated(groups, 40, 10, 10)
+        if groups < 500:
+            assert brute(rows) == want
+        got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), limit=20, cells=cells).collect()}
+        # at the asked 0.995, more lost pairs than this have a chance below one in a thousand
+        assert got <= want and len(want) - len(got) <= 0.005 * groups + 3.1 * (0.005 * groups) ** 0.5 + 1
+
 
+def test_runs_count_the_levels():
+    assert [round(nd.met(0.7, d), 3) for d in (1, 2, 3, 6)] == [0.7, 0.553, 0.461, 0.313]
+    assert nd.runs_for(0.995, 0.7, 1) == 5 and nd.runs_for(0.995, 0.7, 3) == 9
+    assert round(nd.met(0.4, 2), 2) == 0.28  # two or three orders a node
 
-def test_runs_count_the_splits():
-    assert nd.runs_for(0.995, 0.7, 3) == 13
-    assert nd.runs_for(0.995, 0.7, 3, splits=9) == 17
 
+def test_no_task_gets_a_hot_node(spark):
+    rows, _ = templated(400, 40, 10, 10)
+    sets = nd.with_sketches(nd.word_sets(spark.createDataFrame(rows, SCHEMA), 30).select("sig", "words"), 7).cache()
+    tree = nd.grown(sets, nd.Tree(range(6), 0.7, 7), 20, nd.CELLS, 30)
+    largest = nd._leaves(sets, tree, whole=False).groupBy("key").count().agg(F.max("count")).first()[0]
+    assert len(tree.hot) > 2 and largest <= nd.limit_at(20, len(tree.hot) + 1)
+    # every set ends in each run, whether its nodes are split or not
+    assert nd._leaves(sets, tree, whole=False).groupBy("sig").count().agg(F.min("count")).first()[0] >= 6
 
-def test_the_sketch_is_counted_in_the_recall(spark):
+
+def test_the_sketches_are_counted_in_the_recall(spark):
     rng = random.Random(6)
     rows = []
     for k in range(2000):  # pairs of similarity 42 / 60
@@ -87,6 +108,16 @@ def test_the_sketch_is_counted_in_the_recall(spark):
         assert lost <= (1 - recall) / 2 and 30 < least <= 45
 
 
+def test_odd_sketches_never_differ_in_more_bits_than_words():
+    rng = np.random.default_rng(1)
+    words = [np.unique(rng.integers(0, 1 << 32, n, dtype=np.uint32)) for n in (1, 40, 70, 400)]
+    x, y = np.concatenate(words), np.concatenate([w[::2] for w in words])
+    starts = [np.concatenate([[0], np.cumsum([len(v) for v in vs])[:-1]]) for vs in (words, [w[::2] for w in words])]
+    for wide in (2, 8):
+        differ = sum(np.bitwise_count(a ^ b) for a, b in zip(nd._odd(x, starts[0], wide), nd._odd(y, starts[1], wide), strict=True))
+        assert all(d <= len(w) // 2 for d, w in zip(differ.tolist(), words, strict=True))
+
+
 def test_a_large_group_of_like_texts_is_compared_whole(spark):
     rng = random.Random(8)
     base = [f"w{i}" for i in range(60)]
@@ -97,11 +128,14 @@ def test_a_large_group_of_like_texts_is_compared_whole(spark):
             words[rng.randrange(60)] = f"x{rng.randrange(10**6)}"
         rows.append(("post", i, " ".join(words), ""))
     rows += [("post", 1000 + i, " ".join(f"y{rng.randrange(3000)}" for _ in range(60)), "") for i in range(150)]
-    found = nd._bucketed(nd._first_paths(nd.word_sets(spark.createDataFrame(rows, SCHEMA), 30).select("sig", "words"), 3, 1, 7), 40, 40, 0.7)
-    kinds = {r.kind: r["count"] for r in found.groupBy("kind").count().collect()}
-    assert kinds.get(nd.WHOLE, 0) > 100 and kinds.get(nd.SPLIT, 0) == 0
-    got = {tuple(r) for r in nd.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), recall=0.9999, limit=40).collect()}
-    assert got == brute(rows) and len(got) > 10_000
+    df = spark.createDataFrame(rows, SCHEMA)
+    sets = nd.with_sketches(nd.word_sets(df, 30).select("sig", "words").dropDuplicates(["sig"]), 7).cache()
+    tree = nd.grown(sets, nd.Tree(range(3), 0.7, 7), 40, nd.CELLS, 30)
+    assert sum(map(len, tree.whole)) >= 3 and sum(map(len, tree.hot)) <= 3
+    want = brute(rows)
+    for cells in (nd.CELLS, 1):
+        got = {tuple(r) for r in nd.near_duplicate_pairs(df, recall=0.9999, limit=40, cells=cells, block=50).collect()}
+        assert got == want and len(got) > 10_000
 
 
 def test_copies_pair_and_empty_tables(spark):
