@@ -41,6 +41,12 @@ def post_index(raw: Column) -> Column:
     return F.when(F.contains(raw, F.lit("NO_ANSWER")) | (strip(raw) == ""), F.lit(None).cast("int")).otherwise(F.try_element_at(numbers, F.lit(-1)))
 
 
+def is_task_list(raw: Column) -> Column:
+    """Whether the answer is a JSON list of tasks, empty or not."""
+    clean = strip_fences(raw)
+    return F.coalesce(F.startswith(clean, F.lit("[")) & F.from_json(clean, f"array<{TASK.simpleString()}>").isNotNull(), F.lit(False))
+
+
 def tasks(raw: Column, posts: Column, title: Column) -> Column:
     """Tasks of a JSON list; anything else is one task: the first post (or the title) with all posts."""
     clean = strip_fences(raw)

@@ -41,9 +41,9 @@ def with_contents(posts: Column, contents: Column) -> Column:
     return F.transform(posts, lambda p, i: p.withField("content", F.get(contents, i)))
 
 
-def as_prompt(posts: Column, chars: int = 500) -> Column:
-    """The posts as lines of a prompt."""
-    return F.array_join(F.transform(posts, lambda p: F.concat(F.lit("  ["), p["index"].cast("string"), F.lit("] author: "), F.coalesce(p["author"], F.lit("")), F.lit(" — "), F.substring(F.coalesce(p["content"], F.lit("")), 1, chars))), "\n")
+def brief(posts: Column, chars: int = 500) -> Column:
+    """The posts as a model gets them: index, author and the first ``chars`` characters of the text."""
+    return F.transform(posts, lambda p: F.struct(p["index"].alias("index"), F.coalesce(p["author"], F.lit("")).alias("author"), F.substring(F.coalesce(p["content"], F.lit("")), 1, chars).alias("text")))
 
 
 def not_done(found: DataFrame, done: DataFrame, col: str = "url") -> DataFrame:

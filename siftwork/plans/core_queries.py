@@ -231,7 +231,8 @@ def thread_assembly(spark, d):
 
 
 def thread_prompts(spark, d):
-    return _threads(spark, d).select("thread_id", F.md5(threads.as_prompt(F.col("posts"), 500)).alias("digest"))
+    line = lambda p: F.concat(F.lit("#"), p["index"].cast("string"), F.lit(" "), p["author"], F.lit(": "), p["text"])
+    return _threads(spark, d).select("thread_id", F.md5(F.array_join(F.transform(threads.brief(F.col("posts"), 500), line), "\n")).alias("digest"))
 
 
 def relevant_posts(spark, d):
@@ -257,7 +258,9 @@ def id_range_missing(spark, d):
     """Per source: the ids up to the last thread of all sources that the source has not given a thread for."""
     have = _t(spark, d, "forum_example_fixed").where("source is not null").select("source", F.col("thread_id").alias("id")).distinct()
     last = have.agg(F.max("id")).first()[0]
-    grid = have.select("source").distinct().crossJoin(threads.id_range(spark, 1, last or 0, "https://pages.example/temat,%d"))
+    # the sources are few, as the sites that are crawled
+    sources = sorted(r["source"] for r in have.select("source").distinct().collect())
+    grid = threads.id_range(spark, 1, last or 0, "https://pages.example/temat,%d").withColumn("source", F.explode(F.array(*map(F.lit, sources)) if sources else F.array().cast("array<string>")))
     return grid.join(have, ["source", "id"], "left_anti").select("source", "id", "url")
 
 
@@ -283,17 +286,33 @@ def curated_records(spark, d):
     return full.select("thread_id", "task_idx", "status", "category", "answer_post_index", F.md5(F.coalesce("solution", F.lit(""))).alias("solution_digest"))
 
 
+def _as_logged(spark, d):
+    """The pipeline's records with the status that their fields tell."""
+    rows = _records(spark, d, "source_url", "question", "kept", "category", "raw_answer", "solution")
+    status = F.when(F.col("kept").isNull(), "error").when(~F.col("kept"), "discarded").when(~F.coalesce(F.col("category").isin(*CATEGORIES), F.lit(False)), "no_category").when(F.col("raw_answer").isNull(), "no_answer").when(F.col("solution").isNull(), "error").otherwise("kept")
+    return rows.withColumn("status", status).withColumn("task_idx", F.lit(0)).withColumn("split_parsed", F.col("question").isNotNull())
+
+
 def stage_stats(spark, d):
-    rows = _records(spark, d, "kept", "category", "raw_answer", "solution")
-    return rows.agg(
-        F.count("*").alias("tasks"), F.count_if(F.coalesce("kept", F.lit(False))).alias("kept"), F.count_if(~F.coalesce("kept", F.lit(False))).alias("filtered_out"),
-        F.count_if(F.coalesce("kept", F.lit(False)) & ~F.coalesce(F.col("category").isin(*CATEGORIES), F.lit(False))).alias("classification_errors"), F.count_if(F.col("raw_answer").isNotNull()).alias("answered"), F.count_if(F.col("solution").isNotNull()).alias("solved"),
-    )
+    return curation.statistics(_as_logged(spark, d), "record_id")
 
 
 def clean_projection(spark, d):
-    rows = _t(spark, d, "pipeline_output").where("kept").select("record_id", "source_url", "question", "category", "solution").distinct()
-    return rows.where(F.col("category").isin(*CATEGORIES))
+    return curation.clean_records(_as_logged(spark, d)).distinct()
+
+
+def accuracy_mean(spark, d):
+    """Share of items whose solution ends in the right answer: answers and last formulas as two sides, joined by key."""
+    rows = _t(spark, d, "benchmark")
+    last = F.try_element_at(F.regexp_extract_all("solution", F.lit(r"\$([^$]+)\$"), F.lit(1)), F.lit(-1))
+    return metrics.accuracy(rows.select("task_id", "answer").join(rows.select("task_id", last.alias("predicted")), "task_id"), "answer", "predicted")
+
+
+def display_blocks(spark, d):
+    """Questions put between display markers, and read again by the rules."""
+    shown = F.concat(F.lit("Niech \\(\\displaystyle{ "), "record_id", F.lit(" + x_{1} }\\) oraz "), F.replace(F.coalesce("question", F.lit("")), F.lit("{"), F.lit("(")))
+    rows = _t(spark, d, "pipeline_output").select("record_id", shown.alias("text")).distinct()
+    return rows.select("record_id", F.md5(latex.normalize_latex(F.col("text"))).alias("digest"))
 
 
 def json_records(spark, d):
@@ -340,7 +359,7 @@ QUERIES = {
         decontam_clean_docs, decontam_report, decontam_task_counts, benchmark_index, decontam_training_rows, minhash_signature, lsh_candidate_edges, dedup_clusters, dedup_clean, dedup_removed,
         exact_dup_groups, jaccard_best_match, latex_normalize, build_texts, previews, navigation_lines, eval_prompts, answer_accuracy, parse_decision, parse_category, parse_post_index,
         thread_assembly, thread_prompts, relevant_posts, post_dates, post_images, url_canonical, id_range_missing, consecutive_misses, board_pages, curated_records, stage_stats,
-        clean_projection, json_records, category_ids, train_val_split, sft_samples, source_union_counts, source_heads,
+        clean_projection, accuracy_mean, display_blocks, json_records, category_ids, train_val_split, sft_samples, source_union_counts, source_heads,
     )
 }
 
@@ -349,6 +368,22 @@ _EXACT = "('EXACT_VALUE', 'EXPRESSION', 'PROOF', 'COMPLEX')"
 
 _LAST_FORMULA = r"regexp_extract_all(solution, '\$([^$]+)\$', 1)[-1]"
 
+_LOGGED = f"""with l as (select *, case when kept is null then 'error' when not kept then 'discarded' when not coalesce(category in {_EXACT}, false) then 'no_category' when raw_answer is null then 'no_answer' when solution is null then 'error' else 'kept' end as status
+from (select distinct record_id, source_url, question, kept, category, raw_answer, solution from pipeline_output))"""
+
+
+def _curated_sql() -> str:
+    verbs = " or ".join(f"contains(low, '{w}')" for w in ("wykaż", "udowodnij", "uzasadnij", "prove"))
+    finds = " or ".join(f"contains(low, '{w}')" for w in ("wyznacz", "uprość", "zapisz", "find"))
+    return f"""with {_FORUM}, a as (select thread_id, coalesce(title, '') as title, list_transform(coalesce(posts, []), lambda p: {{'i': p.index, 'image': coalesce(p.contains_images, false), 'c': {_latex_sql("coalesce(p.content, '')")}}}) as ps from t),
+q as (select *, list_filter(ps, lambda p: p.i between 0 and len(ps) - 1) as near, {_latex_sql("case when len(ps) > 0 then ps[1].c else title end")} as question from a),
+g as (select *, length(substr(question, 1, 1000)) > 50 and len(list_filter(near, lambda p: p.image)) = 0 as kept, lower(substr({_strip("question")}, 1, 1000)) as low, list_filter(near, lambda p: p.i <> 0 and p.c <> '') as others from q),
+k as (select *, case when {verbs} then 'PROOF' when {finds} then 'EXPRESSION' else 'EXACT_VALUE' end as kind, list_filter(others, lambda p: length(substr(p.c, 1, 800)) = list_max(list_transform(others, lambda o: length(substr(o.c, 1, 800)))))[1].i as best from g),
+s as (select *, {_strip(f"substr({_strip('list_filter(ps, lambda p: p.i = best)[-1].c')}, 1, 2000)")} as solution from k)
+select thread_id, 0 as task_idx, case when not kept then 'discarded' when best is null then 'no_answer' when solution = '' then 'error' else 'kept' end as status, case when kept then kind end as category,
+case when kept then best end as answer_post_index, md5(case when kept and best is not null and solution <> '' then solution else '' end) as solution_digest from s"""
+
+
 ORACLE = {
     "decontam_clean_docs": f"{_hits(9)} select doc_id, n_chars from documents where doc_id not in (select doc_id from hits)",
     "decontam_report": f"{_hits(9)} select doc_id, contaminated_task, contaminated_ngram from hits",
@@ -365,7 +400,7 @@ select record_id from r where record_id not in (select record_id from g where gr
     "exact_dup_groups": "select md5(text) as digest, count(*) as copies, min(doc_id) as first_id from documents where text is not null group by md5(text) having count(*) > 1",
     "jaccard_best_match": rf"""with w as (select doc_id, list_filter(string_split(regexp_replace(lower(text), '{_SPACE}+', ' ', 'g'), ' '), lambda x: x <> '') as w from documents where text is not null),
 g as (select doc_id, gram, count(*) as n from (select doc_id, unnest({_grams("w", 3)}) as gram from w where len(w) >= 3) group by doc_id, gram), z as (select doc_id, sum(n) as total from g group by doc_id),
-s as (select q.doc_id as id, k.doc_id as kid, sum(least(q.n, k.n)) as b from g q join g k on q.gram = k.gram where q.doc_id % 50 = 0 and k.doc_id % 50 <> 0 group by q.doc_id, k.doc_id),
+s as (select q.doc_id as id, k.doc_id as kid, sum(least(q.n, k.n)) as b from g q join g k on q.gram = k.gram where q.doc_id % 50 = 0 and k.doc_id <> q.doc_id group by q.doc_id, k.doc_id),
 r as (select id, kid, (b / (zq.total + zk.total - b))::double as score from s join z zq on zq.doc_id = id join z zk on zk.doc_id = kid),
 best as (select id, kid, score from (select *, row_number() over (partition by id order by score desc, kid) as k from r) where k = 1)
 select w.doc_id as id, kid as best_id, round(coalesce(score, 0.0), 6) as score from w left join best on best.id = w.doc_id where w.doc_id % 50 = 0""",
@@ -380,7 +415,7 @@ select task_id, gold, predicted, gold <> '' and (gold = predicted or coalesce(ab
     "parse_category": f"select record_id, case when category in {_EXACT} then category end as category, {_strip("coalesce(category_reason, '')")} as reason from (select distinct record_id, category, category_reason from pipeline_output)",
     "parse_post_index": "select record_id, answer_post_index::int as post_index from (select distinct record_id, answer_post_index from pipeline_output)",
     "thread_assembly": f"with {_FORUM} select thread_id, len(posts) as n_posts, array_to_string(list_transform(range(1, len(posts) + 1), lambda i: (i - 1)::varchar || ':' || coalesce(posts[i].author, '')), '|') as authors from t where len(posts) > 0",
-    "thread_prompts": f"with {_FORUM} select thread_id, md5(array_to_string(list_transform(posts, lambda p: '  [' || p.index || '] author: ' || coalesce(p.author, '') || ' — ' || substr(coalesce(p.content, ''), 1, 500)), chr(10))) as digest from t",
+    "thread_prompts": f"with {_FORUM} select thread_id, md5(array_to_string(list_transform(posts, lambda p: '#' || p.index || ' ' || coalesce(p.author, '') || ': ' || substr(coalesce(p.content, ''), 1, 500)), chr(10))) as digest from t",
     "relevant_posts": f"""with {_FORUM} select thread_id, len(list_filter(posts, lambda p: p.index in (0, 2))) as near, coalesce(list_bool_or(list_transform(list_filter(posts, lambda p: p.index in (0, 2)), lambda p: coalesce(p.contains_images, false))), false) as images,
 list_filter(posts, lambda p: p.index = 1)[-1].content as answer from t""",
     "post_dates": rf"""with {_FORUM}, p as (select thread_id, unnest(posts) as p from t), r as (select thread_id, p.index as post_index, {_strip("p.date")} as raw from p)
@@ -388,15 +423,20 @@ select thread_id, post_index, case when regexp_full_match(raw, '\d{{4}}-\d{{2}}-
 then substr(raw, 1, 10) || 'T' || substr(raw, 12, 5) || case when length(raw) = 19 then substr(raw, 17, 3) else ':00' end || '+00:00' else raw end as date from r""",
     "post_images": rf"with {_FORUM}, p as (select thread_id, unnest(posts) as p from t) select thread_id, p.index as post_index, coalesce(regexp_matches(p.content, '(?i)https?://\S+\.(jpg|jpeg|png|gif|webp)'), false) as links_image from p",
     "url_canonical": "select distinct split_part(split_part(source_url, '?', 1), '#', 1) as url from pipeline_output where source_url is not null and split_part(split_part(source_url, '?', 1), '#', 1) not in (select split_part(split_part(url, '?', 1), '#', 1) from forum_example_fixed where url is not null)",
-    "id_range_missing": "select r.id, 'https://pages.example/temat,' || r.id as url from (select unnest(range(1, (select max(thread_id) from forum_example_fixed) + 1)) as id) r where r.id not in (select thread_id from forum_example_fixed where source = (select max(source) from forum_example_fixed))",
+    "id_range_missing": """with h as (select distinct source, thread_id from forum_example_fixed where source is not null), r as (select unnest(range(1, (select max(thread_id) from h) + 1)) as id)
+select s.source, r.id, 'https://pages.example/temat,' || r.id as url from (select distinct source from h) s cross join r where not exists (select 1 from h where h.source = s.source and h.thread_id = r.id)""",
     "consecutive_misses": """with h as (select distinct source, thread_id from forum_example_fixed), s as (select source, min(thread_id) as a, max(thread_id) as b from h group by source),
 g as (select source, unnest(range(a, b + 1)) as thread_id from s), x as (select g.source, g.thread_id, h.thread_id is not null as hit from g left join h on h.source = g.source and h.thread_id = g.thread_id),
 i as (select *, sum(hit::int) over (partition by source order by thread_id) as island from x), r as (select *, sum((not hit)::int) over (partition by source, island order by thread_id) as run from i),
 e as (select source, min(thread_id) as stop_id from r where run >= 5 group by source) select r.source, r.thread_id, r.hit from r left join e on e.source = r.source where stop_id is null or r.thread_id <= stop_id""",
     "board_pages": f"with {_FORUM} select thread_id, len(posts) as n_posts, array_to_string(list_transform(posts, lambda p: coalesce(p.author, '')), '|') as authors, len(list_filter(posts, lambda p: coalesce(p.contains_images, false))) as images from t",
-    "stage_stats": f"""select count(*) as tasks, count(*) filter (where kept) as kept, count(*) filter (where not coalesce(kept, false)) as filtered_out, count(*) filter (where kept and not coalesce(category in {_EXACT}, false)) as classification_errors,
-count(*) filter (where raw_answer is not null) as answered, count(*) filter (where solution is not null) as solved from (select distinct record_id, kept, category, raw_answer, solution from pipeline_output)""",
-    "clean_projection": f"select distinct record_id, source_url, question, category, solution from pipeline_output where kept and category in {_EXACT}",
+    "curated_records": _curated_sql(),
+    "stage_stats": f"""{_LOGGED} select count(distinct record_id) as threads, count(*) as tasks, count(*) filter (where status = 'kept') as kept, count(*) filter (where status in ('discarded', 'no_category', 'no_answer')) as filtered_out,
+count(*) filter (where status = 'no_category') as classification_errors, count(distinct record_id) filter (where question is null) as parse_errors, count(*) filter (where status = 'error') as errors from l""",
+    "clean_projection": f"{_LOGGED} select distinct source_url, question, category, solution from l where status = 'kept'",
+    "accuracy_mean": rf"""with a as (select {_form("answer")} as gold, {_form(_LAST_FORMULA)} as predicted from benchmark), v as (select *, {_number("gold")} as x, {_number("predicted")} as y from a)
+select count(*) as n, coalesce(avg((gold <> '' and coalesce(gold = predicted or coalesce(abs(x - y) <= 1e-9 * greatest(1.0, abs(x)), false), false))::int), 0.0) as accuracy from v""",
+    "display_blocks": rf"""select record_id, md5({_latex_sql("'Niech ' || '\\[' || chr(10) || record_id || ' + x_{1}' || chr(10) || '\\]' || ' oraz ' || replace(coalesce(question, ''), '{', '(')")}) as digest from (select distinct record_id, question from pipeline_output)""",
     "json_records": """select task_id, '{"task_id":' || task_id || ',"type":' || coalesce('"' || type || '"', 'null') || '}' as line from benchmark""",
     "category_ids": "select category, label, max_id, count(*) as threads from (values ('sp', 'Primary school', 1046), ('liceum', 'Secondary school', 6437), ('studia', 'University', 6630), ('zadania', 'Miscellaneous problems', 346)) c(category, label, max_id) join (select distinct thread_id from forum_example_fixed) t on t.thread_id <= c.max_id group by category, label, max_id",
     "train_val_split": "select doc_id, case when row_number() over (order by md5('42:' || doc_id), doc_id) <= ceil(0.1 * (select count(*) from documents)) then 'validation' else 'train' end as split from documents",

@@ -1,5 +1,6 @@
 import gzip
 import json
+import time
 
 import pyarrow as pa
 import pytest
@@ -80,12 +81,44 @@ def test_curation_gates(spark):
     assert (stats.threads, stats.kept, stats.filtered_out, stats.errors) == (4, 1, 3, 0)
 
 
-def test_a_failing_model_is_no_answer(spark):
-    def broken(system, user):
-        raise RuntimeError("down")
+def test_a_failed_call_passes_no_gate(spark):
+    df = spark.createDataFrame([thread("u1", QUESTION, "Jedna z liczb jest parzysta."), thread("u2", "hm")], THREAD)
+    config = curation.Config(retries=2, pause=0.0, timeout=0.5)
+    # the words by which a stage is told from its prompt
+    for stage in ("JSON list", "DECISION", "CATEGORY", "POST_INDEX", "draft", "LaTeX"):
+        for fault in ("raises", "empty", "hangs"):
+            if fault == "hangs" and stage != "DECISION":
+                continue
+
+            def model(system, user, stage=stage, fault=fault):
+                if stage not in system:
+                    return curation.rule_model(system, user)
+                if fault == "hangs":
+                    time.sleep(3)
+                if fault == "raises":
+                    raise RuntimeError("down")
+                return " "
+
+            full = curation.curate(df, "url", model, config)
+            got = {r.url: r.status for r in full.collect()}
+            later = stage in ("CATEGORY", "POST_INDEX", "draft")
+            assert got == {"u1": "error", "u2": "discarded" if later else "error"}, (stage, fault)
+            stats = curation.statistics(full, "url").first()
+            assert (stats.kept, stats.errors) == (0, 1 if later else 2)
+            assert curation.clean_records(full).count() == 0
+
+
+def test_a_split_that_is_no_list_is_counted(spark):
+    df = spark.createDataFrame([thread("u1", QUESTION, "Jedna z liczb jest parzysta.")], THREAD)
+    full = curation.curate(df, "url", lambda s, u: "I see one problem." if "JSON list" in s else curation.rule_model(s, u))
+    stats = curation.statistics(full, "url").first()
+    assert (stats.tasks, stats.kept, stats.parse_errors, stats.errors) == (1, 1, 1, 0)
+
 
-    df = spark.createDataFrame([thread("u1", QUESTION, "x")], THREAD)
-    assert curation.curate(df, "url", broken).count() == 1
+def test_settings_from_the_environment():
+    config = curation.Config.from_env({"SIFTWORK_RETRIES": "7", "SIFTWORK_TIMEOUT": "2.5", "SIFTWORK_PROMPT_KEEP": "Keep? DECISION:"})
+    assert (config.retries, config.timeout, config.in_flight, config.prompts.keep) == (7, 2.5, 8, "Keep? DECISION:")
+    assert config.prompts.split == curation.Prompts().split
 
 
 def test_streaming_goes_on_behind_the_last_batch(spark, tmp_path):
