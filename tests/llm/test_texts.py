@@ -189,3 +189,60 @@ def test_a_display_left_open_on_an_earlier_line_is_truncated():
         assert is_truncated(f"Zatem mamy\n{begin}\nx = 5"), begin
     for whole in ("\\[\nx = 5\n\\]", "$$\nx = 5\n$$", "\\begin{cases}\nx = 5 \\\\[2pt]\ny = 3\n\\end{cases}", "Cena 5$ oraz\n$a$$b$ = 5"):
         assert not is_truncated(f"Zatem mamy\n{whole}"), whole
+
+
+QUESTION_5 = "Wykaż, że dla każdej liczby naturalnej n liczba $n(n+1)$ jest parzysta, a jej kwadrat dzieli się przez 4."
+
+
+def first_defect(solution, question=QUESTION_5, reason="ok"):
+    return next(iter(defects.defects_of(question, solution, reason)), None)
+
+
+def test_copies_at_any_number_of_repeats():
+    for times in (1, 2, 3, 7, 12, 60):
+        assert first_defect(" ".join([QUESTION_5] * times)) == "copy", times
+        assert first_defect("Treść: " + "\n".join([QUESTION_5] * times)) == "copy", times
+    assert first_defect(QUESTION_5 + " Jedna z liczb n, n+1 jest parzysta, więc ich iloczyn też, a kwadrat iloczynu ma dwa takie czynniki.") is None
+
+
+def test_refusals_of_any_length_and_place():
+    thanks = "Dziękuję za ciekawe pytanie i za zaufanie, bardzo to doceniam. " * 8
+    declined = "Niestety nie mogę pomóc w rozwiązaniu tego zadania. "
+    for text in (declined, thanks + declined, declined + thanks * 3, QUESTION_5 + " " + declined, declined * 40):
+        assert first_defect(text) == "refusal", text[:80]
+    for text in (
+        "Sinto muito, mas não posso ajudar com esse pedido.",
+        "Üzgünüm, bu soruya yardımcı olamam.",
+        "申し訳ありませんが、このご質問にはお答えできません。",
+        "Het spijt me, ik kan deze vraag niet beantwoorden.",
+        "抱歉，我无法回答这个问题。",
+        "Es tut mir leid, das kann ich nicht beantworten.",
+        "Désolé, je ne peux pas répondre.",
+    ):
+        assert first_defect(text) == "refusal", text
+    assert first_defect("x", reason="Não posso responder a isso.") == "refusal"
+    # a solution that declines one step of its work
+    assert first_defect("Nie mogę zrobić tego dzieleniem przez $n$, bo $n=0$ jest możliwe. Niech $n=2k$, wtedy $n(n+1)=2k(2k+1)$. Niech $n=2k+1$, wtedy $n(n+1)=2(2k+1)(k+1)$. Koniec.") is None
+
+
+def test_every_refusal_phrase_has_a_stem():
+    for text in ("Odmawiam oceny.", "jako sztuczna inteligencja", "I must politely decline.", "as an assistant", "I am unable to judge this", "ich werde das nicht tun", "не можу вам допомогти", "não consigo resolver", "çözemiyor", "お手伝いできません", "lo siento"):
+        assert defects.REFUSALS.search(text) and any(x in text.lower() for x in defects.STEMS), text
+
+
+def test_solutions_in_unknown_languages():
+    italian = "Sia n un numero naturale qualsiasi. Uno dei numeri consecutivi è pari, quindi il prodotto è pari e il suo quadrato è divisibile per quattro. Questo conclude la dimostrazione."
+    finnish = "Olkoon luku mielivaltainen. Toinen peräkkäisistä luvuista on parillinen, joten tulo on parillinen, ja sen neliö on jaollinen neljällä, koska siinä esiintyy kaksi kertaa tekijä kaksi. Todistus päättyy."
+    japanese = "連続する二つの整数のうち一方は偶数である。したがって積は偶数であり、その二乗は四で割り切れる。"
+    for text in (italian, finnish, japanese):
+        assert first_defect(text) == "language", text
+    assert first_defect("$n(n+1)$ jest parzysta.") is None
+    assert first_defect("\\[" + "n" * 5000 + "\\] Zatem liczba jest parzysta.") is None
+    long_formula = "\\(" + " the of and that we is with by".ljust(3000) + "\\)"
+    assert defects.without_formulas("a " + long_formula + " b").split() == ["a", "b"] and defects.without_formulas("\\( a").split() == ["\\(", "a"]
+
+
+def test_empty_solutions_of_any_length():
+    for text in (None, "", "  ", "**Rozwiązanie:**", "brak " * 40, "Odp." + " " * 90, "<p class='a b c'></p>" * 20, "$$ $$", "." * 500):
+        assert first_defect(text) == "empty", text
+    assert first_defect("7") is None and first_defect("tak") is None
