@@ -3,15 +3,18 @@
 A page is cut into lines (long ones into sentences, then into runs of SPAN words).  A hidden
 Markov model with the states prose, links, tags and menu explains the lines by what can be
 seen of each: links among its words, hash tags or prices, function words, words that the page repeats
-beyond measure, formulas, a sentence's end.  The model starts from the prior counts below and is
-fitted by expectation maximisation on the SAMPLE rows of least hash,
-wherever they lie; every page is then decoded whole by Viterbi, a batch at a time,
-and flagged when more than half of its words stand in lines that aren't prose.
-Nothing is shuffled but the sample.
+beyond measure, formulas, a sentence's end.  The texts are read once; what is seen of their lines, a
+few bytes each, is kept in the shared folder.  The model starts from the prior counts below and is fitted by
+expectation maximisation on all lines of all pages: each round is a map that sums the expected
+counts (some 1,700 numbers a task) and a sum over the tasks.  The counts weigh as much against the prior
+as those of PAGES pages, however many there are, so the states mean the same at every size.
+Every page is then decoded whole by Viterbi, a batch at a time, and flagged when more than half of
+its words stand in lines that aren't prose.  Nothing is shuffled but the counts.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,14 +27,17 @@ from pyspark.sql import types as T
 
 from siftwork.llm import cleanup
 from siftwork.llm.defects import STOPWORDS
+from siftwork.operators.checkpoints import cut
 
 STATES = ("prose", "links", "tags", "menu")
-#: Pages the model is fitted on, at most.
-SAMPLE = 2_000
+#: Pages whose counts weigh like those of the whole corpus.
+PAGES = 2_000
+#: Rounds of expectation maximisation.
+ROUNDS = 4
 #: Words of a line at most; longer ones are several lines.
 SPAN = 25
 
-_URL = re.compile(r"(?:https?://|www\.)[^\s\"'<>]+|(?<![\w-])[\w-]{1,80}(?:\.[\w-]{1,80}){0,6}\.(?:com|org|net|info|biz|shop|pl|de|ua|uk|eu|io|ru|example|invalid|test)\b(?:/[^\s\"'<>]*)?", re.I)
+_URL = re.compile(r"(?:https?://|www\.)[^\s\"'<>]+|(?<![\w-])[\w-]{1,80}(?:\.[\w-]{1,80}){0,6}\.(?:[a-z]{2,24}|xn--[a-z0-9-]{2,59})(?![\w-])(?:/[^\s\"'<>]*)?", re.I)
 _CUT = re.compile(r"\n+|(?<=[.!?;])\s+(?=\S)|(?=<a\s)")
 _STOP = re.compile(r"[.!?](?: |$)")
 _TAG = re.compile(r"(?:^|\s)#\w")
@@ -103,91 +109,91 @@ def page_lines(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.array(out, np.int8).reshape(-1, len(SIZES)), np.array(sizes, np.int64)
 
 
+def codes_of(features: np.ndarray) -> np.ndarray:
+    """One number for the values of each line."""
+    return np.ravel_multi_index(tuple(features.T.astype(np.int64)), SIZES).astype(np.int16)
+
+
 class Model:
-    """log probabilities: start (S), moves (S, S), emissions, one (S, values) for each feature."""
+    """Probabilities: start (S), moves (S, S), emissions, one (S, values) for each feature, and of whole lines by their code (codes, S)."""
 
     def __init__(self, start: np.ndarray, moves: np.ndarray, emissions: list[np.ndarray]):
-        norm = lambda x: np.log(x / x.sum(-1, keepdims=True))
+        norm = lambda x: x / x.sum(-1, keepdims=True)
         self.start, self.moves, self.emissions = norm(start), norm(moves), [norm(e) for e in emissions]
+        values = np.unravel_index(np.arange(math.prod(SIZES)), SIZES)
+        self.lines = math.prod(e.T[v] for e, v in zip(self.emissions, values, strict=True))
 
     @classmethod
     def prior(cls) -> Model:
         return cls(np.array(START, float), np.array(MOVES, float), [np.array(p, float) for p in PRIOR])
 
-    def seen(self, features: np.ndarray) -> np.ndarray:
-        """(lines, S) log probabilities of the lines."""
-        return sum(e.T[features[:, k]] for k, e in enumerate(self.emissions))
-
-    def fitted(self, pages: list[np.ndarray], rounds: int = 4, weight: float = 30.0) -> Model:
-        """Expectation maximisation; ``weight`` times the prior counts stay in, so a state keeps its meaning."""
-        model = self
-        for _ in range(rounds):
-            start, moves = weight * np.array(START, float), weight * np.array(MOVES, float)
-            emissions = [weight * np.array(p, float) for p in PRIOR]
-            for order in _by_length(pages):
-                seen = [model.seen(pages[i]) for i in order]
-                gamma, xi = _forward_backward(model, np.stack(seen))
-                start += gamma[:, 0].sum(0)
-                moves += xi
-                flat = gamma.reshape(-1, len(STATES))
-                features = np.concatenate([pages[i] for i in order])
-                for k, e in enumerate(emissions):
-                    for v in range(SIZES[k] if k not in FIXED else 0):
-                        e[:, v] += flat[features[:, k] == v].sum(0)
-            model = Model(start, moves, emissions)
-        return model
-
-
-def _by_length(pages: list[np.ndarray]) -> list[list[int]]:
-    groups: dict[int, list[int]] = {}
-    for i, p in enumerate(pages):
-        if len(p):
-            groups.setdefault(len(p), []).append(i)
-    return list(groups.values())
-
-
-def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
-    m = x.max(axis, keepdims=True)
-    return (m + np.log(np.exp(x - m).sum(axis, keepdims=True))).squeeze(axis)
-
-
-def _forward_backward(model: Model, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n, length, s = seen.shape
-    f, b = np.empty_like(seen), np.zeros_like(seen)
-    f[:, 0] = model.start + seen[:, 0]
-    for t in range(1, length):
-        f[:, t] = _sum_exp(f[:, t - 1, :, None] + model.moves, 1) + seen[:, t]
-    for t in range(length - 2, -1, -1):
-        b[:, t] = _sum_exp(model.moves + (seen[:, t + 1] + b[:, t + 1])[:, None, :], 2)
-    total = _sum_exp(f[:, -1], 1)
-    xi = np.zeros((s, s))
-    for t in range(length - 1):
-        xi += np.exp(f[:, t, :, None] + model.moves + (seen[:, t + 1] + b[:, t + 1])[:, None, :] - total[:, None, None]).sum(0)
-    return np.exp(f + b - total[:, None, None]), xi
+    def expected(self, pages: list[np.ndarray]) -> np.ndarray:
+        """Expected counts over pages (codes of their lines): starts, moves and lines by code and state, in one vector; last the number of pages."""
+        start, moves, lines, n = np.zeros(len(STATES)), np.zeros((len(STATES),) * 2), np.zeros((len(self.lines), len(STATES))), 0
+        for ids, own, code in _blocks(pages):
+            f, scale = np.empty((code.shape[1], len(ids), len(STATES))), np.empty((code.shape[1], len(ids), 1))
+            for t in range(code.shape[1]):
+                x = (f[t - 1] @ self.moves if t else self.start) * self.lines[code[:, t]]
+                scale[t] = x.sum(1, keepdims=True)
+                f[t] = x / scale[t]
+            back = np.ones((len(ids), len(STATES)))
+            for t in range(code.shape[1] - 1, -1, -1):
+                here = (t < own)[:, None]
+                seen = np.where(here, f[t] * back, 0.0)
+                for s in range(len(STATES)):
+                    lines[:, s] += np.bincount(code[:, t], seen[:, s], len(lines))
+                ahead = np.where(here, self.lines[code[:, t]] * back / scale[t], 0.0)
+                if t:
+                    moves += f[t - 1].T @ ahead * self.moves
+                else:
+                    start += seen.sum(0)
+                back = np.where(here, ahead @ self.moves.T, 1.0)
+            n += len(ids)
+        return np.concatenate([start, moves.ravel(), lines.ravel(), [n]])
 
-
-def decode(model: Model, pages: list[np.ndarray]) -> list[np.ndarray]:
-    """Most likely states of each page's lines; pages of a batch step together."""
-    order = sorted(range(len(pages)), key=lambda i: -len(pages[i]))
+    @classmethod
+    def updated(cls, counts: np.ndarray, weight: float = 30.0) -> Model:
+        """The model that expected counts give; ``weight`` times the prior counts stay in, so a state keeps its meaning."""
+        size = len(STATES)
+        counts = counts * (PAGES / max(counts[-1], 1.0))
+        start, moves = weight * np.array(START, float) + counts[:size], weight * np.array(MOVES, float) + counts[size : size + size * size].reshape(size, size)
+        lines = counts[size + size * size : -1].reshape(*SIZES, size)
+        emissions = []
+        for k, p in enumerate(PRIOR):
+            found = lines.sum(tuple(i for i in range(len(SIZES)) if i != k)).T
+            emissions.append(weight * np.array(p, float) + (0 if k in FIXED else found))
+        return cls(start, moves, emissions)
+
+
+def _blocks(pages: list[np.ndarray], most: int = 2_000_000) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """(pages, their numbers of lines, their codes padded) of pages of like length, so that padding stays below a factor of two."""
+    order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: -len(pages[i]))
     lengths = np.array([len(pages[i]) for i in order])
-    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pages)
-    # pages of like length share a block, so padding stays below a factor of two
     begin = 0
-    while begin < len(order) and lengths[begin]:
-        stop = begin + int(np.searchsorted(-lengths[begin:], -(lengths[begin] // 2), side="left"))
-        stop = max(begin + 1, min(stop, begin + max(1, 2_000_000 // int(lengths[begin]))))
-        ids = order[begin:stop]
+    while begin < len(order):
         longest = int(lengths[begin])
-        seen = np.zeros((len(ids), longest, len(STATES)), np.float32)
+        stop = begin + int(np.searchsorted(-lengths[begin:], -(longest // 2), side="left"))
+        stop = max(begin + 1, min(stop, begin + max(1, most // longest)))
+        ids = order[begin:stop]
+        code = np.zeros((len(ids), longest), np.int64)
         for k, i in enumerate(ids):
-            seen[k, : len(pages[i])] = model.seen(pages[i])
+            code[k, : len(pages[i])] = pages[i]
+        yield ids, lengths[begin:stop], code
+        begin = stop
+
+
+def decode(model: Model, pages: list[np.ndarray]) -> list[np.ndarray]:
+    """Most likely states of each page's lines (codes); pages of a block step together."""
+    out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(pages)
+    start, moves, lines = np.log(model.start), np.log(model.moves), np.log(model.lines).astype(np.float32)
+    for ids, own, code in _blocks(pages):
+        longest = code.shape[1]
         back = np.zeros((len(ids), longest, len(STATES)), np.int8)
-        best = model.start + seen[:, 0]
-        own = lengths[begin:stop]
+        best = start + lines[code[:, 0]]
         for t in range(1, longest):
-            step = best[:, :, None] + model.moves
+            step = best[:, :, None] + moves
             back[:, t] = step.argmax(1)
-            best = np.where((t < own)[:, None], step.max(1) + seen[:, t], best)
+            best = np.where((t < own)[:, None], step.max(1) + lines[code[:, t]], best)
         state = best.argmax(1)
         path = np.zeros((len(ids), longest), np.int8)
         rows = np.arange(len(ids))
@@ -196,25 +202,47 @@ def decode(model: Model, pages: list[np.ndarray]) -> list[np.ndarray]:
             state = np.where(t < own, back[rows, t, state], state) if t else state
         for k, i in enumerate(ids):
             out[i] = path[k, : len(pages[i])]
-        begin = stop
     return out
 
 
-def fit(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Model:
-    """The model for a corpus; with no pages, the prior."""
-    text = F.col(text_col)
-    # by whole rows, so that a text with many copies has no more than its share of the sample
-    whole = F.xxhash64(*[c for c, t in df.dtypes if not t.startswith(("map", "variant"))])
-    chosen = df.where(text.isNotNull() & (F.length(text) > 0)).select(text.alias("text"), whole.alias("h")).orderBy("h", "text").limit(sample)
+def seen_lines(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
+    """The kept columns with page_codes and page_words: what is seen of each line of the text, and its words; both empty for null and blank texts."""
+    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField("page_codes", T.BinaryType()), T.StructField("page_words", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [page_lines(t)[0].tobytes() for t in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.binary())], names=["lines"])
+            found = [page_lines(t) if t else (np.zeros((0, len(SIZES)), np.int8), np.zeros(0, np.int64)) for t in b.column(len(keep)).to_pylist()]
+            codes, words = [codes_of(f).tobytes() for f, _ in found], [w.astype(np.int32).tobytes() for _, w in found]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(codes, pa.binary()), pa.array(words, pa.binary())], names=[*keep, "page_codes", "page_words"])
+
+    return df.select(*keep, text_col).mapInArrow(run, schema)
+
+
+def _codes(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.int16) for x in column.to_pylist()]
 
-    rows = chosen.mapInArrow(run, "lines binary").collect()
-    pages = [np.frombuffer(bytes(r["lines"]), np.int8).reshape(-1, len(SIZES)) for r in rows]
-    return Model.prior().fitted([p[:4000] for p in pages if len(p)])
+
+def fit(lines: DataFrame) -> Model:
+    """The model for all pages of ``lines`` (seen_lines, kept where it can be read again); with no pages, the prior."""
+    model = Model.prior()
+    for _ in range(ROUNDS):
+
+        def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+            total = None
+            for b in batches:
+                got = model.expected(_codes(b.column(0)))
+                total = got if total is None else total + got
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], names=["i", "n"])
+
+        rows = lines.select("page_codes").mapInArrow(run, "i int, n double").groupBy("i").agg(F.sum("n").alias("n")).collect()
+        if not rows:
+            return model
+        counts = np.zeros(len(rows))
+        for r in rows:
+            counts[r["i"]] = r["n"]
+        model = Model.updated(counts)
+    return model
 
 
 def spam_pages(df: DataFrame, text_col: str = "text", share: float = 0.5, model: Model | None = None) -> DataFrame:
@@ -222,21 +250,23 @@ def spam_pages(df: DataFrame, text_col: str = "text", share: float = 0.5, model:
 
     Spam is a page of which more than ``share`` of the words stand in lines that aren't prose; null, empty and
     blank pages have no words and are none.  Texts are judged whole, however long.  Repeated rows stay; other
-    columns pass through, those of the names added are replaced.
+    columns pass through, those of the names added are replaced; page_codes and page_words are taken.
     """
     added = ("n_words", *STATES, "spam")
-    keep = [c for c in df.columns if c != text_col and c not in added]
-    shared = df.sparkSession.sparkContext.broadcast(model or fit(df, text_col))
+    keep = [c for c in df.columns if c != text_col and c not in added and c not in ("page_codes", "page_words")]
+    lines = seen_lines(df, keep, text_col)
+    if model is None:
+        lines = cut(lines)
+        model = fit(lines)
     schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(c, T.LongType()) for c in added[:-1]], T.StructField("spam", T.BooleanType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+    def run(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [page_lines(t) if t else (np.zeros((0, len(SIZES)), np.int8), np.zeros(0, np.int64)) for t in b.column(len(keep)).to_pylist()]
-            states = decode(model, [f for f, _ in found])
-            words = np.array([np.bincount(s, w, len(STATES)) if len(s) else np.zeros(len(STATES)) for s, (_, w) in zip(states, found, strict=True)]).reshape(-1, len(STATES)).astype(np.int64)
+            states = decode(model, _codes(b.column(len(keep))))
+            sizes = [np.frombuffer(x, np.int32) for x in b.column(len(keep) + 1).to_pylist()]
+            words = np.array([np.bincount(s, w, len(STATES)) if len(s) else np.zeros(len(STATES)) for s, w in zip(states, sizes, strict=True)]).reshape(-1, len(STATES)).astype(np.int64)
             total = words.sum(1)
             arrays = [pa.array(total), *[pa.array(words[:, k]) for k in range(len(STATES))], pa.array(total - words[:, 0] > share * total)]
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], *arrays], names=[*keep, *added])
 
-    return df.select(*keep, text_col).mapInArrow(run, schema)
+    return lines.mapInArrow(run, schema)

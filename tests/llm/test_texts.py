@@ -1,7 +1,9 @@
 """Encoding, site lines, defects and spam pages."""
 
+import itertools
 import random
 
+import numpy as np
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -165,23 +167,50 @@ def test_spam_pages(spark):
     assert spam_pages.spam_pages(df.where(F.lit(False))).count() == 0
 
 
+def coded_pages(rng, n=40):
+    return [spam_pages.codes_of(spam_pages.page_lines("\n".join(rng.choice([PROSE[:80], "https://a.example/b", "#a #b", "x $y$"]) for _ in range(rng.randint(0, 9))))[0]) for _ in range(n)]
+
+
 def test_decoding_is_that_of_plain_viterbi():
-    rng = random.Random(5)
     model = spam_pages.Model.prior()
-    pages = [spam_pages.page_lines("\n".join(rng.choice([PROSE[:80], "https://a.example/b", "#a #b", "x $y$"]) for _ in range(rng.randint(0, 9))))[0] for _ in range(40)]
+    start, moves, lines = np.log(model.start), np.log(model.moves), np.log(model.lines).astype(np.float32)
 
     def plain(page):
         if not len(page):
             return []
-        seen = model.seen(page)
-        best = [(model.start[s] + seen[0][s], [s]) for s in range(4)]
-        for row in seen[1:]:
-            best = [max((p + model.moves[path[-1]][s] + row[s], [*path, s]) for p, path in best) for s in range(4)]
+        best = [(start[s] + lines[page[0]][s], [s]) for s in range(4)]
+        for code in page[1:]:
+            best = [max((p + moves[path[-1]][s] + lines[code][s], [*path, s]) for p, path in best) for s in range(4)]
         return max(best)[1]
 
+    pages = coded_pages(random.Random(5))
     assert [list(x) for x in spam_pages.decode(model, pages)] == [plain(p) for p in pages]
 
 
+def test_expected_counts_are_those_of_all_paths():
+    model = spam_pages.Model.prior()
+    pages = [p for p in coded_pages(random.Random(7), 30) if len(p) < 6]
+    start, moves, lines = np.zeros(4), np.zeros((4, 4)), np.zeros((len(model.lines), 4))
+    for page in pages:
+        paths = list(itertools.product(range(4), repeat=len(page))) if len(page) else []
+        chance = np.array([model.start[p[0]] * np.prod([model.moves[a, b] for a, b in itertools.pairwise(p)]) * np.prod([model.lines[c, s] for c, s in zip(page, p, strict=True)]) for p in paths])
+        for path, w in zip(paths, chance / chance.sum() if len(chance) else [], strict=True):
+            start[path[0]] += w
+            for a, b in itertools.pairwise(path):
+                moves[a, b] += w
+            for c, s in zip(page, path, strict=True):
+                lines[c, s] += w
+    want = np.concatenate([start, moves.ravel(), lines.ravel(), [sum(len(p) > 0 for p in pages)]])
+    assert np.allclose(model.expected(pages), want) and np.allclose(sum(model.expected([p]) for p in pages), want)
+
+
+def test_the_model_is_the_same_for_ten_times_the_pages(spark):
+    rows = [(str(k), t) for k, (t, _) in enumerate(PAGES.values())]
+    one, ten = (spam_pages.fit(spam_pages.seen_lines(spark.createDataFrame(rows * n, "doc_id string, text string"), ["doc_id"], "text").cache()) for n in (1, 10))
+    assert np.allclose(one.lines, ten.lines) and np.allclose(one.moves, ten.moves)
+    assert np.allclose(spam_pages.fit(spam_pages.seen_lines(spark.createDataFrame([], "doc_id string, text string"), ["doc_id"], "text")).moves, spam_pages.Model.prior().moves)
+
+
 def test_a_display_left_open_on_an_earlier_line_is_truncated():
     from siftwork.llm.defects import is_truncated
 
