@@ -1,34 +1,40 @@
 """Problem 2: evaluation texts leaking into training text.
 
-A prefix-filtered set join.  A window of ``run`` words of an item is the set of its word
-shingles (five words each); a text holds the window only if it holds all of them, so one, the
-necessary prefix, is enough to find it.  Shingles are ordered by rarity in the corpus, counted
-over all its texts in a first pass that counts only shingles of the items; each window is
-filed under its rarest one.  The second pass probes every text's shingles against these few
-prefix tokens, applies the length and positional bounds (room for ``run`` words around the
-hit in both fields) and verifies by extending the hit word by word in both directions.
-
-The items are the small side: they are taken in blocks of at most MAX_WINDOWS windows, each
-block's index broadcast, so its size has a bound however many items there are; all texts are
-probed against every block.  Nothing of the corpus is shuffled but counts and hits.
+A prefix-filtered set join.  A window of ``run`` words of an item is the set of its word shingles
+(five words each); a text holds the window only if it holds all of them, so one of them, the
+necessary prefix, is enough to find it.  Shingles are ordered by rarity: a first pass over all
+texts counts those of the items.  Each window is filed under its rarest shingle, with the item's words around it.
+A second pass sends every text's occurrences of such prefix shingles, with the words around them; the
+two sides are joined on the shingle.  The join has the length and positional bounds (room for ``run`` words
+around the shingle on both sides) and verifies by the words next to the shingle, in windows of ``run`` words, that they go on alike.
+
+Both sides may be of any size: texts are scanned twice whatever the number of items, and what
+leaves a scan is first looked up in a Bloom filter of the shingles asked for, whose size has a bound (BITS);
+beyond it more false occurrences reach the join, which drops them.  Hot shingles: a window is filed under one only
+where it has no rarer one, and the join's sides are plain tables that adaptive execution broadcasts or splits.
+Words are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftwork.llm import cleanup
+from siftwork.operators.checkpoints import cut
 
 SHINGLE = 5
-#: Windows of a block of items whose index is broadcast (some 60 bytes each).
-MAX_WINDOWS = 400_000
+#: Words whose hashes a task remembers; when full, it starts anew.
+WORDS = 500_000
+#: Bits of a Bloom filter: so many a shingle, and two to this power at most (16 MB, which are broadcast).
+BITS_EACH, BITS = 32, 27
+_SHIFTS = (0, 18, 37)
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -38,158 +44,192 @@ def _powers() -> np.ndarray:
         return np.array([pow(int(_BASE), i, 1 << 64) for i in range(SHINGLE)], np.uint64)
 
 
-def shingle_hashes(ids: np.ndarray) -> np.ndarray:
-    """Hash of each run of SHINGLE ids; 0 where one of them is negative."""
-    n = len(ids) - SHINGLE + 1
+def shingle_hashes(words: np.ndarray) -> np.ndarray:
+    """Hash of each run of SHINGLE word hashes; 0 where one of them is 0, the mark between texts."""
+    n = len(words) - SHINGLE + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    wide, power = (ids + 2).astype(np.uint64), _powers()
+    power = _powers()
     with np.errstate(over="ignore"):
-        h = sum(wide[i : i + n] * power[i] for i in range(SHINGLE))
+        h = sum(words[i : i + n] * power[i] for i in range(SHINGLE))
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-    bad = ids < 0
+    bad = words == 0
     if bad.any():
         seen = np.concatenate([[0], np.cumsum(bad)])
         h[seen[SHINGLE : SHINGLE + n] > seen[:n]] = 0
     return h
 
 
-class Items:
-    """A block of items: their fields as word ids."""
-
-    def __init__(self, rows: list[tuple[int, list[str]]]):
-        self.vocabulary: dict[str, int] = {}
-        self.fields: list[tuple[int, np.ndarray]] = []
-        for key, texts in rows:
-            for words in texts:
-                self.fields.append((key, np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words], np.int64)))
-        self.hashes = np.unique(np.concatenate([shingle_hashes(ids) for _, ids in self.fields] or [np.zeros(0, np.uint64)]))
-
-    def index(self, counts: dict[int, int], run: int) -> dict[int, list[tuple[int, int]]]:
-        """Prefix shingle -> (field, position): the rarest shingle of every window of ``run`` words."""
-        out: dict[int, set[tuple[int, int]]] = defaultdict(set)
-        for f, (_, ids) in enumerate(self.fields):
-            h = shingle_hashes(ids).tolist()
-            rare = [(counts.get(x, 0), x, k) for k, x in enumerate(h)]
-            for begin in range(len(ids) - run + 1):
-                _, x, k = min(rare[begin : begin + run - SHINGLE + 1])
-                out[x].add((f, k))
-        return {x: sorted(v) for x, v in out.items()}
-
-
-def _flat(columns: list[list[str | None]], vocabulary: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Word ids of all texts of a batch, one after another with a -1 between, and where each text begins; the texts of a row follow each other."""
-    ids: list[int] = []
-    starts = []
-    get = vocabulary.get
-    for row in zip(*columns, strict=True):
-        for t in row:
-            starts.append(len(ids))
-            if t:
-                ids.extend([get(w, -1) for w in cleanup.words(t)])
-            ids.append(-1)
-    starts.append(len(ids))
-    return np.array(ids, np.int64), np.array(starts, np.int64)
-
-
-def shingle_counts(corpus: DataFrame, text_cols: list[str], items: Items) -> dict[int, int]:
-    """How often each shingle of the items stands in the corpus, over all its texts; as many entries as the items have shingles at most."""
-    shared = corpus.sparkSession.sparkContext.broadcast((items.vocabulary, items.hashes))
-
-    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, known = shared.value
-        total = np.zeros(len(known), np.int64)
+class WordHashes:
+    """64-bit hashes of words, with a memory."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.new: list[int] = []
+        self.known = np.zeros(0, np.uint64)
+
+    def flat(self, columns: list[list[str | None]]) -> tuple[np.ndarray, np.ndarray]:
+        """Word hashes of all texts of a batch, one after another with a 0 behind each, and where each text begins; the texts of a row follow each other."""
+        if len(self.place) > WORDS:
+            self.__init__()
+        if not self.place:
+            self.place[""] = 0  # the mark
+            self.known = np.zeros(1, np.uint64)
+        places: list[int] = []
+        starts = []
+        place = self.place
+        for row in zip(*columns, strict=True):
+            for t in row:
+                starts.append(len(places))
+                if t:
+                    for w in cleanup.words(t):
+                        k = place.get(w)
+                        if k is None:
+                            k = place[w] = len(place)
+                            self.new.append(int.from_bytes(hashlib.blake2b(w.encode("utf-8", "replace"), digest_size=8).digest(), "little") or 1)
+                        places.append(k)
+                places.append(0)
+        starts.append(len(places))
+        if self.new:
+            self.known = np.concatenate([self.known, np.array(self.new, np.uint64)])
+            self.new = []
+        return self.known[np.array(places, np.int64)], np.array(starts, np.int64)
+
+
+class Bloom:
+    """A filter of shingle hashes, made on the executors; a false answer has a chance below one in a thousand while BITS suffice."""
+
+    def __init__(self, hashes: DataFrame):
+        n = hashes.count()
+        self.bits = 1 << min(BITS, max(12, (BITS_EACH * n).bit_length()))
+        at = F.explode(F.array(*[F.expr(f"shiftrightunsigned(h, {s}) & {self.bits - 1}L") for s in _SHIFTS])).alias("at")
+        cells = hashes.select(at).select(F.expr("shiftright(at, 6)").alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bit")).toArrow()
+        self.words = np.zeros(self.bits // 64, np.uint64)
+        self.words[cells["word"].to_numpy()] = cells["bit"].to_numpy().view(np.uint64)
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that are in it, or seem so; never of 0."""
+        at = np.flatnonzero(h)
+        for s in _SHIFTS:
+            bit = (h[at] >> np.uint64(s)) & np.uint64(self.bits - 1)
+            at = at[(self.words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        return at
+
+
+def _fields(benchmark: DataFrame, key_col: str, text_cols: list[str], run: int) -> DataFrame:
+    """(item, field, words): the items' fields of at least ``run`` words, as word hashes; equal ones of an item once."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        width = len(text_cols)
         for b in batches:
-            h = shingle_hashes(_flat([c.to_pylist() for c in b.columns], vocabulary)[0])
-            h = h[h != 0]
-            at = np.searchsorted(known, h)
-            at[at == len(known)] = 0
-            total += np.bincount(at[known[at] == h], minlength=len(known))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(known[some].view(np.int64)), pa.array(total[some])], names=["h", "n"])
-
-    if not len(items.hashes):
-        return {}
-    found = corpus.select(*text_cols).mapInArrow(run_, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).collect()
-    return {r["h"] & ((1 << 64) - 1): r["n"] for r in found}
-
-
-def _probe(flat: np.ndarray, starts: np.ndarray, width: int, items: Items, index: dict[int, list[tuple[int, int]]], prefix: np.ndarray, run: int) -> set[tuple[int, int]]:
-    """(row, item) of all texts that hold ``run`` words of an item."""
-    h = shingle_hashes(flat)
-    at = np.searchsorted(prefix, h)
-    at[at == len(prefix)] = 0
-    hits = np.flatnonzero((prefix[at] == h) & (h != 0))
-    out: set[tuple[int, int]] = set()
-    texts = np.searchsorted(starts, hits, side="right") - 1
-    for p, t in zip(hits.tolist(), texts.tolist(), strict=True):
-        begin, stop, row = starts[t], starts[t + 1] - 1, t // width
-        if stop - begin < run:
-            continue
-        for f, q in index[int(h[p])]:
-            key, ids = items.fields[f]
-            if (row, key) in out:
-                continue
-            before, after = min(p - begin, q), min(stop - p, len(ids) - q)
-            if before + after < run:
-                continue
-            left = 0
-            while left < before and flat[p - left - 1] == ids[q - left - 1]:
-                left += 1
-            right = 0
-            while right < after and flat[p + right] == ids[q + right] and left + right < run:
-                right += 1
-            if right >= SHINGLE and left + right >= run:
-                out.add((row, key))
-    return out
-
-
-def blocks(benchmark: DataFrame, key_col: str, text_cols: list[str], run: int, most: int = MAX_WINDOWS) -> Iterator[Items]:
-    """The items in blocks, streamed from the small side; a key's rows that repeat count once."""
-    rows, n = [], 0
-    for r in benchmark.select(key_col, *text_cols).where(F.col(key_col).isNotNull()).distinct().orderBy(key_col).toLocalIterator():
-        texts = [w for t in r[1:] if t and len(w := cleanup.words(t)) >= run]
-        if not texts:
-            continue
-        size = sum(len(w) - run + 1 for w in texts)
-        if rows and n + size > most:
-            yield Items(rows)
-            rows, n = [], 0
-        rows.append((r[0], texts))
-        n += size
-    if rows:
-        yield Items(rows)
-
-
-def leaked(corpus: DataFrame, id_col: str, text_cols: list[str], benchmark: DataFrame, key_col: str, item_cols: list[str], run: int = 13, most: int = MAX_WINDOWS) -> DataFrame:
+            flat, starts = words.flat([c.to_pylist() for c in b.columns[1:]])
+            some = np.flatnonzero(np.diff(starts) - 1 >= run)
+            out = [flat[starts[k] : starts[k + 1] - 1].view(np.int64) for k in some]
+            names = [int.from_bytes(hashlib.blake2b(w.tobytes(), digest_size=8).digest(), "little", signed=True) for w in out]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(some // width)), pa.array(names, pa.int64()), pa.array(out, pa.list_(pa.int64()))], names=["item", "field", "words"])
+
+    asked = benchmark.where(F.col(key_col).isNotNull()).select(F.col(key_col).cast("bigint").alias("item"), *text_cols)
+    return asked.mapInArrow(hashed, "item bigint, field bigint, words array<bigint>").dropDuplicates(["item", "field"])
+
+
+def _shingles(fields: DataFrame) -> DataFrame:
+    """(h, item, field, at) of every shingle of the fields."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, field, words in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                h = shingle_hashes(np.array(words, np.int64).view(np.uint64))
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), item)), pa.array(np.full(len(h), field)), pa.array(np.arange(len(h), dtype=np.int32))], names=["h", "item", "field", "at"])
+
+    return fields.mapInArrow(run, "h bigint, item bigint, field bigint, at int")
+
+
+def shingle_counts(corpus: DataFrame, text_cols: list[str], bloom: Bloom) -> DataFrame:
+    """(h, n): how often each shingle of the filter stands in the corpus, over all its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            h = shingle_hashes(words.flat([c.to_pylist() for c in b.columns])[0])
+            found, n = np.unique(h[bloom.hits(h)], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    return corpus.select(*text_cols).mapInArrow(run, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def _around(words: np.ndarray, begin: int, stop: int, p: int, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words before the shingle at p, from it outwards, and those behind it, as far as a window of ``run`` words with the shingle goes."""
+    reach = run - SHINGLE
+    return words[max(begin, p - reach) : p][::-1].view(np.int64), words[p + SHINGLE : min(stop, p + run)].view(np.int64)
+
+
+def prefixes(fields: DataFrame, counts: DataFrame, run: int) -> DataFrame:
+    """(h, item, item_left, item_right): the rarest shingle of every window of the fields, with the words around it."""
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+            for item, words, counted in zip(*[b.column(c).to_pylist() for c in ("item", "words", "counted")], strict=True):
+                own = np.array(words, np.int64).view(np.uint64)
+                h = shingle_hashes(own)
+                n = np.array([c["n"] for c in sorted(counted, key=lambda c: c["at"])], np.int64)
+                rank = np.empty(len(h), np.int64)
+                rank[np.lexsort((np.arange(len(h)), h, n))] = np.arange(len(h))
+                first = np.lib.stride_tricks.sliding_window_view(rank, run - SHINGLE + 1).argmin(1) + np.arange(len(own) - run + 1)
+                out += [(int(h[q].view(np.int64)), item, *_around(own, 0, len(own), q, run)) for q in np.unique(first).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else ([],) * 4, (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())), strict=True)], names=["h", "item", "item_left", "item_right"])
+
+    counted = _shingles(fields).join(counts, "h", "left").groupBy("item", "field").agg(F.collect_list(F.struct("at", F.coalesce("n", F.lit(0)).alias("n"))).alias("counted"))
+    return fields.join(counted, ["item", "field"]).select("item", "words", "counted").mapInArrow(rarest, "h bigint, item bigint, item_left array<bigint>, item_right array<bigint>")
+
+
+def occurrences(corpus: DataFrame, text_cols: list[str], bloom: Bloom, run: int) -> DataFrame:
+    """(h, id, left, right): where shingles of the filter stand in a text that has room for ``run`` words around them, with the words there."""
+    reach = run - SHINGLE
+    width = len(text_cols)
+    words_type = pa.list_(pa.int64())
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
+        for b in batches:
+            flat, starts = words.flat([c.to_pylist() for c in b.columns[1:]])
+            h = shingle_hashes(flat)
+            at = bloom.hits(h)
+            text = np.searchsorted(starts, at, side="right") - 1
+            begin, stop = starts[text], starts[text + 1] - 1
+            room = np.minimum(at - begin, reach) + np.minimum(stop - at, run) >= run
+            at, text, begin, stop = at[room], text[room], begin[room], stop[room]
+            around = [_around(flat, int(x), int(y), int(p), run) for p, x, y in zip(at, begin, stop, strict=True)]
+            rows = pa.array((text // width).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), b.column(0).take(rows), pa.array([x for x, _ in around], words_type), pa.array([y for _, y in around], words_type)], names=["h", "id", "left", "right"])
+
+    return corpus.select("id", *text_cols).mapInArrow(find, "h bigint, id bigint, left array<bigint>, right array<bigint>")
+
+
+def _alike(x: Column, y: Column) -> Column:
+    """How many words two lists have in common before they differ or one ends."""
+    differ = F.array_position(F.zip_with(x, y, lambda a, b: a != b), F.lit(True))
+    return F.when(differ == 0, F.least(F.size(x), F.size(y))).otherwise(differ - 1)
+
+
+def leaked(corpus: DataFrame, id_col: str, text_cols: list[str], benchmark: DataFrame, key_col: str, item_cols: list[str], run: int = 13) -> DataFrame:
     """(id, item): records of which a text holds at least ``run`` words in a row that stand in a row in a field of the item.
 
     Words are those of cleanup.words; a run does not leave its field on either side.  Null and
     empty texts hold nothing, items shorter than ``run`` words leak nowhere, rows without id are
-    left out, repeated rows count once, and an empty side gives no rows.  Ids are whole numbers.
+    left out, repeated rows count once, and an empty side gives no rows.  Ids are whole numbers; ``run`` is at least SHINGLE.
     """
-    spark = corpus.sparkSession
-    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("item", T.LongType())])
-    given = corpus.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), *text_cols)
-    width = len(text_cols)
-    parts = []
-    for items in blocks(benchmark, key_col, item_cols, run, most):
-        index = items.index(shingle_counts(given, text_cols, items), run)
-        shared = spark.sparkContext.broadcast((items, index, np.array(sorted(index), np.uint64)))
-
-        def find(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            items, index, prefix = shared.value
-            for b in batches:
-                flat, starts = _flat([c.to_pylist() for c in b.columns[1:]], items.vocabulary)
-                found = sorted(_probe(flat, starts, width, items, index, prefix, run))
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([r for r, _ in found], pa.int64())), pa.array([k for _, k in found], pa.int64())], names=["id", "item"])
-
-        parts.append(given.mapInArrow(find, schema))
-    if not parts:
-        return spark.createDataFrame([], schema)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
+    given = corpus.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), *[F.col(c).alias(f"leak_text{i}") for i, c in enumerate(text_cols)])
+    texts = given.columns[1:]
+    fields = cut(_fields(benchmark, key_col, item_cols, run))
+    if fields.isEmpty():
+        return corpus.sparkSession.createDataFrame([], T.StructType([T.StructField("id", T.LongType()), T.StructField("item", T.LongType())]))
+    counts = shingle_counts(given, texts, Bloom(_shingles(fields).select("h").distinct()))
+    filed = cut(prefixes(fields, counts, run))
+    found = occurrences(given, texts, Bloom(filed.select("h").distinct()), run)
+    least = F.least(F.size("left"), F.size("item_left")) + F.least(F.size("right"), F.size("item_right")) + SHINGLE
+    same = _alike(F.col("left"), F.col("item_left")) + _alike(F.col("right"), F.col("item_right")) + SHINGLE
+    return found.join(filed, "h").where((least >= run) & (same >= run)).select("id", "item").distinct()
