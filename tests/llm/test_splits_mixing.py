@@ -38,6 +38,29 @@ def test_differencing_and_allotment():
     assert got.count("test") == 2
 
 
+def test_differencing_fills_up_what_bins_hold():
+    rng = random.Random(3)
+    held, weights = [rng.randint(0, 400) for _ in range(10)], [rng.randint(1, 50) for _ in range(400)]
+    sums = list(held)
+    for w, k in zip(weights, splits.differencing(weights, 10, held), strict=True):
+        sums[k] += w
+    assert max(sums) - min(sums) <= 3 and splits.differencing([], 10, held) == []
+
+
+def test_the_driver_sees_few_of_a_million_weights(spark, monkeypatch):
+    seen = []
+    real = splits.differencing
+    monkeypatch.setattr(splits, "differencing", lambda weights, bins, start=None: seen.append(len(weights)) or real(weights, bins, start))
+    weights = spark.range(1_000_000).select(splits.weight_range(F.col("id") + 1).alias("r"))
+    assert weights.distinct().count() < 400
+    rows = spark.range(30_000).select((F.col("id") % 300).alias("k"), "id").where("id % 300 * 100 > id - 5000")
+    got = splits.related_splits(rows.withColumn("k", F.col("k").cast("string")), "id", ["k"], bins=10, slice_rows=7)
+    assert seen and seen[0] < 10 * 400 and got.count() == rows.count()
+    assert got.groupBy("k").agg(F.count_distinct("split").alias("n")).where("n > 1").count() == 0
+    share = got.where("split = 'train'").count() / got.count()
+    assert abs(share - 0.8) < 0.02
+
+
 def test_related_rows_stay_together(spark):
     rng = random.Random(2)
     rows = [(i, None if i % 17 == 0 else f"k{int(rng.paretovariate(0.7)) % 60}", "" if i % 5 else f"a{i % 40}", "clash") for i in range(600)] + [(None, None, None, None)] * 3
