@@ -1,9 +1,10 @@
 """Problem 4: lines that a site puts into its documents.
 
-The texts are read once: every line becomes a 64-bit hash of its normal form, kept with where it
-stands in the shared folder; all that follows reads these narrow rows.  Pass 1 keeps, in each task
-and for each source, a Misra-Gries summary of the lines (one count a post); the summaries merge by
-adding.  A summary's counters grow with the lines a post has, so that what a line can lose in all
+The texts are read once: every line becomes a 64-bit hash of its normal form, and a thread the lists of its posts'
+hashes.  Only these narrow rows are shuffled, to count a thread delivered twice once, and kept in the shared folder.
+Pass 1 keeps, in each task and for each source, a Misra-Gries summary of the lines (one count a post).  Summaries merge
+into one with no more counters, first within groups of tasks, then by source, so none grows with the
+number of tasks.  A summary's counters grow with the lines a post has, so that what a line can lose in all
 summaries together stays below half of the share looked for: every line at or above the share
 is a candidate.  Pass 2 counts the candidates exactly.  Confirmed lines (per source at most the
 mean lines of a post over the share) are removed with broadcast sets while their number is within
@@ -15,8 +16,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ from siftwork.operators.checkpoints import cut
 COUNTERS = 2_000
 #: Most confirmed lines that are broadcast.
 BROADCAST_LINES = 50_000
+#: Groups of tasks whose summaries are merged first.
+GROUPS = 256
 #: Lines a task remembers the keys of; when full, it starts anew.
 SEEN_LINES = 100_000
 
@@ -58,6 +62,11 @@ class Keys(dict):
         return key
 
 
+def _room(lines: int, posts: int, share: float) -> int:
+    """Counters with which lost <= lines / counters < share / 2 of the posts."""
+    return max(COUNTERS, int(2 * lines / (posts * share)) + 1) if posts else COUNTERS
+
+
 class Summary:
     """Misra-Gries counts of the lines of one source in one task."""
 
@@ -69,17 +78,28 @@ class Summary:
         self.lines += len(keys)
         for k in keys:
             self.counts[k] = self.counts.get(k, 0) + 1
-        # with this many counters, lost <= lines / counters < share / 2 of the posts
-        room = max(COUNTERS, int(2 * self.lines / (self.posts * self.share)) + 1)
-        while len(self.counts) > room:
-            self.lost += 1
-            self.counts = {k: n - 1 for k, n in self.counts.items() if n > 1}
-
-
-def _posts(forum: DataFrame) -> DataFrame:
-    """One row per thread: source, thread_id, posts(index, content); rows delivered again count once."""
+        # cut back at twice the room, so that a cut costs little for each line
+        if len(self.counts) > 2 * (room := _room(self.lines, self.posts, self.share)):
+            self.cut(room)
+
+    def cut(self, room: int) -> None:
+        """Down to ``room`` counters: what the next largest one has is taken from all."""
+        if len(self.counts) > room:
+            least = sorted(self.counts.values(), reverse=True)[room]
+            self.lost += least
+            self.counts = {k: n - least for k, n in self.counts.items() if n > least}
+
+    def merge(self, keys: Iterable[int], counts: Iterable[int], lost: int, lines: int, posts: int) -> None:
+        for k, n in zip(keys, counts, strict=True):
+            self.counts[k] = self.counts.get(k, 0) + n
+        self.lost, self.lines, self.posts = self.lost + lost, self.lines + lines, self.posts + posts
+        self.cut(_room(self.lines, self.posts, self.share))
+
+
+def _slim(forum: DataFrame) -> DataFrame:
+    """source, thread_id, posts(index, content) of the rows that have them."""
     slim = forum.where(F.col("source").isNotNull() & F.col("thread_id").isNotNull() & F.col("posts").isNotNull())
-    return slim.select("source", "thread_id", F.transform("posts", lambda p: F.struct(p["index"].alias("index"), p["content"].alias("content"))).alias("posts")).dropDuplicates(["thread_id"])
+    return slim.select("source", "thread_id", F.transform("posts", lambda p: F.struct(p["index"].alias("index"), p["content"].alias("content"))).alias("posts"))
 
 
 def _unique(posts: list[dict]) -> dict[int, str | None]:
@@ -90,64 +110,69 @@ def _unique(posts: list[dict]) -> dict[int, str | None]:
     return out
 
 
-def _lines(threads: DataFrame) -> DataFrame:
-    """(source, thread_id, post_index, line_no, key) of every line that isn't blank, and a row with line_no 0 for each post; a post's rows follow each other."""
-    schema = T.StructType([threads.schema["source"], threads.schema["thread_id"], T.StructField("post_index", T.IntegerType()), T.StructField("line_no", T.IntegerType()), T.StructField("key", T.LongType())])
+def marked(forum: DataFrame) -> DataFrame:
+    """(source, thread_id, posts(index, keys)): the posts with the keys of their lines, null for blank ones; rows delivered again count once."""
+    slim = _slim(forum)
+    post = T.StructType([T.StructField("index", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    schema = T.StructType([slim.schema["source"], slim.schema["thread_id"], T.StructField("posts", T.ArrayType(post))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Keys()
         for b in batches:
-            at, index, no, keys = [], [], [], []
-            for i, posts in enumerate(b.column("posts").to_pylist()):
+            index, keys, ends, key_ends = [], [], [0], [0]
+            for posts in b.column("posts").to_pylist():
                 for k, content in _unique(posts).items():
-                    found = [(n, key) for n, line in enumerate(content.split("\n"), 1) if (key := known[line]) is not None] if content else []
-                    found.append((0, None))
-                    at += [i] * len(found)
-                    index += [k] * len(found)
-                    no += [n for n, _ in found]
-                    keys += [key for _, key in found]
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("source").take(rows), b.column("thread_id").take(rows), pa.array(index, pa.int32()), pa.array(no, pa.int32()), pa.array(keys, pa.int64())], names=["source", "thread_id", "post_index", "line_no", "key"])
+                    index.append(k)
+                    if content:
+                        keys += [known[line] for line in content.split("\n")]
+                    key_ends.append(len(keys))
+                ends.append(len(index))
+            lists = pa.ListArray.from_arrays(pa.array(key_ends, pa.int32()), pa.array(keys, pa.int64()))
+            structs = pa.StructArray.from_arrays([pa.array(index, pa.int32()), lists], names=["index", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column("source"), b.column("thread_id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), structs)], names=["source", "thread_id", "posts"])
+
+    return slim.mapInArrow(run, schema).dropDuplicates(["thread_id"])
 
-    return threads.mapInArrow(run, schema)
 
+_SUMMARY = "source string, keys array<bigint>, counts array<bigint>, lost bigint, lines bigint, posts bigint"
 
-def summaries(lines: DataFrame, share: float) -> DataFrame:
-    """(source, key, n, lost, posts): the tasks' summaries; a row without key has a task's lost counts and posts."""
-    schema = "source string, key bigint, n bigint, lost bigint, posts bigint"
+
+def summaries(threads: DataFrame, share: float) -> DataFrame:
+    """One merged summary for each source."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, Summary] = defaultdict(lambda: Summary(share))
-        post: set[int] = set()
         for b in batches:
-            for source, no, key in zip(*[b.column(c).to_pylist() for c in ("source", "line_no", "key")], strict=True):
-                if no:
-                    post.add(key)
-                else:  # the post's last row
-                    seen[source].add(post)
-                    post = set()
+            for source, posts in zip(b.column("source").to_pylist(), b.column("posts").to_pylist(), strict=True):
+                own = seen[source]
+                for p in posts:
+                    own.add({k for k in p["keys"] if k is not None})
         for source, s in seen.items():
-            keys = list(s.counts)
-            n = len(keys)
-            columns = [[source] * (n + 1), [*keys, None], [*s.counts.values(), 0], [0] * n + [s.lost], [0] * n + [s.posts]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["source", "key", "n", "lost", "posts"])
+            s.cut(_room(s.lines, s.posts, share))
+            yield pa.RecordBatch.from_pylist([{"source": source, "keys": list(s.counts), "counts": list(s.counts.values()), "lost": s.lost, "lines": s.lines, "posts": s.posts}], schema=pa.schema([("source", pa.string()), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("lost", pa.int64()), ("lines", pa.int64()), ("posts", pa.int64())]))
+
+    def merged(rows: pd.DataFrame) -> pd.DataFrame:
+        out = Summary(share)
+        for r in rows.itertuples(index=False):
+            out.merge(r.keys.tolist(), r.counts.tolist(), r.lost, r.lines, r.posts)
+        return pd.DataFrame([{"source": rows["source"].iloc[0], "keys": list(out.counts), "counts": list(out.counts.values()), "lost": out.lost, "lines": out.lines, "posts": out.posts}])
 
-    return lines.select("source", "line_no", "key").mapInArrow(run, schema)
+    own = threads.select(F.col("source").cast("string").alias("source"), "posts").mapInArrow(run, _SUMMARY)
+    groups = own.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(GROUPS)))
+    return groups.groupBy("source", "group").applyInPandas(merged, _SUMMARY).groupBy("source").applyInPandas(merged, _SUMMARY)
 
 
-def _confirmed(lines: DataFrame, share: float, least: int) -> DataFrame:
-    merged = summaries(lines, share)
-    totals = merged.where(F.col("key").isNull()).groupBy("source").agg(F.sum("lost").alias("lost"), F.sum("posts").alias("posts"))
-    totals = totals.withColumn("need", F.greatest(F.lit(float(least)), F.col("posts") * F.lit(share)))
-    summed = merged.where(F.col("key").isNotNull()).groupBy("source", "key").agg(F.sum("n").alias("upto"))
-    candidates = summed.join(totals, "source").where(F.col("upto") + F.col("lost") >= F.col("need")).select("source", "key", "need")
-    found = lines.where("line_no > 0").join(candidates, ["source", "key"]).select("source", "key", "need", "thread_id", "post_index").distinct()
-    return found.groupBy("source", "key", "need").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("need") - 1e-9).select("source", "key", "n")
+def _confirmed(threads: DataFrame, share: float, least: int) -> DataFrame:
+    merged = summaries(threads, share).withColumn("need", F.greatest(F.lit(float(least)), F.col("posts") * F.lit(share)))
+    upto = merged.select("source", "need", "lost", F.explode(F.arrays_zip("keys", "counts")).alias("c"))
+    candidates = upto.where(F.col("c.counts") + F.col("lost") >= F.col("need")).select("source", F.col("c.keys").alias("key"), "need")
+    posts = threads.select("source", F.explode("posts").alias("p")).select("source", F.explode(F.array_distinct("p.keys")).alias("key"))
+    return posts.join(candidates, ["source", "key"]).groupBy("source", "key", "need").agg(F.count("*").alias("n")).where(F.col("n") >= F.col("need") - 1e-9).select("source", "key", "n")
 
 
 def confirmed_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
     """(source, key, n): lines in at least ``least`` posts and ``share`` of the source's posts, with their number of posts."""
-    return _confirmed(cut(_lines(_posts(forum))), share, least)
+    return _confirmed(cut(marked(forum)), share, least)
 
 
 def site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
@@ -157,15 +182,17 @@ def site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFra
     null or empty content count as posts without lines; rows without source or thread_id are left
     out; an empty table gives no rows.  Other columns of the table don't matter.
     """
-    lines = cut(_lines(_posts(forum)))
-    found = _confirmed(lines, share, least).select("source", "key")
-    return lines.where("line_no > 0").join(found, ["source", "key"]).select("source", "thread_id", "post_index", "line_no", "key")
+    threads = cut(marked(forum))
+    found = _confirmed(threads, share, least).select("source", "key")
+    posts = threads.select("source", "thread_id", F.explode("posts").alias("p"))
+    lines = posts.select("source", "thread_id", F.col("p.index").alias("post_index"), F.posexplode("p.keys").alias("line_no", "key"))
+    return lines.where("key is not null").join(found, ["source", "key"]).select("source", "thread_id", "post_index", (F.col("line_no") + 1).alias("line_no"), "key")
 
 
 def without_site_lines(forum: DataFrame, share: float = 0.05, least: int = 5) -> DataFrame:
     """(thread_id, post_index, content, n_removed): every post's content without its source's lines; null contents stay null."""
-    found = confirmed_lines(forum, share, least)
-    threads = _posts(forum)
+    found = cut(confirmed_lines(forum, share, least))
+    threads = _slim(forum).dropDuplicates(["thread_id"])
     schema = T.StructType([threads.schema["thread_id"], T.StructField("post_index", T.IntegerType()), T.StructField("content", T.StringType()), T.StructField("n_removed", T.IntegerType())])
     head = found.limit(BROADCAST_LINES + 1).collect()
     small = len(head) <= BROADCAST_LINES

@@ -80,10 +80,26 @@ def test_summaries_keep_every_frequent_line():
     s = site_lines.Summary(0.05)
     for i in range(3000):
         s.add({rng.getrandbits(60) for _ in range(5)} | ({-1} if i % 18 == 0 else set()))
+    assert len(s.counts) <= 2 * site_lines.COUNTERS
+    s.cut(site_lines.COUNTERS)
     assert len(s.counts) <= site_lines.COUNTERS and s.lost < 0.025 * s.posts
     assert s.counts[-1] + s.lost >= 3000 / 18
 
 
+def test_merged_summaries_stay_small_and_keep_every_frequent_line():
+    rng = random.Random(4)
+    parts = [site_lines.Summary(0.05) for _ in range(40)]
+    for i in range(12_000):
+        parts[i % 40].add({rng.getrandbits(60) for _ in range(5)} | ({-1} if i % 18 == 0 else set()))
+    merged = site_lines.Summary(0.05)
+    for s in parts:
+        s.cut(site_lines.COUNTERS)
+        merged.merge(s.counts.keys(), s.counts.values(), s.lost, s.lines, s.posts)
+    assert (merged.posts, merged.lines) == (12_000, sum(s.lines for s in parts))
+    assert len(merged.counts) <= site_lines.COUNTERS and merged.lost < 0.025 * merged.posts
+    assert merged.counts[-1] + merged.lost >= 12_000 / 18
+
+
 PL = "Niech n będzie liczbą naturalną. Pokaż, że liczba ta jest parzysta, jeżeli suma jej cyfr jest podzielna."
 ANSWER = "Suma cyfr jest parzysta, więc liczba jest parzysta. Stąd teza, co należało pokazać."
 
