@@ -8,13 +8,16 @@ these times gives every source its share at any point, until a source has been s
 at the total budget.
 
 No window runs over a whole source: documents are summed by (source, slice of the hash), the
-slices' sums are accumulated, and a window within a slice adds the rest.  The cut is found in
+slices' sums are accumulated, and a window within a slice adds the rest.  How many passes each
+source can need within the budget follows from one sum a source, and only these are written out.  The cut is found in
 two histograms of the finish times, so only one sliver of the queue is ever summed in one task.
 The mix comes out range-partitioned and sorted by finish time.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,8 +38,23 @@ def sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str, vocabula
     return counted.where("n_tokens > 0").dropDuplicates(["doc_id"])
 
 
-def queue(sized: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
-    """(doc_id, copy, source, n_tokens, finish): all documents and passes with their virtual finish times."""
+def reached(sources: list[tuple[float, float, float]], tokens: float) -> float:
+    """Virtual time by which the sources (weight, tokens of a pass, passes) have sent so many tokens; infinite where they never do."""
+    ends = sorted((passes * size / weight, weight) for weight, size, passes in sources)
+    rate, at, sent = sum(w for _, w in ends), 0.0, 0.0
+    for end, weight in ends:
+        if rate > 0 and sent + rate * (end - at) >= tokens:
+            return at + (tokens - sent) / rate
+        sent, at, rate = sent + rate * (end - at), end, rate - weight
+    return math.inf
+
+
+def queue(sized: DataFrame, targets: DataFrame, seed: int = 17, budget: int | None = None) -> DataFrame:
+    """(doc_id, copy, source, n_tokens, finish): the documents and passes with their virtual finish times; with a budget only those that can lie within it.
+
+    A source sends its weight's share until it ends, and what it has sent at a time is short of its due by less than a
+    document; so by the time at which budget and the largest document of each source are due, the budget is spent.
+    """
     rows = sized.count()
     slices = max(16, rows // SLICE)
     want = targets.where("target_share > 0 and max_repeats > 0").groupBy("source").agg(F.max("target_share").alias("weight"), F.max("max_repeats").alias("repeats"))
@@ -46,9 +64,16 @@ def queue(sized: DataFrame, targets: DataFrame, seed: int = 17) -> DataFrame:
     before = before.withColumn("all", F.sum("tokens").over(Window.partitionBy("source"))).join(want, "source")
     order = Window.partitionBy("source", "slice").orderBy(F.shiftrightunsigned("h", 1), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     sent = hashed.withColumn("within", F.sum("n_tokens").over(order)).join(before.drop("tokens"), ["source", "slice"])
-    passes = sent.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
     finish = ((F.col("copy") - 1) * F.col("all") + F.col("before") + F.col("within")) / F.col("weight")
-    return passes.select("doc_id", "copy", "source", "n_tokens", finish.alias("finish"))
+    needed, last = F.col("repeats"), F.lit(math.inf)
+    if budget is not None:
+        # a row a target
+        found = hashed.groupBy("source").agg(F.sum("n_tokens").alias("all"), F.max("n_tokens").alias("largest")).join(want, "source").select("weight", "all", "repeats", "largest").collect()
+        until = reached([(r["weight"], r["all"], r["repeats"]) for r in found], budget + sum(r["largest"] for r in found))
+        last = F.lit(until * (1 + 1e-9))
+        needed = F.least(needed.cast("double"), F.floor(last * F.col("weight") / F.col("all")) + 1).cast("int")
+    passes = sent.withColumn("copy", F.explode(F.sequence(F.lit(1), needed)))
+    return passes.select("doc_id", "copy", "source", "n_tokens", finish.alias("finish")).where(F.col("finish") <= last)
 
 
 def _cells(q: DataFrame, low: float, high: float) -> tuple[DataFrame, list[tuple[int, int]]]:
@@ -69,7 +94,7 @@ def mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: s
     sized = cut(sizes(docs, id_col, text_col, source_col, vocabulary_file).join(want, "source", "left_semi").select("doc_id", "source", "n_tokens"))
     total = sized.agg(F.sum("n_tokens")).first()[0] or 0
     budget = total if budget is None else budget
-    q = queue(sized, targets, seed)
+    q = queue(sized, targets, seed, budget)
     if total:
         q = cut(q)
         room, parts, rest, low, high = budget, [], q, 0.0, q.agg(F.max("finish")).first()[0]

@@ -103,6 +103,8 @@ def test_mix_against_a_plain_queue(spark):
             room -= n
             want.append((d, c))
         got = [(r.doc_id, r.copy) for r in mixing.mix(docs, targets, budget=budget).collect()]
+        short = mixing.queue(sized.select("doc_id", "source", "n_tokens"), targets, budget=budget).count()
+        assert len(got) <= short <= len(every) and (budget is None or budget > total or short < len(every))
         assert sorted(got) == sorted(want), budget
     third = mixing.shares(mixing.mix(docs, targets, budget=total // 3), targets).collect()
     share = {r.source: r.actual_share for r in third}
