@@ -56,6 +56,12 @@ def p3_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p3(spark, sf_dir).select("record_id", "split")
 
 
+def p3_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(site, thread_no, records, splits): every thread's records and how many splits they are in, which is one."""
+    whole = _p3(spark, sf_dir).where("site is not null and thread_no is not null")
+    return whole.groupBy("site", "thread_no").agg(F.count_distinct("record_id").alias("records"), F.count_distinct("split").alias("splits"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siftwork.llm.encode import encode_corpus
 
@@ -199,6 +205,28 @@ p as (select a.field, a.id as id_a, b.id as id_b, count(*) as k from v a join v
 select p.field, id_a, id_b from p join n na on na.field = p.field and na.id = id_a join n nb on nb.field = p.field and nb.id = id_b where k >= 0.7 * (na.n + nb.n - k) - 1e-9"""
 
 
+def _p1_groups_sql() -> str:
+    return f"""with recursive x as (select distinct 'question' as field, record_id as id, question as t from pipeline_output where question is not null union select 'post', thread_id * 1000 + post_index, content from {_POSTS_SQL} where content is not null),
+w as (select distinct field, id, unnest({_words_sql("t")}) as w from x), n as (select field, id, count(*) as n, string_agg(w, ' ' order by w) as words from w group by field, id having count(*) >= 30),
+r as (select field, words, n, min(id) as least from n group by field, words, n), v as (select w.field, w.id, w.w from w join r on r.field = w.field and r.least = w.id),
+p as (select a.field, a.id as a, b.id as b, count(*) as k from v a join v b on a.field = b.field and a.w = b.w and a.id < b.id group by a.field, a.id, b.id),
+l as (select p.field, a, b from p join r ra on ra.field = p.field and ra.least = a join r rb on rb.field = p.field and rb.least = b where k >= 0.7 * (ra.n + rb.n - k) - 1e-9),
+e as (select field, a, b from l union all select field, b, a from l), reach(field, id, other) as (select field, least, least from r union select c.field, c.id, e.b from reach c join e on e.field = c.field and e.a = c.other),
+c as (select field, id, min(other) as group_id from reach group by field, id), d as (select field, a, count(*) as links from e group by field, a)
+select n.field, n.id, c.group_id, coalesce(d.links, 0) as links from n join r on r.field = n.field and r.words = n.words join c on c.field = r.field and c.id = r.least left join d on d.field = r.field and d.a = r.least"""
+
+
+def _p3_threads_sql() -> str:
+    return f"select site, thread_no, count(distinct record_id) as records, 1 as splits from ({_p3_sql()}) group by site, thread_no"
+
+
+def _p4_cleaned_sql() -> str:
+    lines = _p4_sql().rsplit("select thread_id, post_index, line_no from f", 1)[0]
+    return f"""{lines}, g as (select f.*, line, k is not null and k >= greatest(5, 0.05 * posts) as gone from f join l using (source, thread_id, post_index, line_no) join n using (source) left join c using (source, form)),
+o as (select thread_id, post_index, coalesce(string_agg(line, chr(10) order by line_no) filter (where not gone), '') as content, (count(*) filter (where gone))::int as n_removed from g group by thread_id, post_index)
+select p.thread_id, p.post_index, case when p.content is not null then o.content end as content, coalesce(o.n_removed, 0) as n_removed from p left join o on o.thread_id = p.thread_id and o.post_index = p.post_index"""
+
+
 def _p2_sql() -> str:
     grams = "list_transform(range(1, len(w) - 11), lambda i: array_to_string(w[i:i + 12], ' '))"
     return f"""with b as (select task_id, unnest([task, solution]) as t from benchmark), bw as (select task_id, {_words_sql("t")} as w from b where t is not null),
@@ -217,4 +245,8 @@ select thread_id, post_index, line_no from f join c on c.source = f.source and c
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": _p1_sql(), "p2_found": _p2_sql(), "p3_found": _p3_sql(), "p4_found": _p4_sql(), "p7_found": _p7_sql()}
+    items = f"select task_id, count(*) as records from ({_p2_sql()}) group by task_id"
+    return {
+        "p1_found": _p1_sql(), "p1_groups": _p1_groups_sql(), "p2_found": _p2_sql(), "p2_items": items, "p3_found": _p3_sql(), "p3_threads": _p3_threads_sql(),
+        "p4_found": _p4_sql(), "p4_cleaned": _p4_cleaned_sql(), "p7_found": _p7_sql(),
+    }
