@@ -71,7 +71,7 @@ def queue(sized: DataFrame, targets: DataFrame, seed: int = 17, budget: int | No
         found = hashed.groupBy("source").agg(F.sum("n_tokens").alias("all"), F.max("n_tokens").alias("largest")).join(want, "source").select("weight", "all", "repeats", "largest").collect()
         until = reached([(r["weight"], r["all"], r["repeats"]) for r in found], budget + sum(r["largest"] for r in found))
         last = F.lit(until * (1 + 1e-9))
-        needed = F.least(needed.cast("double"), F.floor(last * F.col("weight") / F.col("all")) + 1).cast("int")
+        needed = F.floor(F.least(needed.cast("double"), last * F.col("weight") / F.col("all") + 1)).cast("int")
     passes = sent.withColumn("copy", F.explode(F.sequence(F.lit(1), needed)))
     return passes.select("doc_id", "copy", "source", "n_tokens", finish.alias("finish")).where(F.col("finish") <= last)
 
