@@ -1,25 +1,18 @@
 """Problem 6: timestamps of many formats, precisions and zones as one unambiguous UTC form.
 
-Every format is part of one compiled alternation with named groups; one match per value gives
-its components.  They are checked against the calendar and put together by integer day
-arithmetic; a local time goes to UTC by bisection in its zone's table of clock changes.
-The operator is a map over Arrow batches: no shuffle, and only the three or four columns it
-needs travel to Python.
+Every format is part of one alternation with named groups.  One replacement by all groups extracts the
+components of a value at once; they are checked against the calendar and put together by integer day
+arithmetic.  A local time goes to UTC by its zone's clock changes.  All of it are column expressions: no shuffle,
+no Python, only the columns asked for.
 """
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_right
-from collections.abc import Iterator
-from datetime import UTC, datetime, timedelta
 from functools import lru_cache
-from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
+from zoneinfo import available_timezones
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Month names by their first letters, Polish and English.
 MONTHS = {
@@ -36,165 +29,95 @@ DAYS = {"dziś": 0, "dzis": 0, "dzisiaj": 0, "today": 0, "wczoraj": 1, "yesterda
 #: Seconds of the units in "N units ago".
 UNITS = {"sek": 1, "sec": 1, "min": 60, "godz": 3600, "hour": 3600, "dni": 86400, "dzie": 86400, "day": 86400, "tydz": 604800, "tyg": 604800, "week": 604800}
 
+#: Two-digit years below it are of this century.
+PIVOT = 70
+
 _MONTH = "|".join(sorted(MONTHS, key=len, reverse=True))
-_FORMATS = re.compile(
-    rf"""^(?:
-      (?P<count>\d{{9,10}}|\d{{12,13}})
-    | (?P<ago_n>\d+|an?|one)?\s*(?P<ago_unit>{"|".join(UNITS)})\w*\s+(?:temu|ago)
+#: The components of a value and the groups that have them; of several groups one at most takes part in a match.
+_PARTS = {
+    "year": "y1 y2 y3 y4 y5", "month": "m1 m5", "name": "m3 m4", "day": "d1 d3 d4 d5", "n1": "n1", "n2": "n2", "hour": "h h5 h6", "minute": "i i5 i6", "second": "s s5 s6", "half": "half",
+    "zone": "zone", "sign": "sign", "zh": "zh", "zm": "zm", "tz": "tz", "rel": "rel", "count": "count", "ago": "agoN", "unit": "agoUnit",
+}
+_FORMATS = rf"""(?ixU)^(?:
+      (?<count>[0-9]{{9,13}}|[0-9]{{15,19}})(?:[.,][0-9]+)?
+    | (?<agoN>[0-9]+|an?|one)?\s*(?<agoUnit>{"|".join(UNITS)})\p{{L}}*\s+(?:temu|ago)
     | (?:
         (?:
-          (?P<rel>{"|".join(DAYS)})
-        | (?:[^\W\d_]{{2,12}}\.?,?\s+)?(?:
-            (?P<y1>\d{{4}})[-/.](?P<m1>\d{{1,2}})[-/.](?P<d1>\d{{1,2}})
-          | (?P<n1>\d{{1,2}})[-/.](?P<n2>\d{{1,2}})[-/.](?P<y2>\d{{4}})
-          | (?P<d3>\d{{1,2}})(?:st|nd|rd|th)?\.?[\s-]+(?P<m3>{_MONTH})[^\W\d_]*\.?,?[\s-]+(?P<y3>\d{{4}})
-          | (?P<m4>{_MONTH})[^\W\d_]*\.?\s+(?P<d4>\d{{1,2}})(?:st|nd|rd|th)?,?\s+(?P<y4>\d{{4}})
+          (?:
+            (?<rel>{"|".join(DAYS)})
+          | (?:\p{{L}}{{2,}}+\.?,?\s+)?(?:
+              (?<y1>[0-9]{{4}})[-/.](?<m1>[0-9]{{1,2}})[-/.](?<d1>[0-9]{{1,2}})
+            | (?<n1>[0-9]{{1,2}})[-/.](?<n2>[0-9]{{1,2}})[-/.](?<y2>[0-9]{{4}}|[0-9]{{2}})
+            | (?<d3>[0-9]{{1,2}})(?:st|nd|rd|th)?\.?[\s-]+(?<m3>{_MONTH})\p{{L}}*\.?,?[\s-]+(?<y3>[0-9]{{4}}|[0-9]{{2}})
+            | (?<m4>{_MONTH})\p{{L}}*\.?\s+(?<d4>[0-9]{{1,2}})(?:st|nd|rd|th)?,?\s+(?<y4>[0-9]{{4}})
+            )
           )
+          (?:t|\s*,?\s*(?:o|at|godz\.?|-)?\s*)
+          (?<h>[0-9]{{1,2}})[:.](?<i>[0-9]{{2}})(?:[:.](?<s>[0-9]{{2}})(?:[.,][0-9]+)?)?
+          (?:\s*(?<half>[ap])\.?m\.?(?!\p{{L}}))?
+        | (?<y5>[0-9]{{4}})(?<m5>[0-9]{{2}})(?<d5>[0-9]{{2}})(?:[t\s](?<h5>[0-9]{{2}})(?<i5>[0-9]{{2}})(?<s5>[0-9]{{2}}(?:[.,][0-9]+)?)?|(?<h6>[0-9]{{2}})(?<i6>[0-9]{{2}})(?<s6>[0-9]{{2}}))
         )
-        (?:t|\s*,?\s*(?:o|at|godz\.?|-)?\s*)
-        (?P<h>\d{{1,2}})[:.](?P<mi>\d{{2}})(?:[:.](?P<s>\d{{2}})(?:[.,]\d+)?)?
-        (?:\s*(?P<half>[ap])\.?m\.?)?
-        (?:\s*(?:(?P<zone>{"|".join(sorted(ZONES, key=len, reverse=True))})|(?:utc|gmt)?(?P<sign>[+-])(?P<zh>\d{{2}}):?(?P<zm>\d{{2}})?))?
+        (?:\s*(?:(?:(?<zone>{"|".join(sorted(ZONES, key=len, reverse=True))})|(?:utc|gmt)?(?<sign>[+-])(?<zh>[0-9]{{2}}):?(?<zm>[0-9]{{2}})?)(?:\[[^\[\]]*\])?|\[?(?<tz>[a-z]+(?:/[a-z0-9_+-]+)+)\]?))?
       )
-    )$""",
-    re.X | re.I,
-)
-#: No format is longer.
-LONGEST = 80
-_DONE = re.compile(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ")
+    )$"""
+#: Between the groups.
+_CUT = "\u0001"
 _MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
 
-def days_of(y: int, m: int, d: int) -> int:
+@lru_cache(maxsize=4)
+def _zones(application: str) -> tuple[str, ...]:
+    spark = SparkSession.getActiveSession()
+    jvm = getattr(spark, "_jvm", None)
+    return tuple(sorted(jvm.java.time.ZoneId.getAvailableZoneIds().toArray())) if jvm is not None else tuple(sorted(available_timezones()))
+
+
+def known_zone(zone: str, spark: SparkSession) -> Column:
+    """The zone (an expression) where its name is one that clocks are known for, else null."""
+    names = ", ".join(f"'{z}'" for z in _zones(spark.sparkContext.applicationId))
+    return F.expr(f"case when {zone} in ({names}) then {zone} end")
+
+
+def days_of(y: Column, m: Column, d: Column) -> Column:
     """Days from 1970-01-01; the year begins in March, so the leap day comes last."""
-    y -= m < 3
-    m = m - 3 if m > 2 else m + 9
-    return 365 * y + y // 4 - y // 100 + y // 400 + (153 * m + 2) // 5 + d - 1 - 719468
+    year, month = y - F.when(m < 3, 1).otherwise(0), F.when(m > 2, m - 3).otherwise(m + 9)
 
+    def whole(x: Column, n: int) -> Column:
+        return F.floor(x / n)
 
-def civil_of(days: int) -> tuple[int, int, int]:
-    """Year, month and day of a day number."""
-    z = days + 719468
-    era, doe = divmod(z, 146097)
-    yoe = (doe - doe // 1460 + doe // 36524 - doe // 146096) // 365
-    doy = doe - (365 * yoe + yoe // 4 - yoe // 100)
-    mp = (5 * doy + 2) // 153
-    m = mp + 3 if mp < 10 else mp - 9
-    return yoe + era * 400 + (m < 3), m, doy - (153 * mp + 2) // 5 + 1
+    return 365 * year + whole(year, 4) - whole(year, 100) + whole(year, 400) + whole(153 * month + 2, 5) + d - 1 - 719468
 
 
-def _valid(y: int, m: int, d: int) -> bool:
-    return 1 <= y and 1 <= m <= 12 and 1 <= d <= _MONTH_DAYS[m - 1] + (m == 2 and y % 4 == 0 and (y % 100 != 0 or y % 400 == 0))
+def in_calendar(y: Column, m: Column, d: Column) -> Column:
+    leap = (m == 2) & (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    length = F.try_element_at(F.array(*map(F.lit, _MONTH_DAYS)), F.when(m.between(1, 12), m).otherwise(13)) + F.when(leap, 1).otherwise(0)
+    return (y >= 1) & m.between(1, 12) & (d >= 1) & (d <= length)
 
 
-@lru_cache(maxsize=1024)
-def clock_changes(zone: str, first: int = 1900, last: int = 2100) -> tuple[list[int], list[int]] | None:
-    """Local seconds from which each offset is read, and the offsets; None for an unknown zone.
+def to_utc(local: Column, zone: Column) -> Column:
+    """Seconds UTC of local ones.  A local time that occurs twice is the earlier instant, a skipped one has the offset before the change."""
+    return F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(local), zone))
 
-    A change counts from the later of its two local readings, so a local time that occurs
-    twice and one that is skipped both keep the offset before the change.
-    """
-    try:
-        z = ZoneInfo(zone)
-    except (ZoneInfoNotFoundError, ValueError, OSError):
-        return None
-
-    def offset(t: int) -> int:
-        return int((datetime(1970, 1, 1, tzinfo=UTC) + timedelta(seconds=t)).astimezone(z).utcoffset().total_seconds())
-
-    step = 86400 * 7
-    t, end = days_of(first, 1, 1) * 86400, days_of(last, 1, 1) * 86400
-    o = offset(t)
-    starts, offsets = [-(1 << 62)], [o]
-    while t < end:
-        if (after := offset(t + step)) != o:
-            lo, hi = t, t + step
-            while hi - lo > 1:
-                mid = (lo + hi) // 2
-                lo, hi = (mid, hi) if offset(mid) == o else (lo, mid)
-            after = offset(hi)
-            starts.append(hi + max(o, after))
-            offsets.append(after)
-            o, t = after, hi
-        else:
-            t += step
-    return starts, offsets
-
-
-def to_utc(local: int, zone: str | None) -> int | None:
-    table = clock_changes(zone) if zone else None
-    return None if table is None else local - table[1][bisect_right(table[0], local) - 1]
-
-
-def offset_at(instant: int, zone: str | None) -> int | None:
+
+def offset_at(instant: Column, zone: Column) -> Column:
     """Offset in force at an instant."""
-    table = clock_changes(zone) if zone else None
-    if table is None:
-        return None
-    starts, offsets = table
-    i = bisect_right(starts, instant + offsets[0]) - 1
-    for k in range(max(0, i - 2), min(len(offsets), i + 3)):
-        begin = -(1 << 62) if k == 0 else starts[k] - max(offsets[k - 1], offsets[k])
-        stop = (1 << 62) if k + 1 == len(offsets) else starts[k + 1] - max(offsets[k], offsets[k + 1])
-        if begin <= instant < stop:
-            return offsets[k]
-    return None
-
-
-def instant_of(value: str | None, zone: str | None, order: str | None = "dmy", crawled: int | None = None, calendar: str | None = None) -> int | None:
-    """Seconds since 1970 UTC, or None where the value names no instant."""
-    tidy = " ".join(value.split()) if value is not None else ""
-    if not tidy or len(tidy) > LONGEST or not (m := _FORMATS.match(tidy)):
-        return None
-    if m["count"]:
-        n = int(m["count"])
-        return n // 1000 if len(m["count"]) > 11 else n
-    if unit := m["ago_unit"]:
-        if crawled is None:
-            return None
-        n = int(m["ago_n"]) if (m["ago_n"] or "1").isdigit() and m["ago_n"] else 1
-        return crawled - n * UNITS[unit.lower()]
-    h, mi, s = int(m["h"]), int(m["mi"]), int(m["s"] or 0)
-    if half := m["half"]:
-        if not 1 <= h <= 12:
-            return None
-        h = h % 12 + (12 if half in "pP" else 0)
-    if h > 23 or mi > 59 or s > 59:
-        return None
-    if rel := m["rel"]:
-        if crawled is None or (o := offset_at(crawled, calendar or zone)) is None:
-            return None
-        days = (crawled + o) // 86400 - DAYS[rel.lower()]
-    else:
-        if m["y1"]:
-            y, mo, d = m["y1"], m["m1"], m["d1"]
-        elif m["y2"]:
-            y, (d, mo) = m["y2"], (m["n1"], m["n2"]) if order != "mdy" else (m["n2"], m["n1"])
-        else:
-            y, d, mo = m["y3"] or m["y4"], m["d3"] or m["d4"], MONTHS[(m["m3"] or m["m4"]).lower()]
-        y, mo, d = int(y), int(mo), int(d)
-        if not _valid(y, mo, d):
-            return None
-        days = days_of(y, mo, d)
-    local = days * 86400 + h * 3600 + mi * 60 + s
-    if m["sign"]:
-        zh, zm = int(m["zh"]), int(m["zm"] or 0)
-        if zh > 15 or zm > 59:
-            return None
-        return local - (zh * 3600 + zm * 60) * (-1 if m["sign"] == "-" else 1)
-    if m["zone"]:
-        return local - ZONES[m["zone"].lower()] * 60
-    return to_utc(local, zone)
-
-
-def written(instant: int) -> str:
-    days, rest = divmod(instant, 86400)
-    y, m, d = civil_of(days)
-    return f"{y:04d}-{m:02d}-{d:02d}T{rest // 3600:02d}:{rest // 60 % 60:02d}:{rest % 60:02d}Z"
-
-
-def is_written(value: str) -> bool:
-    return _DONE.fullmatch(value) is not None
+    return F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(instant), zone)) - instant
+
+
+def written(instant: Column) -> Column:
+    days, rest = F.floor(instant / 86400), F.pmod(instant, F.lit(86400))
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    text = F.concat(F.date_from_unix_date(days.cast("int")).cast("string"), F.lit("T"), two(F.floor(rest / 3600)), F.lit(":"), two(F.floor(rest / 60) % 60), F.lit(":"), two(rest % 60), F.lit("Z"))
+    return F.when((instant >= -62135596800) & (instant < 253402300800), text)
+
+
+def _lookup(table: dict[str, int], key: Column) -> Column:
+    return F.try_element_at(F.expr("map(" + ", ".join(f"'{k}', {v}" for k, v in table.items()) + ")"), F.lower(key))
+
+
+def _once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """The kept columns with new ones (time_...).  Each is worked out once a row: neither projections nor filters behind it are merged into its expression."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(f"time_{n}") for n, c in columns.items()]))))
 
 
 def normalise_times(df: DataFrame, value_col: str, zone_col: str, out_col: str = "utc", order_col: str | None = None, crawled_col: str | None = None, calendar_col: str | None = None) -> DataFrame:
@@ -204,20 +127,57 @@ def normalise_times(df: DataFrame, value_col: str, zone_col: str, out_col: str =
     ``dmy`` or ``mdy`` for all-number dates that don't begin with the year; ``crawled_col`` has the crawl's instant in the
     written form, for values told from it, on the calendar of ``calendar_col`` (else of ``zone_col``).  A local time that
     occurs twice is the earlier instant; a skipped one has the offset before the change.  Parts of a second are cut
-    off.  Null, empty and meaningless values give null; rows stay as many as they were; a column ``out_col`` is replaced.
+    off; a second 60 is the next minute's first.  Counts from 1970 are seconds with 9 or 10 digits, milliseconds with 11 to 13, microseconds with 15 or 16,
+    nanoseconds with 17 to 19; 14 digits are a date and time.  Years of two digits are of 1970 to 2069.
+    No instant: dates without a time, times without a date, dates that no calendar has, null, empty and meaningless
+    values, of any length; rows stay as many as they were; a column ``out_col`` is replaced; names beginning with time_ are taken.
     """
     keep = [c for c in df.columns if c != out_col]
+    spark = df.sparkSession
     absent = F.lit(None).cast("string")
-    asked = [F.col(c).cast("string") if c else absent for c in (value_col, zone_col, order_col, crawled_col, calendar_col)]
-    given = df.select(*keep, *[c.alias(f"time_arg{i}") for i, c in enumerate(asked)])
-    schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out_col, T.StringType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for value, zone, order, crawled, calendar in zip(*[c.to_pylist() for c in b.columns[len(keep) :]], strict=True):
-                t = instant_of(value, zone, order, instant_of(crawled, "UTC") if crawled else None, calendar) if value else None
-                out.append(None if t is None or not -62135596800 <= t < 253402300800 else written(t))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(out, pa.string())], names=[*keep, out_col])
-
-    return given.mapInArrow(run, schema)
+    value, zone, order, crawled, calendar = (F.col(c).cast("string") if c else absent for c in (value_col, zone_col, order_col, crawled_col, calendar_col))
+    tidy = F.trim(F.regexp_replace(F.translate(F.replace(value, F.lit(_CUT), F.lit("?")), "０１２３４５６７８９", "0123456789"), r"(?U)\s+", " "))
+    slots = _CUT.join("".join(f"${{{g}}}" for g in groups.split()) for groups in _PARTS.values())
+    parts = F.split(F.regexp_replace(tidy, _FORMATS, slots), _CUT)
+    asked = _once(
+        df.select(*keep, *[c.alias(f"time_{n}") for n, c in (("text", value), ("own", zone), ("order", order), ("crawl", crawled), ("cal", calendar))]),
+        keep,
+        p=F.when(F.size(parts) == len(_PARTS), parts),
+        zone=known_zone("time_own", spark),
+        mdy=F.coalesce(F.col("time_order") == "mdy", F.lit(False)),
+        crawled=F.unix_seconds(F.col("time_crawl").try_cast("timestamp")),
+        calendar=known_zone("coalesce(time_cal, time_own)", spark),
+    )
+
+    def part(name: str) -> Column:
+        return F.nullif(F.get("time_p", F.lit(list(_PARTS).index(name))), F.lit(""))
+
+    def number(name: str) -> Column:
+        return part(name).try_cast("int")
+
+    digits = F.length(part("count"))
+    units = F.coalesce(number("ago"), F.when(F.coalesce(part("ago").rlike("[0-9]"), F.lit(False)), F.lit(None).cast("int")).otherwise(1))
+    offset = F.when((number("zh") <= 15) & (F.coalesce(number("zm"), F.lit(0)) <= 59), number("zh") * 3600 + F.coalesce(number("zm"), F.lit(0)) * 60)
+    read = _once(
+        asked,
+        [*keep, "time_crawled", "time_calendar"],
+        y=F.when(F.length(part("year")) == 2, number("year") + F.when(number("year") < PIVOT, 2000).otherwise(1900)).otherwise(number("year")),
+        m=F.coalesce(number("month"), F.when(F.col("time_mdy"), number("n1")).otherwise(number("n2")), _lookup(MONTHS, part("name"))),
+        d=F.coalesce(number("day"), F.when(F.col("time_mdy"), number("n2")).otherwise(number("n1"))),
+        h=F.when(part("half").isNull(), number("hour")).when(number("hour").between(1, 12), number("hour") % 12 + F.when(F.lower(part("half")) == "p", 12).otherwise(0)),
+        i=number("minute"),
+        s=F.coalesce(F.substring(part("second"), 1, 2).try_cast("int"), F.lit(0)),
+        back=_lookup(DAYS, part("rel")),
+        count=F.floor(part("count").try_cast("bigint") / F.when(digits <= 10, F.lit(1)).when(digits <= 13, 1000).when(digits <= 16, 1_000_000).otherwise(1_000_000_000)),
+        ago=F.when(part("unit").isNotNull(), units * _lookup(UNITS, part("unit")).cast("bigint")),
+        placed=part("sign").isNotNull() | part("zone").isNotNull(),
+        east=F.coalesce(_lookup(ZONES, part("zone")) * 60, offset * F.when(part("sign") == "-", -1).otherwise(1)),
+        zone=F.when(part("tz").isNotNull(), known_zone(f"time_p[{list(_PARTS).index('tz')}]", spark)).otherwise(F.col("time_zone")),
+    )
+    t = lambda k: F.col(f"time_{k}")
+    clock = F.when((t("h") <= 23) & (t("i") <= 59) & ((t("s") <= 59) | ((t("s") == 60) & (t("i") == 59))), t("h") * 3600 + t("i") * 60 + t("s"))
+    here = t("crawled") + offset_at(t("crawled"), t("calendar"))
+    days = F.when(t("back").isNotNull(), F.floor(here / 86400) - t("back")).when(in_calendar(t("y"), t("m"), t("d")), days_of(t("y"), t("m"), t("d")))
+    local = _once(read, [*keep, *(f"time_{k}" for k in ("crawled", "count", "ago", "placed", "east", "zone"))], local=days * 86400 + clock)
+    instant = F.coalesce(t("count"), t("crawled") - t("ago"), F.when(t("placed"), t("local") - t("east")).otherwise(to_utc(t("local"), t("zone"))))
+    return _once(local, keep, instant=instant).select(*keep, written(t("instant")).alias(out_col))
