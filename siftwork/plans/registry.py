@@ -14,4 +14,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(core_queries.ORACLE)
+    return core_queries.ORACLE | problem_queries.oracle_sql()
