@@ -241,13 +241,22 @@ def problem_fields(pages: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([problem_page(parse(p or "")) for p in pages], columns=["title", "segments", "contains_images", "next_href"])
 
 
+def _unescaped(c: Column) -> Column:
+    for entity, sign in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(sign))
+    return c
+
+
 def links(page: Column) -> Column:
-    """Addresses of a page's links, as written."""
-    return F.regexp_extract_all(page, F.lit(r'(?i)<a[^>]+href="([^"]*)"'), F.lit(1))
+    """Addresses of a page's links, in quotes of either kind or none."""
+    found = F.regexp_extract_all(page, F.lit(r"""(?i)<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""), F.lit(1))
+    return F.transform(found, lambda h: _unescaped(F.regexp_replace(h, r"""^["']|["']$""", "")))
 
 
 def next_page(page: Column) -> Column:
-    return F.nullif(F.regexp_extract(page, r'(?i)<a(?=[^>]*rel="next")[^>]*href="([^"]*)"', 1), F.lit(""))
+    """Address of the link to the next page; null without one."""
+    found = F.regexp_extract(page, r"""(?i)<a\s(?=[^>]*\brel\s*=\s*["']?next\b)[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.nullif(_unescaped(F.regexp_replace(found, r"""^["']|["']$""", "")), F.lit(""))
 
 
 def has_post_image(page: Column) -> Column:

@@ -104,6 +104,25 @@ def absolute_url(base: Column, href: Column) -> Column:
     )
 
 
+def folded_path(url: Column) -> Column:
+    """An address without ``.`` and ``..`` in its path, as a browser asks for it; a path that goes above its root begins there."""
+    root, rest = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?", 0), F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
+    tail = F.substring(url, F.length(root) + F.length(rest) + 1, F.length(url))
+    steps = F.split(rest, "/")
+    ends = F.when(F.try_element_at(steps, F.lit(-1)).isin(".", ".."), F.lit("/")).otherwise("")
+    kept = F.aggregate(
+        steps,
+        F.array().cast("array<string>"),
+        lambda done, s: F.when(s == ".", done).when((s == "..") & (F.size(done) > 1), F.slice(done, 1, F.size(done) - 1)).when(s == "..", done).otherwise(F.array_append(done, s)),
+    )
+    return F.concat(root, F.array_join(kept, "/"), ends, tail)
+
+
+def is_thread_url(url: Column, host: Column | str) -> Column:
+    """Whether an address on a host is that of a thread: it has ``-t``, a number and ``.html``."""
+    return F.coalesce(F.regexp_like(url, F.lit(r"-t\d+\.html")) & F.contains(url, F.lit(host) if isinstance(host, str) else host), F.lit(False))
+
+
 def max_page(hrefs: Column, page: Column) -> Column:
     """Whether any address ends in a comma and a higher page number."""
     return F.exists(hrefs, lambda h: F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(h, r",(\d{1,9})$", 1), F.lit("")), F.lit("999999999")) > page, F.lit(False)))

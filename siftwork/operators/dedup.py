@@ -70,15 +70,14 @@ def candidate_edges(signed: DataFrame, bands: int = 14, rows: int = 3) -> DataFr
     The least id comes from an aggregation that combines before the shuffle, so a hot bucket is
     no hot task; its members then meet one row.
     """
-    keyed = band_keys(signed, bands, rows)
+    keyed = band_keys(cut(signed), bands, rows)  # read twice, so kept in the shared folder
     least = keyed.groupBy("band", "key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
     return keyed.join(least, ["band", "key"]).where("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
 def clusters(docs: DataFrame, id_col: str, text: Column, bands: int = 14, rows: int = 3, n: int = 3, numbers: bool = True) -> DataFrame:
     """(id, component) of documents that have a near duplicate; the component is its least id."""
-    # the signatures are read twice for the stars, so they are kept in the shared folder
-    edges = candidate_edges(cut(signatures(docs, id_col, text, bands, rows, n, numbers)), bands, rows)
+    edges = candidate_edges(signatures(docs, id_col, text, bands, rows, n, numbers), bands, rows)
     return connected_components(edges).withColumnRenamed("node", "id")
 
 
@@ -86,3 +85,9 @@ def deduplicate(docs: DataFrame, id_col: str, text: Column, bands: int = 14, row
     """(kept, removed): all documents but those whose cluster has a lesser id, and those with that id as ``duplicate_of``."""
     gone = clusters(docs, id_col, text, bands, rows, n, numbers).where("id <> component").select(F.col("id").alias(id_col), F.col("component").alias("duplicate_of"))
     return docs.join(gone.select(id_col), id_col, "left_anti"), docs.join(gone, id_col)
+
+
+def flagged(docs: DataFrame, id_col: str, text: Column, bands: int = 14, rows: int = 3, n: int = 3, numbers: bool = True) -> DataFrame:
+    """All documents with duplicate_of, null for those that stay, and ``removed``; for sinks that write both sides in one pass."""
+    gone = clusters(docs, id_col, text, bands, rows, n, numbers).where("id <> component").select(F.col("id").alias(id_col), F.col("component").alias("duplicate_of"))
+    return docs.join(gone, id_col, "left").withColumn("removed", F.col("duplicate_of").isNotNull())

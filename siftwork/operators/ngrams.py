@@ -14,15 +14,19 @@ from pyspark.sql import functions as F
 from siftwork.functions.text import ngrams, norm_tokens, overlap_ngrams
 
 
-def task_name(stem: str, task_id: Column, ordinal: Column | None = None) -> Column:
+def task_name(stem: str | Column, task_id: Column, ordinal: Column | None = None) -> Column:
     """``stem_taskID``; for a null id ``stem_N`` by the ordinal."""
-    return F.concat(F.lit(stem), F.coalesce(F.concat(F.lit("_task"), task_id.cast("string")), F.concat(F.lit("_"), (ordinal if ordinal is not None else F.lit(0)).cast("string"))))
+    return F.concat(F.lit(stem) if isinstance(stem, str) else stem, F.coalesce(F.concat(F.lit("_task"), task_id.cast("string")), F.concat(F.lit("_"), (ordinal if ordinal is not None else F.lit(0)).cast("string"))))
 
 
 def build_index(benchmark: DataFrame, n: int = 9, stem: str = "benchmark", task_col: str = "task", solution_col: str = "solution", id_col: str = "task_id", numbers: bool = True) -> DataFrame:
-    """(gram, task_name), distinct: grams of the task, of the solution and over their seam."""
+    """(gram, task_name), distinct: grams of the task, of the solution and over their seam.
+
+    Columns benchmark_name and ordinal, where the benchmark has them, name its items: the first in place of ``stem``, the second for those without an id.
+    """
     q, s = norm_tokens(F.col(task_col), numbers), norm_tokens(F.col(solution_col), numbers)
-    named = benchmark.select(task_name(stem, F.col(id_col)).alias("task_name"), q.alias("q"), s.alias("s"))
+    name = F.col("benchmark_name") if "benchmark_name" in benchmark.columns else stem
+    named = benchmark.select(task_name(name, F.col(id_col), F.col("ordinal") if "ordinal" in benchmark.columns else None).alias("task_name"), q.alias("q"), s.alias("s"))
     grams = F.array_distinct(F.concat(ngrams(F.col("s"), n), ngrams(F.col("q"), n), overlap_ngrams(F.col("q"), F.col("s"), n)))
     return named.select(F.explode(grams).alias("gram"), "task_name").distinct()
 
@@ -44,3 +48,9 @@ def decontaminate(docs: DataFrame, index: DataFrame, id_col: str, text: Column,
     """(clean, removed): the documents without a shared gram as they are, and the others with what they share."""
     hits = contamination(docs, index, id_col, text, n, numbers).withColumnRenamed("id", id_col)
     return docs.join(hits.select(id_col), id_col, "left_anti"), docs.join(hits, id_col)
+
+
+def flagged(docs: DataFrame, index: DataFrame, id_col: str, text: Column, n: int = 9, numbers: bool = True) -> DataFrame:
+    """All documents with contaminated_task and contaminated_ngram, null for clean ones, and ``removed``; for sinks that write both sides in one pass."""
+    hits = contamination(docs, index, id_col, text, n, numbers).withColumnRenamed("id", id_col)
+    return docs.join(hits, id_col, "left").withColumn("removed", F.col("contaminated_task").isNotNull())

@@ -23,6 +23,16 @@ def across_pages(pages: DataFrame, thread_col: str, page_col: str, posts_col: st
     return flat.select(thread_col, running.cast("int").alias("index"), "post")
 
 
+def totals(threads: DataFrame, group_cols: list[str]) -> DataFrame:
+    """(..., threads, posts): how many threads and posts there are of each group; null lists of posts count none."""
+    return threads.groupBy(*group_cols).agg(F.count("*").alias("threads"), F.coalesce(F.sum(F.size(F.coalesce("posts", F.array().cast(threads.schema["posts"].dataType)))), F.lit(0)).cast("bigint").alias("posts"))
+
+
+def titled(title: Column, number: Column) -> Column:
+    """The title, or the problem's number where it has none."""
+    return F.coalesce(F.nullif(F.trim(title), F.lit("")), F.concat(F.lit("Zadanie nr "), number.cast("string")))
+
+
 def relevant(posts: Column, indices: Column) -> Column:
     return F.filter(posts, lambda p: F.array_contains(indices, p["index"]))
 

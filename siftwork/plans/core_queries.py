@@ -230,6 +230,15 @@ def thread_assembly(spark, d):
     return whole.select("thread_id", F.size("posts").cast("bigint").alias("n_posts"), F.array_join(F.transform("posts", lambda p: F.concat(p["index"].cast("string"), F.lit(":"), F.coalesce(p["author"], F.lit("")))), "|").alias("authors"))
 
 
+def thread_totals(spark, d):
+    return threads.totals(_threads(spark, d), ["source"])
+
+
+def thread_titles(spark, d):
+    """Titles, with the thread's number where there is none, and whether the address is a thread's of the host that most threads have."""
+    return _threads(spark, d).select("thread_id", threads.titled(F.col("title"), F.col("thread_id")).alias("title"), text.is_thread_url(F.col("url"), ".example").alias("by_page"))
+
+
 def thread_prompts(spark, d):
     line = lambda p: F.concat(F.lit("#"), p["index"].cast("string"), F.lit(" "), p["author"], F.lit(": "), p["text"])
     return _threads(spark, d).select("thread_id", F.md5(F.array_join(F.transform(threads.brief(F.col("posts"), 500), line), "\n")).alias("digest"))
@@ -358,7 +367,7 @@ QUERIES = {
     for f in (
         decontam_clean_docs, decontam_report, decontam_task_counts, benchmark_index, decontam_training_rows, minhash_signature, lsh_candidate_edges, dedup_clusters, dedup_clean, dedup_removed,
         exact_dup_groups, jaccard_best_match, latex_normalize, build_texts, previews, navigation_lines, eval_prompts, answer_accuracy, parse_decision, parse_category, parse_post_index,
-        thread_assembly, thread_prompts, relevant_posts, post_dates, post_images, url_canonical, id_range_missing, consecutive_misses, board_pages, curated_records, stage_stats,
+        thread_assembly, thread_totals, thread_titles, thread_prompts, relevant_posts, post_dates, post_images, url_canonical, id_range_missing, consecutive_misses, board_pages, curated_records, stage_stats,
         clean_projection, accuracy_mean, display_blocks, json_records, category_ids, train_val_split, sft_samples, source_union_counts, source_heads,
     )
 }
@@ -415,6 +424,8 @@ select task_id, gold, predicted, gold <> '' and (gold = predicted or coalesce(ab
     "parse_category": f"select record_id, case when category in {_EXACT} then category end as category, {_strip("coalesce(category_reason, '')")} as reason from (select distinct record_id, category, category_reason from pipeline_output)",
     "parse_post_index": "select record_id, answer_post_index::int as post_index from (select distinct record_id, answer_post_index from pipeline_output)",
     "thread_assembly": f"with {_FORUM} select thread_id, len(posts) as n_posts, array_to_string(list_transform(range(1, len(posts) + 1), lambda i: (i - 1)::varchar || ':' || coalesce(posts[i].author, '')), '|') as authors from t where len(posts) > 0",
+    "thread_totals": f"with {_FORUM} select source, count(*) as threads, coalesce(sum(len(coalesce(posts, []))), 0)::bigint as posts from t group by source",
+    "thread_titles": rf"with {_FORUM} select thread_id, coalesce(nullif(trim(title), ''), 'Zadanie nr ' || thread_id) as title, coalesce(regexp_matches(url, '-t\d+\.html') and contains(url, '.example'), false) as by_page from t",
     "thread_prompts": f"with {_FORUM} select thread_id, md5(array_to_string(list_transform(posts, lambda p: '#' || p.index || ' ' || coalesce(p.author, '') || ': ' || substr(coalesce(p.content, ''), 1, 500)), chr(10))) as digest from t",
     "relevant_posts": f"""with {_FORUM} select thread_id, len(list_filter(posts, lambda p: p.index in (0, 2))) as near, coalesce(list_bool_or(list_transform(list_filter(posts, lambda p: p.index in (0, 2)), lambda p: coalesce(p.contains_images, false))), false) as images,
 list_filter(posts, lambda p: p.index = 1)[-1].content as answer from t""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwork.schema import CLEAN_FIELDS
@@ -29,8 +29,13 @@ def flatten(df: DataFrame, nested: str = "metadata") -> DataFrame:
 
 
 def write_index(index: DataFrame, path: str) -> None:
-    """A gram index, a folder a task."""
-    index.write.mode("overwrite").partitionBy("task_name").parquet(path)
+    """A gram index with its task names, in files by their rows, not by task."""
+    index.write.mode("overwrite").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str) -> DataFrame:
+    """(gram, task_name) of an index that was written."""
+    return spark.read.parquet(path).select("gram", "task_name")
 
 
 def write_splits(df: DataFrame, path: str) -> bool:

@@ -194,3 +194,16 @@ def test_stamps(spark):
     assert value(spark, text.utc_stamp(t)) == "2020-01-31T07:05:09Z"
     assert len(value(spark, text.utc_stamp())) == 20
     assert value(spark, text.first_word(F.col("a")), a=" ala ma ") == "ala" and value(spark, text.first_word(F.col("a")), a=" ") == "unknown"
+
+
+def test_links_in_any_quotes_and_folded_paths(spark):
+    page = """<a class='x' href='/a?b=1&amp;c=2'>1</a><A HREF="../d">2</A><a href=e.html>3</a><abbr href="no">x</abbr><a rel='next' href='p,2'>next</a>"""
+    df = spark.createDataFrame([(page,), ("<p>no link</p>",), (None,)], "page string")
+    got = df.select(html.links(F.col("page")).alias("links"), html.next_page(F.col("page")).alias("next")).collect()
+    assert got[0].links == ["/a?b=1&c=2", "../d", "e.html", "p,2"] and got[0].next == "p,2"
+    assert got[1].links == [] and got[1].next is None and got[2].links is None
+    cases = {"http://h.example/a/b/../c": "http://h.example/a/c", "http://h.example/a/./b/..": "http://h.example/a/", "http://h.example/../x?y=/../z": "http://h.example/x?y=/../z", "http://h.example": "http://h.example", "http://h.example/a/": "http://h.example/a/"}
+    urls = spark.createDataFrame([(u,) for u in cases], "u string")
+    assert {r.u: r.f for r in urls.select("u", text.folded_path(F.col("u")).alias("f")).collect()} == cases
+    asked = spark.createDataFrame([("https://h.example/zadanie-t77.html",), ("https://other.test/zadanie-t77.html",), ("https://h.example/t77",), (None,)], "u string")
+    assert [r[0] for r in asked.select(text.is_thread_url(F.col("u"), "h.example")).collect()] == [True, False, False, False]
