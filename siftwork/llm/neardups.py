@@ -46,10 +46,14 @@ CELLS = 16_384
 CHUNK = 120_000
 #: Rows of a block of a node that is compared whole.
 BLOCK = 16_384
+#: Rows that are compared at a time with all others of a node.
+ROWS = 32
 #: Words whose hashes a task remembers; when full, it starts anew.
 WORDS = 500_000
 #: A node is compared whole where its members' mean similarity is above this share of the threshold.
 ALIKE = 0.9
+#: Levels for which the first runs are counted; where nodes lie deeper, more runs follow.
+FIRST = 2
 #: Min-hashes by which the mean similarity is summed.
 TOLD = 16
 
@@ -277,28 +281,41 @@ def _likeness(n, ones: list):
     return 2 * agree - 1
 
 
-def grown(sets: DataFrame, tree: Tree, limit: int, cells: int, max_depth: int) -> Tree:
-    """The tree down to the level where no node is hot; at most ``cells`` nodes a level come to the driver."""
+def _alike(n: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """As _likeness, for arrays."""
+    n = n[:, None].astype(float)
+    return 2 * ((ones * ones + (n - ones) * (n - ones)) / (n * n)).mean(1) - 1
+
+
+def grown(sets: DataFrame, count: int, tree: Tree, limit: int, cells: int, max_depth: int) -> Tree:
+    """The tree of ``count`` sets down to the level where no node is hot.
+
+    One job a level; what comes to the driver are at most ``cells`` hot nodes of the level, and TOLD + 1 numbers for each of the level above.
+    """
+    total = count * len(tree.runs)
     while True:
         level = len(tree.hot) + 1
-        counted = cut(_tallied(sets, tree, level))
-        total = counted.where("kind = -1").agg(F.sum("n")).first()[0] or 0
         bound = max(limit_at(limit, level), total // cells)
-        nodes = sorted(r["key"] & ((1 << 64) - 1) for r in counted.where((F.col("kind") == -1) & (F.col("n") > bound)).select("key").collect())
+        found = _tallied(sets, tree, level).where((F.col("kind") >= 0) | (F.col("n") > bound)).toArrow()
+        kind, key, n = found["kind"].to_numpy(), found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
         if level > 1:
-            told = counted.where("kind >= 0").groupBy("key").pivot("kind", list(range(TOLD + 1))).agg(F.first("n")).na.fill(0)
-            alike = told.where(_likeness(F.col(str(TOLD)).cast("double"), [F.col(str(i)).cast("double") for i in range(TOLD)]) >= ALIKE * tree.threshold)
-            whole = np.array(sorted(r["key"] & ((1 << 64) - 1) for r in alike.select("key").collect()), np.uint64)
-            tree.whole[-1], tree.hot[-1] = whole, tree.hot[-1][~_in(tree.hot[-1], whole)]
-            if not len(tree.hot[-1]):
+            nodes = tree.hot[-1]
+            told = np.zeros((len(nodes), TOLD + 1), np.int64)
+            some = kind >= 0
+            told[np.searchsorted(nodes, key[some]), kind[some]] = n[some]
+            whole = _alike(told[:, TOLD], told[:, :TOLD]) >= ALIKE * tree.threshold
+            tree.whole[-1], tree.hot[-1] = nodes[whole], nodes[~whole]
+            if whole.all():
                 tree.hot.pop()
                 return tree
-        if not nodes:
+        hot = np.sort(key[kind < 0])
+        if not len(hot):
             return tree
         if level >= max_depth:
-            tree.whole.append(np.array(nodes, np.uint64))
+            tree.whole.append(hot)
             return tree
-        tree.hot.append(np.array(nodes, np.uint64))
+        total = int((n[kind < 0] * _branches(key[kind < 0], tree.threshold)).sum())
+        tree.hot.append(hot)
         tree.whole.append(np.zeros(0, np.uint64))
 
 
@@ -395,29 +412,21 @@ class Filter:
             hit = at[sum(np.bitwise_count(o[at] ^ o[at + d]) for o in odd) <= self.differing(size[at] + size[at + d])]
             keep(hit, hit + d)
             d += 1
-        # large ones: each row with all after it that aren't too large for it
+        # large ones: some rows at a time with all after them that aren't too large for one of them
         for begin, end in zip(begins[ends - begins > 64].tolist(), ends[ends - begins > 64].tolist(), strict=True):
             own = size[begin:end]
             stops = begin + np.searchsorted(own, own / self.threshold + 1e-9, side="right")
             most = np.minimum(self.differing(own + own / self.threshold), 255).astype(np.uint8)
-            buffer, count, more = np.empty(end - begin, np.uint64), np.empty(end - begin, np.uint8), np.empty(end - begin, np.uint8)
-            i, j, held = [], [], 0
-            for k, (stop, bound) in enumerate(zip(stops.tolist(), most.tolist(), strict=True), begin):
-                n = stop - k - 1
-                np.bitwise_xor(odd[0][k + 1 : stop], odd[0][k], out=buffer[:n])
-                np.bitwise_count(buffer[:n], out=count[:n])
-                np.bitwise_xor(odd[1][k + 1 : stop], odd[1][k], out=buffer[:n])
-                count[:n] += np.bitwise_count(buffer[:n], out=more[:n])
-                hit = np.flatnonzero(count[:n] <= bound)
+            for k in range(begin, end - 1, ROWS):
+                rows_ = slice(k, min(k + ROWS, end))
+                after = slice(k + 1, int(stops[rows_.stop - 1 - begin]))
+                count = np.bitwise_count(odd[0][rows_, None] ^ odd[0][None, after])
+                count += np.bitwise_count(odd[1][rows_, None] ^ odd[1][None, after])
+                wide = count.shape[1]
+                hit = np.flatnonzero(count <= most[rows_.start - begin : rows_.stop - begin, None]) if wide else np.zeros(0, np.int64)
                 if len(hit):
-                    i.append(np.full(len(hit), k))
-                    j.append(hit + k + 1)
-                    held += len(hit)
-                    if held > 1_000_000:
-                        keep(np.concatenate(i), np.concatenate(j))
-                        i, j, held = [], [], 0
-            if held:
-                keep(np.concatenate(i), np.concatenate(j))
+                    i, j = k + hit // wide, k + 1 + hit % wide
+                    keep(i[j > i], j[j > i])
         none = np.zeros(0, np.int64)
         return np.concatenate(left or [none]), np.concatenate(right or [none])
 
@@ -534,9 +543,9 @@ def _two(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
 
-def _met_in(sets: DataFrame, runs: range, check: Filter, limit: int, cells: int, block: int, max_depth: int, seed: int) -> tuple[list[DataFrame], int]:
+def _met_in(sets: DataFrame, count: int, runs: range, check: Filter, limit: int, cells: int, block: int, max_depth: int, seed: int) -> tuple[list[DataFrame], int]:
     """Candidates (a, b) of some runs, and the deepest level of their nodes."""
-    tree = grown(sets, Tree(runs, check.threshold, seed), limit, cells, max_depth)
+    tree = grown(sets, count, Tree(runs, check.threshold, seed), limit, cells, max_depth)
     depth = len(tree.hot) + 1
     out = [_whole(_leaves(sets, tree, whole=True), sets, block, check)] if any(map(len, tree.whole)) else []
     rows = _leaves(sets, tree, whole=False)
@@ -557,14 +566,15 @@ def _met_in(sets: DataFrame, runs: range, check: Filter, limit: int, cells: int,
         depth += 1
 
 
-def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, limit: int = 1000, max_depth: int = 30, seed: int = 7, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
+def similar_sets(raw: DataFrame, threshold: float = 0.7, recall: float = 0.995, limit: int = 4000, max_depth: int = 30, seed: int = 7, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """(a, b, similarity) of different sets, a < b by sig, of ``raw`` (columns sig, words, kept where it can be read twice)."""
     sets = cut(with_sketches(raw.select("sig", "words").dropDuplicates(["sig"]), seed))
     least, lost = sketch_bound(recall, threshold)
     check = Filter(threshold, least)
-    done, depth, candidates = 0, 2, []
+    count = sets.count()
+    done, depth, candidates = 0, FIRST, []
     while done < (need := runs_for(recall / (1 - lost), threshold, depth)):
-        found, deepest = _met_in(sets, range(done, need), check, limit, cells, block, max_depth, seed)
+        found, deepest = _met_in(sets, count, range(done, need), check, limit, cells, block, max_depth, seed)
         candidates += found
         done, depth = need, max(depth, deepest)
     pairs = candidates[0]

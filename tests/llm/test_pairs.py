@@ -88,7 +88,7 @@ def test_runs_count_the_levels():
 def test_no_task_gets_a_hot_node(spark):
     rows, _ = templated(400, 40, 10, 10)
     sets = nd.with_sketches(nd.word_sets(spark.createDataFrame(rows, SCHEMA), 30).select("sig", "words"), 7).cache()
-    tree = nd.grown(sets, nd.Tree(range(6), 0.7, 7), 20, nd.CELLS, 30)
+    tree = nd.grown(sets, sets.count(), nd.Tree(range(6), 0.7, 7), 20, nd.CELLS, 30)
     largest = nd._leaves(sets, tree, whole=False).groupBy("key").count().agg(F.max("count")).first()[0]
     assert len(tree.hot) > 2 and largest <= nd.limit_at(20, len(tree.hot) + 1)
     # every set ends in each run, whether its nodes are split or not
@@ -130,7 +130,7 @@ def test_a_large_group_of_like_texts_is_compared_whole(spark):
     rows += [("post", 1000 + i, " ".join(f"y{rng.randrange(3000)}" for _ in range(60)), "") for i in range(150)]
     df = spark.createDataFrame(rows, SCHEMA)
     sets = nd.with_sketches(nd.word_sets(df, 30).select("sig", "words").dropDuplicates(["sig"]), 7).cache()
-    tree = nd.grown(sets, nd.Tree(range(3), 0.7, 7), 40, nd.CELLS, 30)
+    tree = nd.grown(sets, sets.count(), nd.Tree(range(3), 0.7, 7), 40, nd.CELLS, 30)
     assert sum(map(len, tree.whole)) >= 3 and sum(map(len, tree.hot)) <= 3
     want = brute(rows)
     for cells in (nd.CELLS, 1):
