@@ -28,3 +28,12 @@ def cut(df: DataFrame) -> DataFrame:
     """The frame, computed once and kept in the shared folder; it survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop(df: DataFrame) -> None:
+    """Removes what ``cut`` kept for a frame that nothing reads any more."""
+    spark = df.sparkSession
+    kept = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if kept.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(kept.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -4,7 +4,7 @@ Each round hangs a node's larger neighbours on its smallest one (large star), th
 neighbours and itself (small star); both are one window-free aggregation and one join on
 the node.  The number of edges never grows, paths shrink by at least a constant factor, so
 the rounds are logarithmic in the length of the longest path.  Every round is checkpointed in
-the shared folder.
+the shared folder, and the one before it removed.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwork.operators.checkpoints import cut
+from siftwork.operators.checkpoints import cut, drop
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -37,7 +37,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     now = cut(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     sign = None
     for _ in range(max_rounds):
-        now = cut(_star(_star(now, large=True), large=False))
+        before, now = now, cut(_star(_star(now, large=True), large=False))
+        drop(before)
         new_sign = now.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.sum(F.pmod(F.xxhash64("v", "u"), F.lit(1 << 20))).alias("s")).first()
         if new_sign == sign:
             break

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+#: Session setting: into how many pieces work that is heavy for each row deals out its scans.
+DEAL = "spark.siftwork.deal"
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan in at least as many partitions as the cluster has cores.
 
-    A table in many files or row groups stays as it is, unshuffled.  One that came in fewer pieces than there are
-    cores is small, and dealing its rows out costs less than leaving cores idle in work that is heavy
-    for each row.  For plans without an exchange: their partitions are known without running anything.
+def dealt(scan: DataFrame) -> DataFrame:
+    """The scan as its files lie; dealt out into as many pieces as the session asks for in DEAL, where it does.
+
+    Nothing goes by the size of the input: a session over a few small files may set DEAL so that all its cores have work, one over a large corpus leaves it unset and shuffles no text.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan._jdf.queryExecution().toRdd().getNumPartitions() < cores else scan
+    pieces = scan.sparkSession.conf.get(DEAL, None)
+    return scan.repartition(int(pieces)) if pieces else scan

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwork.functions import html, latex, protocol, text
 from siftwork.operators import dedup, metrics, ngrams, sampling, similarity, threads
-from siftwork.operators.layout import spread
+from siftwork.operators.layout import dealt
 from siftwork.plans import curation
 from siftwork.schema import CATEGORIES
 from siftwork.sources.readers import union_sources
@@ -18,7 +18,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str, *columns: str) -> DataFrame:
-    return spread(_t(spark, d, "documents").select(*columns))
+    return dealt(_t(spark, d, "documents").select(*columns))
 
 
 # SQL pieces ---------------------------------------------------------------

@@ -5,8 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from siftwork.operators import dedup, ngrams
-from siftwork.operators.layout import spread
+from siftwork.operators import dedup, layout, ngrams
 
 
 def corpus(spark, parts):
@@ -56,6 +55,10 @@ def test_recall_of_the_bands(spark):
     assert found.where("id <> component").count() >= 57
 
 
-def test_spread(spark):
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(spark.range(10, numPartitions=50)).rdd.getNumPartitions() == 50
+def test_scans_are_dealt_out_only_where_the_session_asks(spark):
+    assert layout.dealt(spark.range(10, numPartitions=3)).rdd.getNumPartitions() == 3
+    spark.conf.set(layout.DEAL, "5")
+    try:
+        assert layout.dealt(spark.range(10, numPartitions=3)).rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(layout.DEAL)
