@@ -22,13 +22,18 @@ WIDE = "\uff10-\uff19\uff21-\uff3a\uff41-\uff5a"
 LIGATURES = "\u0132\u0133\u01c4-\u01cc\u01f1-\u01f3\ufb00-\ufb06"
 GREEK = "\u0370-\u03ff\u1f00-\u1fff"
 CYRILLIC = "\u0400-\u052f"
+#: Armenian, Hebrew, Arabic, Georgian, Cherokee, Coptic and Lisu letters.
+OTHER = "\u0531-\u0556\u0561-\u0587\u05d0-\u05ea\u0620-\u064a\u10a0-\u10ff\u13a0-\u13fd\uab70-\uabbf\u2c80-\u2cee\ua4d0-\ua4f7"
 
-#: Letters that look like a Latin letter, Cyrillic then Greek.
+#: Letters that look like a Latin letter: Cyrillic, Greek, Armenian, Cherokee, Coptic.
 TO_LATIN = dict(
     zip(
         "аеорсухіјѕԁһԛԝүАВЕКМНОРСТУХІЈЅԌԚԜ"
-        "οαιυνκρτχγΑΒΕΖΗΙΚΜΝΟΡΤΥΧϳ",
-        "aeopcyxijsdhqwyABEKMHOPCTYXIJSGQW" "oaiuvkptxyABEZHIKMNOPTYXj",
+        "οαιυνκρτχγΑΒΕΖΗΙΚΜΝΟΡΤΥΧϳ"
+        "օսհոյցզՕՍ"
+        "ᎪᏴᏟᎠᎬᏀᎻᎫᏦᏞᎷᏢᏒᏚᎢᏙᎳᏃ"
+        "ⲟⲣⲥⲞⲢⲤ",
+        "aeopcyxijsdhqwyABEKMHOPCTYXIJSGQW" "oaiuvkptxyABEZHIKMNOPTYXj" "ouhnjgqOU" "ABCDEGHJKLMPRSTVWZ" "opcOPC",
         strict=True,
     )
 )
@@ -36,19 +41,20 @@ TO_LATIN = dict(
 TO_CYRILLIC = dict(zip("aeopcyxijsABEKMHOPCTYXIJS", "аеорсухіјѕАВЕКМНОРСТУХІЈЅ", strict=True))
 TO_GREEK = dict(zip("oavxABEZHIKMNOPTYX", "οανχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", strict=True))
 
-SUSPECT = re.compile(f"[{INVISIBLE}{ODD_BLANKS}{MARKS}{WIDE}{LIGATURES}{GREEK}{CYRILLIC}]")
+SUSPECT = re.compile(f"[{INVISIBLE}{ODD_BLANKS}{MARKS}{WIDE}{LIGATURES}{GREEK}{CYRILLIC}{OTHER}]")
 _WIDE = re.compile(f"[{WIDE}{LIGATURES}]")
 _INVISIBLE = re.compile(f"[{INVISIBLE}]")
 _EMOJI_JOINER = re.compile("(?<=[\u2190-\u2bff\ufe0f\U0001f000-\U0001faff])\u200d(?=[\u2190-\u2bff\U0001f000-\U0001faff])")
 _BLANK = re.compile(f"[{ODD_BLANKS}]")
 _MARKED = re.compile(f"[^\\W\\d_][{MARKS}]+")
-_FOREIGN = re.compile(f"[{GREEK}{CYRILLIC}]")
+_FOREIGN = re.compile(f"[{GREEK}{CYRILLIC}{OTHER}]")
 LETTERS = re.compile("[^\\W\\d_]+")
 _LATIN = re.compile("[A-Za-z\u00aa\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u02af\u1e00-\u1eff]")
 _GREEK = re.compile(f"[{GREEK}]")
 _CYRILLIC = re.compile(f"[{CYRILLIC}]")
+_OTHER = re.compile(f"[{OTHER}]")
 #: Letters of two scripts side by side; without such a place no word mixes scripts.
-_SEAM = re.compile(f"{_LATIN.pattern}[{GREEK}{CYRILLIC}]|[{GREEK}{CYRILLIC}]{_LATIN.pattern}|[{GREEK}][{CYRILLIC}]|[{CYRILLIC}][{GREEK}]")
+_SEAM = re.compile(f"{_LATIN.pattern}[{GREEK}{CYRILLIC}{OTHER}]|[{GREEK}{CYRILLIC}{OTHER}]{_LATIN.pattern}|[{GREEK}][{CYRILLIC}{OTHER}]|[{CYRILLIC}][{GREEK}{OTHER}]|[{OTHER}][{GREEK}{CYRILLIC}]")
 WORD = re.compile("[^\\W_]+")
 
 KINDS = ("wide", "composable", "invisible", "blank", "mixed_script")
@@ -67,21 +73,22 @@ def composable(text: str) -> bool:
     return any(len(unicodedata.normalize("NFC", s)) < len(unicodedata.normalize("NFD", s)) and unicodedata.normalize("NFC", s) != s for s in _MARKED.findall(text))
 
 
-def scripts(word: str) -> tuple[int, int, int]:
-    """Number of Latin, Greek and Cyrillic letters."""
-    return len(_LATIN.findall(word)), len(_GREEK.findall(word)), len(_CYRILLIC.findall(word))
+def scripts(word: str) -> tuple[int, int, int, int]:
+    """Number of Latin, Greek and Cyrillic letters, and of those of the other scripts."""
+    return len(_LATIN.findall(word)), len(_GREEK.findall(word)), len(_CYRILLIC.findall(word)), len(_OTHER.findall(word))
 
 
 def dominant_script(word: str) -> str:
-    """``latin``, ``greek`` or ``cyrillic``: that of most letters without a twin in another script; ties go to the most letters, then to Latin."""
+    """``latin``, ``greek``, ``cyrillic`` or ``other``: that of most letters without a twin in another script; ties go to the most letters, then to Latin."""
     counts = scripts(word)
     own = (
         sum(c not in TO_CYRILLIC and c not in TO_GREEK for c in _LATIN.findall(word)),
         sum(c not in TO_LATIN for c in _GREEK.findall(word)),
         sum(c not in TO_LATIN for c in _CYRILLIC.findall(word)),
+        sum(c not in TO_LATIN for c in _OTHER.findall(word)),
     )
-    best = max(range(3), key=lambda i: (own[i], counts[i], -i))
-    return ("latin", "greek", "cyrillic")[best]
+    best = max(range(4), key=lambda i: (own[i], counts[i], -i))
+    return ("latin", "greek", "cyrillic", "other")[best]
 
 
 def repaired(word: str) -> str | None:
@@ -89,6 +96,8 @@ def repaired(word: str) -> str | None:
     if sum(n > 0 for n in scripts(word)) < 2:
         return None
     script = dominant_script(word)
+    if script == "other":
+        return None
     twins = {"latin": TO_LATIN, "greek": TO_GREEK, "cyrillic": TO_CYRILLIC}[script]
     own = {"latin": _LATIN, "greek": _GREEK, "cyrillic": _CYRILLIC}[script]
     out = "".join(c if own.match(c) else twins.get(c, c) for c in word)

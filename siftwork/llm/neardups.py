@@ -303,6 +303,8 @@ def grown(sets: DataFrame, count: int, tree: Tree, limit: int, cells: int, max_d
             told = np.zeros((len(nodes), TOLD + 1), np.int64)
             some = kind >= 0
             told[np.searchsorted(nodes, key[some]), kind[some]] = n[some]
+            met_ = told[:, TOLD] > 0  # children of a node to compare whole are met by none
+            nodes, told = nodes[met_], told[met_]
             whole = _alike(told[:, TOLD], told[:, :TOLD]) >= ALIKE * tree.threshold
             tree.whole[-1], tree.hot[-1] = nodes[whole], nodes[~whole]
             if whole.all():

@@ -145,9 +145,13 @@ _ADDRESS = r"'^(?:https?://)?(?:(?:www|m)\.)*([a-z0-9.-]+?)(?::\d+)?/(?:temat/(\
 _TIDY = "replace(lower(trim(regexp_replace({}, '\\s+', ' ', 'g'))), '&amp;', '&')"
 
 
-def _class(ranges: str) -> str:
-    """A character class for SQL, by code points."""
-    return "[" + "".join(c if c == "-" else f"\\x{{{ord(c):x}}}" for c in ranges) + "]"
+#: Classes of characters, written out for SQL by properties and code points, not taken from the operators.
+_INVISIBLE = r"[\p{Cf}\x{34f}\x{115f}\x{1160}\x{17b4}\x{17b5}\x{3164}\x{ffa0}]"
+_BLANK = r"[\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+_WIDE = r"[\x{ff10}-\x{ff19}\x{ff21}-\x{ff3a}\x{ff41}-\x{ff5a}\x{fb00}-\x{fb06}\x{132}\x{133}\x{1c4}-\x{1cc}\x{1f1}-\x{1f3}]"
+_FOREIGN = r"[\p{Greek}\p{Cyrillic}\p{Armenian}\p{Cherokee}\p{Georgian}\p{Hebrew}\p{Arabic}\p{Coptic}\p{Lisu}]"
+_LATIN = r"\p{Latin}"
+_LOOK_ALIKES = ("аеорсухіјѕԁһԛԝүАВЕКМНОРСТУХІЈЅοαιυνκρτχγΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhqwyABEKMHOPCTYXIJSoaiuvkptxyABEZHIKMNOPTYX")
 
 
 def _p3_sql() -> str:
@@ -161,23 +165,18 @@ select distinct t.record_id, s.site, t.thread_no from t join s on s.host = t.hos
 
 def _p7_sql() -> str:
     """Only the cases; the repair by vocabulary has no short SQL."""
-    from siftwork.llm import cleanup as c
-
-    foreign, latin = c.GREEK + c.CYRILLIC, c._LATIN.pattern[1:-1]
-    bare = f"regexp_replace(t, '{_class(c.INVISIBLE)}', '', 'g')"
-    seam = "|".join(f"{_class(x)}{_class(y)}" for x, y in ((latin, foreign), (foreign, latin)))
+    bare = f"regexp_replace(t, '{_INVISIBLE}', '', 'g')"
+    seam = f"{_LATIN}{_FOREIGN}|{_FOREIGN}{_LATIN}"
     return f"""with x as (select 'question' as field, record_id as id, question as t from pipeline_output union all select 'post', thread_id * 1000 + p.index, p.content from (select thread_id, unnest(posts) as p from forum_example_fixed)),
 y as (select field, id, t, {bare} as b from x where t is not null)
-select distinct field, id from y where regexp_matches(t, '{_class(c.WIDE + c.LIGATURES)}|{_class(c.ODD_BLANKS)}|{_class(c.INVISIBLE)}') or length(nfc_normalize(b)) < length(b) or regexp_matches(nfc_normalize(b), '{seam}')"""
+select distinct field, id from y where regexp_matches(t, '{_WIDE}|{_BLANK}|{_INVISIBLE}') or length(nfc_normalize(b)) < length(b) or regexp_matches(nfc_normalize(b), '{seam}')"""
 
 
 def _clean_sql(t: str) -> str:
     """The clean-up but for look-alikes, and but for ligatures that no table has."""
-    from siftwork.llm import cleanup as c
-
     wide = "".join(chr(x) for r in ((0xFF10, 0xFF19), (0xFF21, 0xFF3A), (0xFF41, 0xFF5A)) for x in range(r[0], r[1] + 1))
     plain = "".join(chr(ord(x) - 0xFEE0) for x in wide)
-    x = f"regexp_replace(regexp_replace({t}, '{_class(c.INVISIBLE)}', '', 'g'), '{_class(c.ODD_BLANKS)}', ' ', 'g')"
+    x = f"regexp_replace(regexp_replace({t}, '{_INVISIBLE}', '', 'g'), '{_BLANK}', ' ', 'g')"
     for ligature, letters in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl")):
         x = f"replace({x}, '{ligature}', '{letters}')"
     return f"nfc_normalize(translate({x}, '{wide}', '{plain}'))"
@@ -185,9 +184,7 @@ def _clean_sql(t: str) -> str:
 
 def _own_script_sql(w: str) -> str:
     """A word whose look-alikes are exchanged where it mixes scripts; every such word of the tables is a Latin one."""
-    from siftwork.llm import cleanup as c
-
-    return f"case when regexp_matches({w}, '{_class(c._LATIN.pattern[1:-1])}') and regexp_matches({w}, '{_class(c.GREEK + c.CYRILLIC)}') then translate({w}, '{''.join(c.TO_LATIN)}', '{''.join(c.TO_LATIN.values())}') else {w} end"
+    return f"case when regexp_matches({w}, '{_LATIN}') and regexp_matches({w}, '{_FOREIGN}') then translate({w}, '{_LOOK_ALIKES[0]}', '{_LOOK_ALIKES[1]}') else {w} end"
 
 
 def _words_sql(t: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftwork.operators.layout import spread
+from siftwork.operators.layout import dealt
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,8 +13,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for work that is heavy for each row: one in fewer pieces than there are cores is dealt out over them."""
-    return spread(table(spark, sf_dir, name))
+    """A table for work that is heavy for each row."""
+    return dealt(table(spark, sf_dir, name))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,3 +30,11 @@ def test_operator(spark):
     assert by[5] == ("nieznanаgwara", ["mixed_script"])  # no such word in the corpus
     assert by[6] == ("a " * 50_000, ["blank"])
     assert unify_text(df.where(F.lit(False))).count() == 0
+
+
+def test_letters_of_further_scripts_inside_latin_words():
+    # Armenian o, Cherokee A, Coptic o, a Hebrew letter without a twin
+    assert c.kinds_of("t\u0585pologia") == ["mixed_script"] and c.fold("t\u0585pologia") == "topologia"
+    assert c.fold("\u13aalgebra") == "Algebra" and c.fold("t\u2c9fpologia") == "topologia"
+    assert c.kinds_of("alge\u05d1ra") == ["mixed_script"] and c.fold("alge\u05d1ra") == "alge\u05d1ra"
+    assert c.kinds_of("\u0563\u056b\u0580\u0584 \u05d0\u05d1") == []  # whole words
