@@ -10,7 +10,7 @@ their orders independently of each other and of other runs, and runs repeat unti
 threshold has met with probability ``recall``, counted for the deepest level any node came to and with what the sketch loses.
 
 A node whose members are alike all over, by a sum over all of them, is not made smaller by splits: it is compared whole,
-in pairs of blocks spread over the cluster, and so is what ``max_depth`` levels could not split.  No pair is lost to a cap.
+by wider sketches, in pairs of blocks spread over the cluster, and so is what ``max_depth`` levels could not split, and a leaf in which the rows' own sketches tell too few pairs apart.  No pair is lost to a cap.
 
 Hot nodes never meet in one task.  Before anything is shuffled, each level's nodes are counted (partial counts are combined in the map); those with more than a
 CELLS-th of the level's rows, at most CELLS of them, are known to all tasks, which take their members on to the next
@@ -46,6 +46,8 @@ CELLS = 16_384
 CHUNK = 120_000
 #: Rows of a block of a node that is compared whole.
 BLOCK = 16_384
+#: Pairs a member that the sketches of a leaf may let through; a leaf with more is compared whole, by wider sketches.
+CROWDED = 8
 #: Rows that are compared at a time with all others of a node.
 ROWS = 32
 #: Words whose hashes a task remembers; when full, it starts anew.
@@ -391,46 +393,61 @@ class Filter:
         ok = _agreeing(rows["s0"][i], rows["s0"][j]) + _agreeing(rows["s1"][i], rows["s1"][j]) >= self.least
         return i[ok], j[ok]
 
-    def pairs(self, rows: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """(a, b), a < b, of all close pairs within the nodes of rows sorted by key and size."""
+    def pairs(self, rows: dict[str, np.ndarray], most_hits: float = math.inf, crowded: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(a, b), a < b, of all close pairs within the nodes of rows sorted by key and size, some at a time; nodes whose odd sketches let more than ``most_hits`` pairs a member through are left out and put into ``crowded``."""
         key, size, sig = rows["key"], rows["size"].astype(np.int64), rows["sig"]
         begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
         ends = np.append(begins[1:], len(key))
-        left, right = [], []
+        odd = [rows[f"o{k}"] for k in range(4) if f"o{k}" in rows]
 
-        def keep(i: np.ndarray, j: np.ndarray) -> None:
+        def kept(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             i, j = self.passing(rows, i, j)
-            left.append(np.minimum(sig[i], sig[j]))
-            right.append(np.maximum(sig[i], sig[j]))
+            return np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j])
+
+        def joined(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+            return kept(*(np.concatenate(c) for c in zip(*found, strict=True)))
 
         # small nodes: each row with the d-th after it, all nodes at once
-        small = np.repeat(ends - begins <= 64, ends - begins)
-        at, d, odd = np.flatnonzero(small), 1, (rows["o0"], rows["o1"])
+        at, d = np.flatnonzero(np.repeat(ends - begins <= 64, ends - begins)), 1
         while True:
             at = at[at + d < len(key)]
             at = at[key[at] == key[at + d]]
             if not len(at):
                 break
             hit = at[sum(np.bitwise_count(o[at] ^ o[at + d]) for o in odd) <= self.differing(size[at] + size[at + d])]
-            keep(hit, hit + d)
+            yield kept(hit, hit + d)
             d += 1
         # large ones: some rows at a time with all after them that aren't too large for one of them
         for begin, end in zip(begins[ends - begins > 64].tolist(), ends[ends - begins > 64].tolist(), strict=True):
             own = size[begin:end]
             stops = begin + np.searchsorted(own, own / self.threshold + 1e-9, side="right")
             most = np.minimum(self.differing(own + own / self.threshold), 255).astype(np.uint8)
-            for k in range(begin, end - 1, ROWS):
-                rows_ = slice(k, min(k + ROWS, end))
+            found, held = [], 0
+            step = max(2, min(ROWS, 65_536 // (end - begin)))
+            for k in range(begin, end - 1, step):
+                rows_ = slice(k, min(k + step, end))
                 after = slice(k + 1, int(stops[rows_.stop - 1 - begin]))
+                wide = after.stop - after.start
+                if not wide:
+                    continue
                 count = np.bitwise_count(odd[0][rows_, None] ^ odd[0][None, after])
-                count += np.bitwise_count(odd[1][rows_, None] ^ odd[1][None, after])
-                wide = count.shape[1]
-                hit = np.flatnonzero(count <= most[rows_.start - begin : rows_.stop - begin, None]) if wide else np.zeros(0, np.int64)
-                if len(hit):
-                    i, j = k + hit // wide, k + 1 + hit % wide
-                    keep(i[j > i], j[j > i])
-        none = np.zeros(0, np.int64)
-        return np.concatenate(left or [none]), np.concatenate(right or [none])
+                for o in odd[1:]:
+                    count += np.bitwise_count(o[rows_, None] ^ o[None, after])
+                hit = np.flatnonzero(count <= most[rows_.start - begin : rows_.stop - begin, None])
+                if not len(hit):
+                    continue
+                i, j = k + hit // wide, k + 1 + hit % wide
+                found.append((i[j > i], j[j > i]))
+                held += len(found[-1][0])
+                if crowded is not None and held > most_hits * (end - begin):
+                    crowded.append(int(key[begin]))
+                    found = []
+                    break
+                if crowded is None and held > 200_000:
+                    yield joined(found)
+                    found, held = [], 0
+            if found:
+                yield joined(found)
 
 
 def _rows(b: pa.RecordBatch) -> dict[str, np.ndarray]:
@@ -445,13 +462,26 @@ def _part(rows: dict[str, np.ndarray], which) -> dict[str, np.ndarray]:
     return {n: c[which] for n, c in rows.items()}
 
 
+def _together(pairs: Iterator[tuple[np.ndarray, np.ndarray]], least: int = 20_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs, in parts of some size."""
+    held, n = [], 0
+    for a, b in pairs:
+        held.append((a, b))
+        n += len(a)
+        if n >= least:
+            yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+            held, n = [], 0
+    if n:
+        yield tuple(np.concatenate(c) for c in zip(*held, strict=True))
+
+
 def _pair_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     none = pa.nulls(len(a), pa.int64())
     return pa.RecordBatch.from_arrays([pa.nulls(len(a), pa.int64()), pa.array(a), pa.array(b), *[none] * 4, pa.nulls(len(a), pa.int32())], names=["key", "sig", "b", "s0", "s1", "o0", "o1", "size"])
 
 
 def _bucketed(rows: DataFrame, limit: int, check: Filter) -> DataFrame:
-    """Sends nodes together; candidates (sig, b; no key) of those within ``limit``, the members of larger ones as they are."""
+    """Sends nodes together; candidates (sig, b; no key) of those within ``limit``, the members of larger ones (no b) and of crowded ones (b is 0) as they are."""
 
     def handle(part: dict[str, np.ndarray], open_key: int | None) -> Iterator[pa.RecordBatch]:
         key = part["key"]
@@ -462,13 +492,14 @@ def _bucketed(rows: DataFrame, limit: int, check: Filter) -> DataFrame:
         large = size > limit
         large[0] |= open_key is not None and int(key[0]) == open_key  # the node began in an earlier chunk
         split = np.repeat(large, size)
-        a, b = check.pairs(_part(part, ~split))
-        if len(a):
+        crowded: list[int] = []
+        for a, b in _together(check.pairs(_part(part, ~split), CROWDED, crowded)):
             yield _pair_batch(a, b)
-        if split.any():
-            some = _part(part, split)
+        whole = np.isin(key, np.array(crowded, key.dtype))
+        if split.any() or whole.any():
+            some = _part(part, split | whole)
             n = len(some["key"])
-            yield pa.RecordBatch.from_arrays([pa.array(some["key"]), pa.array(some["sig"]), pa.nulls(n, pa.int64()), *[pa.array(some[c].view(np.int64)) for c in ("s0", "s1", "o0", "o1")], pa.array(some["size"])], names=["key", "sig", "b", "s0", "s1", "o0", "o1", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(some["key"]), pa.array(some["sig"]), pa.array(np.zeros(n, np.int64), mask=split[split | whole]), *[pa.array(some[c].view(np.int64)) for c in ("s0", "s1", "o0", "o1")], pa.array(some["size"])], names=["key", "sig", "b", "s0", "s1", "o0", "o1", "size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
@@ -533,10 +564,10 @@ def _whole(members: DataFrame, sets: DataFrame, block: int, check: Filter) -> Da
             if n >= CHUNK:
                 part = _joined(held)
                 if last := int(np.searchsorted(part["key"], part["key"][-1])):
-                    yield _two(*check.pairs(_part(part, slice(last))))
+                    yield from (_two(a, b) for a, b in _together(check.pairs(_part(part, slice(last)))))
                 held, n = [_part(part, slice(last, None))], n - last
         if n:
-            yield _two(*check.pairs(_joined(held)))
+            yield from (_two(a, b) for a, b in _together(check.pairs(_joined(held))))
 
     return cells.repartition("key").sortWithinPartitions("key", "size").mapInArrow(run, "a bigint, b bigint")
 
@@ -554,7 +585,10 @@ def _met_in(sets: DataFrame, count: int, runs: range, check: Filter, limit: int,
     while True:
         found = cut(_bucketed(rows, limit_at(limit, depth), check))
         out.append(found.where("key is null").select(F.col("sig").alias("a"), "b"))
-        heavy = found.where("key is not null")
+        crowded = found.where("key is not null and b is not null")
+        if not crowded.isEmpty():
+            out.append(_whole(crowded, sets, block, check))
+        heavy = found.where("key is not null and b is null")
         if heavy.isEmpty():
             return out, depth
         ones = [F.sum(F.shiftrightunsigned("s0", 2 * i).bitwiseAND(F.lit(1))).cast("double") for i in range(TOLD)]
