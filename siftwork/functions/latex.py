@@ -53,6 +53,7 @@ def plain_blanks(c: Column) -> Column:
     return F.replace(F.translate(c, "\u00a0\u2009", "  "), F.lit("\u200b"), F.lit(""))
 
 
+# The four patterns below are the rules themselves.
 def rules(c: Column) -> Column:
     """The rules but for blanks and display blocks: inline dollars, empty superscripts, blanks in index braces, dots."""
     c = F.regexp_replace(c, r"(?s)\\\((.+?)\\\)", r"\$$1\$")

@@ -66,14 +66,30 @@ def id_range(spark, first: int, last: int, template: str) -> DataFrame:
     return spark.range(first, last + 1).select("id", F.format_string(template, "id").alias("url"))
 
 
-def until_misses(df: DataFrame, group_col: str, id_col: str, hit_col: str, misses: int = 5) -> DataFrame:
-    """The rows of each group up to where ``misses`` ids in a row miss; the row of the last of them is there too."""
-    w = Window.partitionBy(group_col).orderBy(id_col)
-    island = df.withColumn("island", F.sum(F.col(hit_col).cast("int")).over(w))
-    run = F.row_number().over(Window.partitionBy(group_col, "island").orderBy(id_col)) - F.when(F.col("island") > 0, 1).otherwise(0)
+def id_grid(spans: DataFrame, first_col: str, last_col: str, out_col: str, block: int = 100_000) -> DataFrame:
+    """A row for each id of each span, its ends among them; spans are dealt out in blocks before they are written out."""
+    begins = spans.withColumn("block_begin", F.explode(F.sequence(F.col(first_col), F.greatest(first_col, last_col), F.lit(block)))).where(F.col(first_col) <= F.col(last_col))
+    return begins.repartition("block_begin").withColumn(out_col, F.explode(F.sequence("block_begin", F.least(F.col("block_begin") + block - 1, F.col(last_col))))).drop("block_begin")
+
+
+def until_misses(df: DataFrame, group_col: str, id_col: str, hit_col: str, misses: int = 5, block: int = 100_000) -> DataFrame:
+    """The rows of each group up to where ``misses`` ids in a row miss; the row of the last of them is there too.
+
+    Runs of misses are counted within blocks of ids; what a run brings along from the blocks before follows from one row a block, so no window is longer than
+    a block or than a group has blocks.
+    """
+    given = df.withColumn("block", F.floor(F.col(id_col) / block))
+    inner = Window.partitionBy(group_col, "block").orderBy(id_col)
+    island = given.withColumn("island", F.sum(F.col(hit_col).cast("int")).over(inner))
+    run = F.row_number().over(Window.partitionBy(group_col, "block", "island").orderBy(id_col)) - F.when(F.col("island") > 0, 1).otherwise(0)
     counted = island.withColumn("run", run)
-    stop = counted.where(F.col("run") >= misses).groupBy(group_col).agg(F.min(id_col).alias("stop_id"))
-    return counted.join(stop, group_col, "left").where(F.col("stop_id").isNull() | (F.col(id_col) <= F.col("stop_id"))).drop("island", "run", "stop_id")
+    blocks = counted.groupBy(group_col, "block").agg(F.max("island").alias("hits"), F.max_by("run", id_col).alias("open"))
+    outer = Window.partitionBy(group_col).orderBy("block")
+    chained = blocks.withColumn("chain", F.sum((F.col("hits") > 0).cast("int")).over(outer))
+    carried = chained.withColumn("through", F.sum("open").over(Window.partitionBy(group_col, "chain").orderBy("block"))).withColumn("before", F.coalesce(F.lag("through").over(outer), F.lit(0)))
+    whole = counted.join(carried.select(group_col, "block", "before"), [group_col, "block"]).withColumn("run", F.col("run") + F.when(F.col("island") == 0, F.col("before")).otherwise(0))
+    stop = whole.where(F.col("run") >= misses).groupBy(group_col).agg(F.min(id_col).alias("stop_id"))
+    return df.join(stop, group_col, "left").where(F.col("stop_id").isNull() | (F.col(id_col) <= F.col("stop_id"))).drop("stop_id")
 
 
 def from_checkpoint(df: DataFrame, order_col: str, reached: str | None, values: list[str]) -> DataFrame:

@@ -277,7 +277,7 @@ def consecutive_misses(spark, d):
     """Per source: the ids from its first thread on, up to five in a row that no thread has."""
     have = _t(spark, d, "forum_example_fixed").select("source", "thread_id").distinct()
     span = have.groupBy("source").agg(F.min("thread_id").alias("a"), F.max("thread_id").alias("b"))
-    grid = span.select("source", F.explode(F.sequence("a", "b")).alias("thread_id")).join(have.withColumn("hit", F.lit(True)), ["source", "thread_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
+    grid = threads.id_grid(span, "a", "b", "thread_id").select("source", "thread_id").join(have.withColumn("hit", F.lit(True)), ["source", "thread_id"], "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
     return threads.until_misses(grid, "source", "thread_id", "hit", 5).select("source", "thread_id", "hit")
 
 
@@ -339,6 +339,110 @@ def category_ids(spark, d):
     return inside.groupBy("c.category", "c.label", "c.max_id").agg(F.count("*").alias("threads"))
 
 
+# pieces of pages and answers -----------------------------------------------
+
+
+def solution_split(spark, d):
+    """Records written as one page, cut again into problem and solution."""
+    page = F.concat(F.coalesce("question", F.lit("")), F.lit("\nRozwiązanie  \n"), F.coalesce("solution", F.lit("")))
+    problem, solution = text.split_solution(F.col("page"))
+    return _records(spark, d, "question", "solution").select("record_id", page.alias("page")).select("record_id", F.md5(problem).alias("problem"), F.md5(solution).alias("solution"))
+
+
+def author_words(spark, d):
+    return _threads(spark, d).select("thread_id", F.posexplode("posts").alias("pos", "p")).select("thread_id", "pos", text.first_word(F.col("p.author")).alias("author"))
+
+
+def squeezed_texts(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.md5(text.squeeze_blank_lines(F.replace("text", F.lit("\n"), F.lit("\n\n\n")))).alias("digest"))
+
+
+_HREFS = ("../up/../x.html", "/root,%s?a=1", "?start=15", "#p7", "beside.html", "https://other.example/y", "//cdn.example/z")
+
+
+def absolute_urls(spark, d):
+    """Addresses of every form against each thread's own."""
+    rows = _t(spark, d, "forum_example_fixed").where("url rlike '^https?://[^/]+/[^?#]*$'").select("url").distinct().select("url", F.posexplode(F.array(*map(F.lit, _HREFS))).alias("form", "href"))
+    return rows.select("url", "form", text.folded_path(text.absolute_url(F.col("url"), F.col("href"))).alias("target"))
+
+
+def shares_in_percent(spark, d):
+    counted = _t(spark, d, "documents").groupBy("source").agg(F.count("lang").alias("n"), F.count("*").alias("of"))
+    return counted.select("source", text.percent(F.col("n") / F.col("of")).alias("with_lang"))
+
+
+def utc_stamps(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.utc_stamp(F.timestamp_seconds(F.lit(1_500_000_000) + F.col("doc_id") * 86_399)).alias("stamp"))
+
+
+def posts_across_pages(spark, d):
+    """Posts cut into pages of two, numbered over all pages of their thread."""
+    posts = _threads(spark, d).select("thread_id", F.posexplode("posts").alias("pos", "p"))
+    pages = posts.groupBy("thread_id", F.floor(F.col("pos") / 2).alias("page")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col("p.author").alias("author")))), lambda x: x["author"]).alias("posts"))
+    return threads.across_pages(pages, "thread_id", "page", "posts").select("thread_id", "index", F.col("post").alias("author"))
+
+
+def batch_numbers(spark, d):
+    return threads.batches(_t(spark, d, "documents").select("doc_id"), ["doc_id"], 100).select("doc_id", "batch")
+
+
+def problem_threads(spark, d):
+    """The benchmark as threads of two posts."""
+    made = threads.problem_thread(F.lit("bench"), F.concat(F.lit("https://bench.example/"), "task_id"), F.col("type"), F.concat(F.lit("Zadanie "), "task_id"), F.col("task"), F.col("solution"), F.lit(False), F.lit(None).cast("string"))
+    return _t(spark, d, "benchmark").select("task_id", made.alias("t")).select("task_id", "t.url", "t.title", F.size("t.posts").alias("n"), F.get("t.posts", F.lit(0))["content"].alias("first"), F.get("t.posts", F.lit(1))["content"].alias("second"))
+
+
+def task_lists(spark, d):
+    """Answers of a model to the split: a JSON list in a fence for records that were kept, prose for the others, which become one task of the whole thread."""
+    listed = F.concat(F.lit("```json\n"), F.to_json(F.array(F.struct(F.col("question").alias("question"), F.array(F.lit(0), F.lit(2)).alias("post_indices")), F.struct(F.lit("druga").alias("question"), F.array(F.lit(1)).alias("post_indices")))), F.lit("\n```"))
+    rows = _records(spark, d, "question", "kept", "source_title").where("question is not null").withColumn("raw", F.when(F.col("kept"), listed).otherwise("One problem: [0]"))
+    posts = F.array(*[F.struct(F.lit(i).alias("index"), F.concat(F.lit("post "), "record_id").alias("content")) for i in range(3)])
+    tasks = rows.select("record_id", F.posexplode(protocol.tasks(F.col("raw"), posts, F.coalesce("source_title", F.lit("")))).alias("task_idx", "t"), protocol.is_task_list(F.col("raw")).alias("parsed"))
+    return tasks.select("record_id", "task_idx", "parsed", F.md5("t.question").alias("question"), F.array_join(F.col("t.post_indices").cast("array<string>"), ",").alias("indices"))
+
+
+def repaired_lines(spark, d):
+    """JSON lines whose LaTeX commands are no escapes."""
+    line = F.concat(F.lit('{"q":"\\alpha_'), "doc_id", F.lit(' \\cdot \\\\ \\"x\\" \\u0041"}'))
+    return _t(spark, d, "documents").select("doc_id", F.from_json(latex.repair_json_escapes(line), "q string")["q"].alias("q"))
+
+
+def flat_keys(spark, d):
+    """Documents' marks as maps, whose keys differ by row, made columns again."""
+    marks = F.map_filter(F.create_map(F.lit("lang"), F.col("lang"), F.lit("title"), F.col("title"), F.lit("_source_path"), F.lit("p")), lambda k, v: v.isNotNull())
+    return threads.flat_metadata(_t(spark, d, "documents").select("doc_id", marks.alias("meta")), "meta")
+
+
+def dated_cells(spark, d):
+    """Posts written as cells under their date, cut into both again."""
+    posts = _threads(spark, d).select("thread_id", F.posexplode("posts").alias("pos", "p"))
+    date, rest = text.date_headed(F.col("cell"))
+    cells = posts.select("thread_id", "pos", F.concat(F.coalesce("p.date", F.lit("")), F.lit("\n\n"), F.coalesce("p.content", F.lit(""))).alias("cell"))
+    return cells.select("thread_id", "pos", date.alias("date"), F.md5(rest).alias("rest"))
+
+
+def sitemaps(spark, d):
+    """Boards in a sitemap that has a thread and a board for each thread."""
+    loc = lambda u: F.concat(F.lit("<url><loc>"), u, F.lit("</loc></url>"))
+    board = F.concat(F.lit("https://board.example/viewforum.php?f="), F.col("thread_id"))
+    xml = F.concat(F.lit('<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), loc(F.concat(F.lit("https://board.example/t"), F.col("thread_id"))), loc(board), F.lit("</urlset>"))
+    return _threads(spark, d).select("thread_id", F.array_join(html.sitemap_locations(xml), " ").alias("boards"))
+
+
+def page_links(spark, d):
+    """Links, next page, page numbers and image flags of list pages written for each thread."""
+    n = F.col("thread_id")
+    page = F.concat(F.lit("<ul><li><A class='t' href='/t"), n, F.lit("?a=1&amp;b=2'>x</A></li><li><a href=\"board,7,"), n % 9, F.lit('">y</a></li></ul>'), F.when(n % 2 == 0, F.concat(F.lit('<a rel="next" href="/list?p='), n, F.lit('">next</a><img class="postimage" src="i.png">'))).otherwise(F.lit("<img src='logo.png'>")))
+    rows = _threads(spark, d).select("thread_id", page.alias("page")).select("thread_id", html.links(F.col("page")).alias("links"), html.next_page(F.col("page")).alias("next"), html.has_post_image(F.col("page")).alias("image"))
+    return rows.select("thread_id", F.array_join("links", " ").alias("links"), "next", "image", text.max_page(F.col("links"), F.lit(5)).alias("beyond_five"))
+
+
+def visible_texts(spark, d):
+    """Records as pages, read again without markup."""
+    page = F.concat(F.lit("<html><head><title>no</title><style>p {}</style></head><body><h1>Zadanie "), "record_id", F.lit("</h1><script>var no;</script><p>a &lt; b &amp;amp; <b>c"), "record_id", F.lit("</b></p></body></html>"))
+    return _t(spark, d, "pipeline_output").select("record_id").distinct().select("record_id", F.regexp_replace(html.html_text(page), r"\s+", " ").alias("text"))
+
+
 # samples and unions -------------------------------------------------------
 
 
@@ -368,6 +472,7 @@ QUERIES = {
         decontam_clean_docs, decontam_report, decontam_task_counts, benchmark_index, decontam_training_rows, minhash_signature, lsh_candidate_edges, dedup_clusters, dedup_clean, dedup_removed,
         exact_dup_groups, jaccard_best_match, latex_normalize, build_texts, previews, navigation_lines, eval_prompts, answer_accuracy, parse_decision, parse_category, parse_post_index,
         thread_assembly, thread_totals, thread_titles, thread_prompts, relevant_posts, post_dates, post_images, url_canonical, id_range_missing, consecutive_misses, board_pages, curated_records, stage_stats,
+        solution_split, author_words, squeezed_texts, absolute_urls, shares_in_percent, utc_stamps, posts_across_pages, batch_numbers, problem_threads, task_lists, repaired_lines, flat_keys, dated_cells, sitemaps, page_links, visible_texts,
         clean_projection, accuracy_mean, display_blocks, json_records, category_ids, train_val_split, sft_samples, source_union_counts, source_heads,
     )
 }
@@ -393,7 +498,37 @@ select thread_id, 0 as task_idx, case when not kept then 'discarded' when best i
 case when kept then best end as answer_post_index, md5(case when kept and best is not null and solution <> '' then solution else '' end) as solution_digest from s"""
 
 
+_SPLIT_SQL = rf"""with r as (select distinct record_id, question, solution from pipeline_output), p as (select record_id, coalesce(question, '') || chr(10) || 'Rozwiązanie  ' || chr(10) || coalesce(solution, '') as page from r),
+h as (select record_id, regexp_extract(page, '(?ims)^(.*?)^Rozwi[ąa]zanie\s*$(.*)', ['a', 'b']) as g from p), x as (select record_id, {_strip("g.a")} as a, {_strip("g.b")} as b from h),
+y as (select *, regexp_extract(a, '(?s)^(.*?)(\bOdpp?[.:].*)$', ['before', 'answer']) as o from x)
+select record_id, md5(case when o.answer <> '' then {_strip("o.before")} else a end) as problem, md5(case when o.answer = '' then b when b = '' then {_strip("o.answer")} else {_strip("o.answer")} || chr(10) || b end) as solution from y"""
+
+
 ORACLE = {
+    "solution_split": _SPLIT_SQL,
+    "dated_cells": rf"""with {_FORUM}, p as (select thread_id, unnest(posts) as p, unnest(range(len(posts)))::int as pos from t), c as (select thread_id, pos, {_strip("coalesce(p.date, '') || chr(10) || chr(10) || coalesce(p.content, '')")} as cell from p),
+l as (select thread_id, pos, string_split(cell, chr(10)) as lines from c), f as (select *, {_strip("lines[1]")} as head from l), g as (select *, regexp_matches(head, '^\d{{4}}-\d{{2}}-\d{{2}}\s+\d{{2}}:\d{{2}}:\d{{2}}') as dated from f)
+select thread_id, pos, case when not dated then '' when regexp_full_match(head, '\d{{4}}-\d{{2}}-\d{{2}} \d{{2}}:\d{{2}}:\d{{2}}') and try_cast(head as timestamp) is not null then replace(head, ' ', 'T') || '+00:00' else head end as date,
+md5(regexp_replace({_strip("array_to_string(case when dated then lines[2:] else lines end, chr(10))")}, '\n{{3,}}', chr(10) || chr(10), 'g')) as rest from g""",
+    "sitemaps": f"with {_FORUM} select thread_id, 'https://board.example/viewforum.php?f=' || thread_id as boards from t",
+    "page_links": f"""with {_FORUM} select thread_id, '/t' || thread_id || '?a=1&b=2 board,7,' || thread_id % 9 || case when thread_id % 2 = 0 then ' /list?p=' || thread_id else '' end as links, case when thread_id % 2 = 0 then '/list?p=' || thread_id end as next, thread_id % 2 = 0 as image, thread_id % 9 > 5 as beyond_five from t""",
+    "visible_texts": "select distinct record_id, 'no Zadanie ' || record_id || ' a < b &amp; c' || record_id as text from pipeline_output",
+    "author_words": rf"with {_FORUM}, p as (select thread_id, unnest(posts) as p, unnest(range(len(posts)))::int as pos from t) select thread_id, pos, coalesce(nullif(string_split_regex({_strip('p.author')}, '{_SPACE}+')[1], ''), 'unknown') as author from p",
+    "squeezed_texts": r"select doc_id, md5(regexp_replace(replace(text, chr(10), repeat(chr(10), 3)), '\n{3,}', chr(10) || chr(10), 'g')) as digest from documents",
+    "absolute_urls": r"""with u as (select distinct url from forum_example_fixed where regexp_matches(url, '^https?://[^/]+/[^?#]*$')), b as (select url, regexp_extract(url, '^https?://[^/]+') as root, regexp_replace(url, '[^/]*$', '') as folder, regexp_extract(url, '^https?:') as scheme from u),
+f as (select *, regexp_replace(folder, '[^/]+/$', '') as above from b)
+select url, form, case form when 0 then case when length(above) > length(root) then above else root || '/' end || 'x.html' when 1 then root || '/root,%s?a=1' when 2 then url || '?start=15' when 3 then url || '#p7' when 4 then folder || 'beside.html' when 5 then 'https://other.example/y' else scheme || '//cdn.example/z' end as target
+from f, (select unnest(range(7))::int as form)""",
+    "shares_in_percent": "select source, round(100.0 * count(lang) / count(*))::int || '%' as with_lang from documents group by source",
+    "utc_stamps": "select doc_id, strftime(make_timestamp((1500000000 + doc_id * 86399) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as stamp from documents",
+    "posts_across_pages": f"with {_FORUM} select thread_id, unnest(range(len(posts)))::int as index, unnest(list_transform(posts, lambda p: p.author)) as author from t",
+    "batch_numbers": "select doc_id, (row_number() over (order by doc_id) - 1) // 100 as batch from documents",
+    "problem_threads": "select task_id, 'https://bench.example/' || task_id as url, concat_ws(' – ', type, 'Zadanie ' || task_id) as title, 2 as n, task as first, solution as second from benchmark",
+    "task_lists": """with r as (select distinct record_id, question, kept from pipeline_output where question is not null)
+select record_id, 0 as task_idx, coalesce(kept, false) as parsed, md5(case when kept then question else 'post ' || record_id end) as question, case when kept then '0,2' else '0,1,2' end as indices from r
+union all select record_id, 1, true, md5('druga'), '1' from r where kept""",
+    "repaired_lines": r"""select doc_id, '\alpha_' || doc_id || ' \cdot \ "x" A' as q from documents""",
+    "flat_keys": "select doc_id, lang, title from documents",
     "decontam_clean_docs": f"{_hits(9)} select doc_id, n_chars from documents where doc_id not in (select doc_id from hits)",
     "decontam_report": f"{_hits(9)} select doc_id, contaminated_task, contaminated_ngram from hits",
     "decontam_task_counts": f"{_hits(9)} select contaminated_task, count(*) as docs, min(contaminated_ngram) as example from hits group by contaminated_task",

@@ -46,6 +46,14 @@ def write_splits(df: DataFrame, path: str) -> bool:
     return True
 
 
+def write_predictions(rows: DataFrame, gold: str, predicted: str, path: str) -> DataFrame:
+    """The samples with ``same`` as JSON lines; (n, accuracy) of what was written."""
+    from siftwork.operators.metrics import accuracy, same_answer
+
+    rows.withColumn("same", same_answer(F.col(gold), F.col(predicted))).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    return accuracy(rows.sparkSession.read.schema(rows.schema).json(path), gold, predicted)
+
+
 def write_records(full: DataFrame, clean_path: str, log_path: str | None, order_cols: list[str]) -> None:
     """Clean records and, if asked, the full log, both in the order of threads and tasks."""
     ordered = full.orderBy(*order_cols)

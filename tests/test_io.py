@@ -54,6 +54,13 @@ def test_writers(spark, tmp_path):
     assert writers.flatten(nested).columns == ["id"]
 
 
+def test_predictions(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "$1/2$", "0.5"), (2, "3", None), (3, "7", "\\boxed{7}")], "id int, gold string, got string")
+    table = writers.write_predictions(rows, "gold", "got", str(tmp_path / "p")).first()
+    assert table.n == 3 and abs(table.accuracy - 2 / 3) < 1e-9
+    assert {r.id: r.same for r in spark.read.json(str(tmp_path / "p")).collect()} == {1: True, 2: False, 3: True}
+
+
 def test_done_urls(spark, tmp_path):
     (tmp_path / "o.jsonl").write_text('{"url":"a"}\n\nnonsense\n{"x":1}\n{"url":"a"}\n')
     assert [r.url for r in readers.done_urls(spark, str(tmp_path / "o.jsonl")).collect()] == ["a"]

@@ -1,3 +1,5 @@
+import random
+
 import json
 
 import pytest
@@ -118,6 +120,26 @@ def test_until_misses(spark):
     assert threads.until_misses(start, "s", "id", "hit").count() == 5
 
 
+def test_runs_of_misses_go_over_blocks(spark):
+    rng = random.Random(3)
+    rows, want = [], set()
+    for g in range(12):
+        run, stopped = 0, False
+        for i in sorted(rng.sample(range(200), 120)):
+            hit = rng.random() < 0.25
+            rows.append((f"g{g}", i, hit))
+            run = 0 if hit else run + 1
+            if not stopped:
+                want.add((f"g{g}", i))
+            stopped |= run >= 9
+    df = spark.createDataFrame(rows, "s string, id int, hit boolean")
+    for block in (1, 7, 1000):
+        assert {(r.s, r.id) for r in threads.until_misses(df, "s", "id", "hit", 9, block).collect()} == want
+    spans = spark.createDataFrame([("a", 1, 23), ("b", 5, 5), ("c", 9, 8), ("d", None, 3)], "s string, a bigint, b bigint")
+    got = [(r.s, r.id) for r in threads.id_grid(spans, "a", "b", "id", 10).orderBy("s", "id").collect()]
+    assert got == [("a", i) for i in range(1, 24)] + [("b", 5)]
+
+
 def test_resume_and_ranges(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "cat string")
     assert [r.cat for r in threads.from_checkpoint(df, "cat", "b", ["a", "b", "c"]).collect()] == ["b", "c"]
