@@ -8,7 +8,6 @@ no Python, only the columns asked for.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from zoneinfo import available_timezones
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,17 +64,23 @@ _CUT = "\u0001"
 _MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
 
-@lru_cache(maxsize=4)
-def _zones(application: str) -> tuple[str, ...]:
-    spark = SparkSession.getActiveSession()
-    jvm = getattr(spark, "_jvm", None)
-    return tuple(sorted(jvm.java.time.ZoneId.getAvailableZoneIds().toArray())) if jvm is not None else tuple(sorted(available_timezones()))
+#: Names of zones by application.
+_ZONES: dict[str, str] = {}
+
+
+def _zones(spark: SparkSession) -> str:
+    """Names of all zones that the engine has clocks for, as a list for SQL."""
+    app = spark.sparkContext.applicationId
+    if app not in _ZONES:
+        jvm = getattr(spark, "_jvm", None)
+        names = list(jvm.java.time.ZoneId.getAvailableZoneIds().toArray()) if jvm is not None else available_timezones()
+        _ZONES[app] = ", ".join(f"'{z}'" for z in sorted(names))
+    return _ZONES[app]
 
 
 def known_zone(zone: str, spark: SparkSession) -> Column:
     """The zone (an expression) where its name is one that clocks are known for, else null."""
-    names = ", ".join(f"'{z}'" for z in _zones(spark.sparkContext.applicationId))
-    return F.expr(f"case when {zone} in ({names}) then {zone} end")
+    return F.expr(f"case when {zone} in ({_zones(spark)}) then {zone} end")
 
 
 def days_of(y: Column, m: Column, d: Column) -> Column:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import json
 
@@ -69,6 +70,29 @@ def test_best_matches(spark):
     assert got[9] == (1, 2 / 3) and got[10] == (None, 0.0) and got[11] == (None, 0.0)
 
 
+def test_best_matches_are_those_of_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(f"d{i:03}", " ".join(rng.choices("abcde", k=rng.choice([0, 2, 3, 9, 30])))) for i in range(120)] + [("d200", None)]
+    df = spark.createDataFrame(rows, "key string, text string").repartition(3)
+
+    def grams(t):
+        w = (t or "").split()
+        return Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+
+    have = {k: grams(t) for k, t in rows}
+    want = {}
+    for k in have:
+        if int(k[1:]) % 4 == 0:
+            scores = [(-(have[k] & g).total() / (have[k] | g).total(), o) for o, g in have.items() if o != k and (have[k] & g)]
+            want[k] = (min(scores)[1], -min(scores)[0]) if scores else (None, 0.0)
+    queries = df.where("int(substr(key, 2)) % 4 = 0")
+    for size in (10, 100, 10**6):
+        got = {r.id: (r.best_id, r.score) for r in similarity.best_matches(queries, df, "key", F.col("text"), block_grams=size).collect()}
+        assert got == want
+    assert similarity.best_matches(queries.where("false"), df, "key", F.col("text")).count() == 0
+    assert {r.best_id for r in similarity.best_matches(queries, df.where("false"), "key", F.col("text")).collect()} == {None}
+
+
 def test_split_is_exact_and_independent_of_partitions(spark):
     df = spark.range(101).withColumnRenamed("id", "k")
     one = {r.k for r in sampling.exact_split(df.repartition(1), "k", fraction=0.1).where("split='validation'").collect()}
