@@ -14,6 +14,7 @@ expression runs only over chunks not met before.  Nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -38,7 +39,9 @@ _BLANKS = regex.compile(r"\s+")
 
 
 def default_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
-    """Path of a public vocabulary file; /opt/tokenizers unless the package that ships them is installed."""
+    """Path of a public vocabulary file on the driver: in the folder that SIFTWORK_TOKENIZERS names, or where the package that ships them has it, or in /opt/tokenizers."""
+    if folder := os.environ.get("SIFTWORK_TOKENIZERS"):
+        return f"{folder}/{name}"
     try:
         import public_tokenizers
 
@@ -50,8 +53,8 @@ def default_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> str:
 class Encoder:
     """ids of a text by a vocabulary of merge ranks."""
 
-    def __init__(self, path: str):
-        pairs = (line.split() for line in Path(path).read_bytes().splitlines() if line.strip())
+    def __init__(self, vocabulary: bytes):
+        pairs = (line.split() for line in vocabulary.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.size = max(self.ranks.values()) + 1
         self.pieces: dict[str, bytes] = {}
@@ -179,8 +182,12 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
+def _encoder(vocabulary: bytes) -> Encoder:
+    return Encoder(vocabulary)
+
+
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return _encoder(Path(path).read_bytes())
 
 
 def encode_corpus(df: DataFrame, text_col: str = "text", out_col: str = "ids", vocabulary_file: str | None = None) -> DataFrame:
@@ -198,8 +205,11 @@ def encode_corpus(df: DataFrame, text_col: str = "text", out_col: str = "ids", v
     ask = source.select(*keep, F.col(text_col).alias("encode_text")) if text_col not in keep else source.select(*keep)
     at, carry = (ask.columns.index(text_col) if text_col in keep else len(keep)), len(keep)
 
+    # the file, of a megabyte or so, goes to the workers, which need not have it
+    shared = df.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = _encoder(shared.value)
         for b in batches:
             got = [enc.encode_bytes(t) if t else b"" for t in b.column(at).to_pylist()]
             offsets = np.zeros(len(got) + 1, np.int32)
@@ -216,8 +226,11 @@ def count_tokens(df: DataFrame, text_col: str = "text", out_col: str = "n_tokens
     keep = [c for c in df.columns if c not in (text_col, out_col)]
     schema = T.StructType([*[df.schema[c] for c in keep], T.StructField(out_col, T.LongType())])
 
+    # the file, of a megabyte or so, goes to the workers, which need not have it
+    shared = df.sparkSession.sparkContext.broadcast(Path(path).read_bytes())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = _encoder(shared.value)
         for b in batches:
             n = pa.array([enc.count(t) if t else 0 for t in b.column(len(keep)).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], n], names=[*keep, out_col])
