@@ -73,10 +73,12 @@ def best_matches(queries: DataFrame, kept: DataFrame, id_col: str, text: Column,
     schema = f"id {kind.simpleString()}, kid {kind.simpleString()}, score double"
     parts = []
     for k in range(blocks):
-        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).where(F.size("grams") > 0).toArrow()
-        if not rows.num_rows:
+        # a condition on the grams would have them made for every row before the others are looked at
+        rows = asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).toArrow()
+        some = [(i, np.asarray(g, np.int64)) for i, g in zip(rows["id"].to_pylist(), rows["grams"].to_pylist(), strict=True) if g]
+        if not some:
             continue
-        block = Queries(rows["id"].to_pylist(), [np.asarray(g, np.int64) for g in rows["grams"].to_pylist()])
+        block = Queries([i for i, _ in some], [g for _, g in some])
         shared = kept.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
