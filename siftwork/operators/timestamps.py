@@ -8,9 +8,7 @@ no Python, only the columns asked for.
 
 from __future__ import annotations
 
-from zoneinfo import available_timezones
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Month names by their first letters, Polish and English.
@@ -64,23 +62,9 @@ _CUT = "\u0001"
 _MONTH_DAYS = (31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31)
 
 
-#: Names of zones by application.
-_ZONES: dict[str, str] = {}
-
-
-def _zones(spark: SparkSession) -> str:
-    """Names of all zones that the engine has clocks for, as a list for SQL."""
-    app = spark.sparkContext.applicationId
-    if app not in _ZONES:
-        jvm = getattr(spark, "_jvm", None)
-        names = list(jvm.java.time.ZoneId.getAvailableZoneIds().toArray()) if jvm is not None else available_timezones()
-        _ZONES[app] = ", ".join(f"'{z}'" for z in sorted(names))
-    return _ZONES[app]
-
-
-def known_zone(zone: str, spark: SparkSession) -> Column:
-    """The zone (an expression) where its name is one that clocks are known for, else null."""
-    return F.expr(f"case when {zone} in ({_zones(spark)}) then {zone} end")
+def known_zone(zone: Column) -> Column:
+    """The zone where the engine has clocks for its name, else null."""
+    return F.when(F.try_make_timestamp(*[F.lit(x) for x in (1970, 1, 1, 0, 0)], F.lit(0).cast("decimal(8,6)"), zone).isNotNull(), zone)
 
 
 def days_of(y: Column, m: Column, d: Column) -> Column:
@@ -138,7 +122,6 @@ def normalise_times(df: DataFrame, value_col: str, zone_col: str, out_col: str =
     values, of any length; rows stay as many as they were; a column ``out_col`` is replaced; names beginning with time_ are taken.
     """
     keep = [c for c in df.columns if c != out_col]
-    spark = df.sparkSession
     absent = F.lit(None).cast("string")
     value, zone, order, crawled, calendar = (F.col(c).cast("string") if c else absent for c in (value_col, zone_col, order_col, crawled_col, calendar_col))
     tidy = F.trim(F.regexp_replace(F.translate(F.replace(value, F.lit(_CUT), F.lit("?")), "０１２３４５６７８９", "0123456789"), r"(?U)\s+", " "))
@@ -148,10 +131,10 @@ def normalise_times(df: DataFrame, value_col: str, zone_col: str, out_col: str =
         df.select(*keep, *[c.alias(f"time_{n}") for n, c in (("text", value), ("own", zone), ("order", order), ("crawl", crawled), ("cal", calendar))]),
         keep,
         p=F.when(F.size(parts) == len(_PARTS), parts),
-        zone=known_zone("time_own", spark),
+        zone=known_zone(F.col("time_own")),
         mdy=F.coalesce(F.col("time_order") == "mdy", F.lit(False)),
         crawled=F.unix_seconds(F.col("time_crawl").try_cast("timestamp")),
-        calendar=known_zone("coalesce(time_cal, time_own)", spark),
+        calendar=known_zone(F.coalesce("time_cal", "time_own")),
     )
 
     def part(name: str) -> Column:
@@ -177,7 +160,7 @@ def normalise_times(df: DataFrame, value_col: str, zone_col: str, out_col: str =
         ago=F.when(part("unit").isNotNull(), units * _lookup(UNITS, part("unit")).cast("bigint")),
         placed=part("sign").isNotNull() | part("zone").isNotNull(),
         east=F.coalesce(_lookup(ZONES, part("zone")) * 60, offset * F.when(part("sign") == "-", -1).otherwise(1)),
-        zone=F.when(part("tz").isNotNull(), known_zone(f"time_p[{list(_PARTS).index('tz')}]", spark)).otherwise(F.col("time_zone")),
+        zone=F.when(part("tz").isNotNull(), known_zone(part("tz"))).otherwise(F.col("time_zone")),
     )
     t = lambda k: F.col(f"time_{k}")
     clock = F.when((t("h") <= 23) & (t("i") <= 59) & ((t("s") <= 59) | ((t("s") == 60) & (t("i") == 59))), t("h") * 3600 + t("i") * 60 + t("s"))
